@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrel.llm import exact_dedup, warc
+from quadrel.llm import exact_dedup, packing, simhash, warc
+
+
+def _tokenizer(name: str) -> str:
+    """Path of a public tokenizer's file on the executors."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,9 +55,23 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM f
 """
 
+def op6_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_classes(_table(spark, sf_dir, "documents"), words=3).select(
+        F.col("ident").alias("doc_id"),
+        F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op4_warc_normaliser": op4_warc_normaliser,
+    "op6_simhash_golay": op6_simhash_golay,
+    "op9_packing": op9_packing,
 }
 
 ORACLES = {
