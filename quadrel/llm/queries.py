@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrel.llm import exact_dedup, packing, simhash, warc
+from quadrel.llm import exact_dedup, fingerprints, packing, simhash, warc
 
 
 def _tokenizer(name: str) -> str:
@@ -40,6 +40,10 @@ WINDOW w AS (PARTITION BY plain ORDER BY length(text) DESC, doc_id)
 """
 
 
+def op3_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_table(_table(spark, sf_dir, "documents"))
+
+
 def op4_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
@@ -69,6 +73,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_closed_syncmers": op3_closed_syncmers,
     "op4_warc_normaliser": op4_warc_normaliser,
     "op6_simhash_golay": op6_simhash_golay,
     "op9_packing": op9_packing,

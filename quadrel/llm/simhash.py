@@ -61,7 +61,7 @@ def fingerprint(text: str | None, words: int = 3) -> int:
     ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     digest = xxhash.xxh64_intdigest
-    spans = zip(starts[: 1 - words].tolist(), ends[words - 1 :].tolist(), strict=True)
+    spans = zip(starts[: len(parts) - words + 1].tolist(), ends[words - 1 :].tolist(), strict=True)
     hashes = np.array([digest(joined[a:b], SEED) for a, b in spans], np.uint64)
     bits = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 1 << 14):
