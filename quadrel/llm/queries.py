@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrel.llm import exact_dedup, fingerprints, packing, simhash, warc
+from quadrel.llm import exact_dedup, fingerprints, packing, simhash, token_counts, viterbi, warc
 
 
 def _tokenizer(name: str) -> str:
@@ -40,6 +40,15 @@ WINDOW w AS (PARTITION BY plain ORDER BY length(text) DESC, doc_id)
 """
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    documents = _table(spark, sf_dir, "documents")
+    return token_counts.section_counts(documents, _tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).select(
+        "doc_id", "section", "start", "end", F.col("tokens").cast("long").alias("tokens"), "doc_tokens"
+    )
+
+
 def op3_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_table(_table(spark, sf_dir, "documents"))
 
@@ -67,15 +76,21 @@ def op6_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_sentencepiece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return viterbi.digests(_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
 
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_token_counts": op2_token_counts,
     "op3_closed_syncmers": op3_closed_syncmers,
     "op4_warc_normaliser": op4_warc_normaliser,
     "op6_simhash_golay": op6_simhash_golay,
+    "op7_sentencepiece_viterbi": op7_sentencepiece_viterbi,
     "op9_packing": op9_packing,
 }
 
