@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrel.llm import exact_dedup, fingerprints, packing, simhash, token_counts, viterbi, warc
+from quadrel.llm import exact_dedup, fingerprints, packing, pii, simhash, token_counts, viterbi, warc
 
 
 def _tokenizer(name: str) -> str:
@@ -80,6 +80,10 @@ def op7_sentencepiece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return viterbi.digests(_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
 
 
+def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_entities(_table(spark, sf_dir, "documents"), report=True)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
 
@@ -91,6 +95,7 @@ QUERIES = {
     "op4_warc_normaliser": op4_warc_normaliser,
     "op6_simhash_golay": op6_simhash_golay,
     "op7_sentencepiece_viterbi": op7_sentencepiece_viterbi,
+    "op8_pii_surrogates": op8_pii_surrogates,
     "op9_packing": op9_packing,
 }
 
