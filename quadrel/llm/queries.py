@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrel.llm import exact_dedup, fingerprints, packing, pii, simhash, token_counts, viterbi, warc
+from quadrel.llm import exact_dedup, fingerprints, packing, pii, simhash, suffix_dedup, token_counts, viterbi, warc
 
 
 def _tokenizer(name: str) -> str:
@@ -68,6 +68,10 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM f
 """
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op6_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_classes(_table(spark, sf_dir, "documents"), words=3).select(
         F.col("ident").alias("doc_id"),
@@ -93,6 +97,7 @@ QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op3_closed_syncmers": op3_closed_syncmers,
     "op4_warc_normaliser": op4_warc_normaliser,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_simhash_golay": op6_simhash_golay,
     "op7_sentencepiece_viterbi": op7_sentencepiece_viterbi,
     "op8_pii_surrogates": op8_pii_surrogates,
