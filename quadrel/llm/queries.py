@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrel.llm import exact_dedup, fingerprints, packing, pii, simhash, suffix_dedup, token_counts, viterbi, warc
+from quadrel.llm import exact_dedup, fingerprints, packing, pii, simhash, suffix_dedup, token_counts, toxicity, viterbi, warc
 
 
 def _tokenizer(name: str) -> str:
@@ -92,6 +92,14 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    machine = toxicity.fit(documents, _table(spark, sf_dir, "labels"))
+    return toxicity.score(documents, machine).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
+    )
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_token_counts": op2_token_counts,
@@ -102,6 +110,7 @@ QUERIES = {
     "op7_sentencepiece_viterbi": op7_sentencepiece_viterbi,
     "op8_pii_surrogates": op8_pii_surrogates,
     "op9_packing": op9_packing,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES = {
