@@ -24,6 +24,7 @@ empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
 from dataclasses import dataclass
 
@@ -50,39 +51,84 @@ class WordCache(dict):
 
     The tokenizer's normaliser and pre-tokeniser treat white space as a border that
     nothing crosses, so that a text's ids are those of its stretches in order.
+
+    A new stretch of plain characters is cut into the pre-tokeniser's words here.  New
+    words are encoded many at a time, as one text with spaces between; a word's last
+    token is the one that carries the end-of-word mark.  All other stretches, rare, are
+    handed to the tokenizer as they are.
     """
 
+    #: Characters that lower-casing and composition treat one by one, and the words of the pre-tokeniser among them.
+    PLAIN = re.compile(r"[\x21-\x7e\xc0-\xff]+")
+    WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\xff]+")
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        if self.tokenizer.get_vocab_size() > 1 << 16:
+        vocabulary = self.tokenizer.get_vocab()
+        if max(vocabulary.values()) >= 1 << 16:
             raise ValueError("ids need 16 bits")
-
-    def learn(self, words: list[bytes]) -> None:
-        new = list({w for w in words if w not in self})
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        for token, number in vocabulary.items():
+            self.ends[number] = token.endswith("</w>")
+        self.words: dict[str, bytes] = {}
+
+    def learn_words(self, words: list[str]) -> None:
+        known = self.words
+        new = list({w for w in words if w not in known})
+        if len(known) + len(new) > CACHE:
+            known.clear()
+            new = list(set(words))
+        for at in range(0, len(new), 1024):
+            part = new[at : at + 1024]
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u2")
+            cuts = np.nonzero(self.ends[ids])[0] + 1
+            if len(cuts) != len(part):
+                raise ValueError("the tokenizer doesn't mark the end of each word once")
+            whole = ids.tobytes()
+            for w, lo, hi in zip(part, [0, *(2 * cuts[:-1]).tolist()], (2 * cuts).tolist(), strict=True):
+                known[w] = whole[lo:hi]
+
+    def learn(self, stretches: list[bytes]) -> None:
+        new = list({x for x in stretches if x not in self})
         if len(self) + len(new) > CACHE:
             self.clear()
-            new = list(set(words))
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            found = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in part], add_special_tokens=False)
-            for w, e in zip(part, found, strict=True):
-                self[w] = np.array(e.ids, "<u2").tobytes()
-
-    def encode(self, text: str) -> bytes:
-        """The ids of a whole text."""
-        words = text.encode("utf-8").split()
-        try:
-            return b"".join([self[w] for w in words])
-        except KeyError:
-            out = []
-            for at in range(0, len(words), CACHE // 2):
-                part = words[at : at + CACHE // 2]
-                self.learn(part)
-                out += [self[w] for w in part]
-            return b"".join(out)
+            new = list(set(stretches))
+        plain, other = {}, []
+        for x in new:
+            text = x.decode("utf-8")
+            if self.PLAIN.fullmatch(text) and "<|" not in text:
+                plain[x] = self.WORDS.findall(text.lower())
+            else:
+                other.append((x, text))
+        self.learn_words([w for words in plain.values() for w in words])
+        known = self.words
+        for x, words in plain.items():
+            self[x] = b"".join([known[w] for w in words])
+        for at in range(0, len(other), 1024):
+            part = other[at : at + 1024]
+            found = self.tokenizer.encode_batch_fast([t for _, t in part], add_special_tokens=False)
+            for (x, _), e in zip(part, found, strict=True):
+                self[x] = np.array(e.ids, "<u2").tobytes()
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each whole text."""
+        out = []
+        cut = [t.encode("utf-8").split() for t in texts]
+        self.learn([x for stretches in cut for x in stretches if x not in self] if sum(map(len, cut)) < CACHE // 2 else [])
+        for stretches in cut:
+            try:
+                out.append(b"".join([self[x] for x in stretches]))
+            except KeyError:
+                got = []
+                for at in range(0, len(stretches), CACHE // 4):
+                    part = stretches[at : at + CACHE // 4]
+                    self.learn(part)
+                    got += [self[x] for x in part]
+                out.append(b"".join(got))
+        return out
 
 
 def encoder(path: str) -> WordCache:
@@ -103,12 +149,11 @@ def tokenised(df: DataFrame, tokenizer: str, text: str = "text", ident: str = "d
         full = tail = 0
         ranks = [0] * (window // unit)
         for b in batches:
-            texts = b.column(1)
-            sizes = texts.cast(pa.large_string()).to_pylist()
-            for lo, hi in size_batches([len(t) for t in sizes], 2000, 8_000_000):
+            texts = b.column(1).to_pylist()
+            for lo, hi in size_batches([len(t) for t in texts], 200, 400_000):
                 rows = []
-                for t in sizes[lo:hi]:
-                    ids = words.encode(t) + end
+                for ids in words.encode_all(texts[lo:hi]):
+                    ids += end
                     n = len(ids) // 2
                     rest = n % window
                     size, left = divmod(rest, unit)
