@@ -40,32 +40,29 @@ UNIT = 64
 DEPTH = 4
 CLOSING = 2
 #: Words whose ids a worker remembers at most.
-CACHE = 400_000
+CACHE = 1_000_000
 PIECES = "doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 _encoders: dict[str, WordCache] = {}
 
 
-class WordCache(dict):
-    """Ids, as little-endian 16-bit bytes, of stretches free of ASCII white space.
+class WordCache:
+    """Ids, as little-endian 16-bit bytes, of words met before.
 
-    The tokenizer's normaliser and pre-tokeniser treat white space as a border that
-    nothing crosses, so that a text's ids are those of its stretches in order.
-
-    A new stretch of plain characters is cut into the pre-tokeniser's words here.  New
-    words are encoded many at a time, as one text with spaces between; a word's last
-    token is the one that carries the end-of-word mark.  All other stretches, rare, are
-    handed to the tokenizer as they are.
+    A text of plain characters is cut into the pre-tokeniser's words here.  New words are
+    encoded many at a time, as one text with spaces between; a word's last token is the
+    one that carries the end-of-word mark.  Any other text is cut at ASCII white space,
+    which nothing crosses in the tokenizer's normaliser and pre-tokeniser; its plain
+    stretches go the same way, and the rest are handed to the tokenizer as they are.
     """
 
-    #: Characters that lower-casing and composition treat one by one, and the words of the pre-tokeniser among them.
-    PLAIN = re.compile(r"[\x21-\x7e\xc0-\xff]+")
-    WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\xff]+")
+    #: Characters that lower-casing and composition treat one by one, with ASCII white space, and the words of the pre-tokeniser among them.
+    PLAIN = re.compile(r"[\x09-\x0d\x20-\x7e\xc0-\xff]*")
+    WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\xff\s]+")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
         if max(vocabulary.values()) >= 1 << 16:
@@ -73,62 +70,51 @@ class WordCache(dict):
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, number in vocabulary.items():
             self.ends[number] = token.endswith("</w>")
-        self.words: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
+
+    def words(self, text: str) -> list[str] | None:
+        """The pre-tokeniser's words of a plain text; None if it isn't plain."""
+        if self.PLAIN.fullmatch(text) and "<|" not in text:
+            return self.WORDS.findall(text.lower())
+        return None
 
-    def learn_words(self, words: list[str]) -> None:
-        known = self.words
-        new = list({w for w in words if w not in known})
+    def learn(self, words: set[str]) -> None:
+        known = self.known
+        new = list(words - known.keys())
         if len(known) + len(new) > CACHE:
             known.clear()
-            new = list(set(words))
+            new = list(words)
         for at in range(0, len(new), 1024):
             part = new[at : at + 1024]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u2")
-            cuts = np.nonzero(self.ends[ids])[0] + 1
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u2")
+            cuts = 2 * (np.nonzero(self.ends[ids])[0] + 1)
             if len(cuts) != len(part):
                 raise ValueError("the tokenizer doesn't mark the end of each word once")
-            whole = ids.tobytes()
-            for w, lo, hi in zip(part, [0, *(2 * cuts[:-1]).tolist()], (2 * cuts).tolist(), strict=True):
-                known[w] = whole[lo:hi]
-
-    def learn(self, stretches: list[bytes]) -> None:
-        new = list({x for x in stretches if x not in self})
-        if len(self) + len(new) > CACHE:
-            self.clear()
-            new = list(set(stretches))
-        plain, other = {}, []
-        for x in new:
-            text = x.decode("utf-8")
-            if self.PLAIN.fullmatch(text) and "<|" not in text:
-                plain[x] = self.WORDS.findall(text.lower())
+            whole, cuts = ids.tobytes(), cuts.tolist()
+            known.update(zip(part, [whole[lo:hi] for lo, hi in zip([0, *cuts], cuts, strict=False)], strict=True))
+
+    def _other(self, text: str) -> bytes:
+        out = []
+        stretches = text.encode("utf-8").split()
+        for x in stretches:
+            stretch = x.decode("utf-8")
+            words = self.words(stretch)
+            if words is None:
+                ids = self.tokenizer.encode(stretch, add_special_tokens=False).ids
+                out.append(np.array(ids, "<u2").tobytes())
             else:
-                other.append((x, text))
-        self.learn_words([w for words in plain.values() for w in words])
-        known = self.words
-        for x, words in plain.items():
-            self[x] = b"".join([known[w] for w in words])
-        for at in range(0, len(other), 1024):
-            part = other[at : at + 1024]
-            found = self.tokenizer.encode_batch_fast([t for _, t in part], add_special_tokens=False)
-            for (x, _), e in zip(part, found, strict=True):
-                self[x] = np.array(e.ids, "<u2").tobytes()
+                if not all(w in self.known for w in words):
+                    self.learn(set(words))
+                out += [self.known[w] for w in words]
+        return b"".join(out)
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """The ids of each whole text."""
-        out = []
-        cut = [t.encode("utf-8").split() for t in texts]
-        self.learn([x for stretches in cut for x in stretches if x not in self] if sum(map(len, cut)) < CACHE // 2 else [])
-        for stretches in cut:
-            try:
-                out.append(b"".join([self[x] for x in stretches]))
-            except KeyError:
-                got = []
-                for at in range(0, len(stretches), CACHE // 4):
-                    part = stretches[at : at + CACHE // 4]
-                    self.learn(part)
-                    got += [self[x] for x in part]
-                out.append(b"".join(got))
-        return out
+        cut = [self.words(t) for t in texts]
+        self.learn(set().union(*(words for words in cut if words)))
+        find = self.known.__getitem__
+        plain = [None if words is None else b"".join(map(find, words)) for words in cut]
+        return [self._other(t) if ids is None else ids for t, ids in zip(texts, plain, strict=True)]
 
 
 def encoder(path: str) -> WordCache:
