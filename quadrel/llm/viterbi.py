@@ -43,7 +43,7 @@ from quadrel.llm.shared import text_of
 #: Fixed value: the character that stands for a space.
 MARK = "▁"
 #: Stretches whose ids a worker remembers at most, and the longest that is remembered.
-CACHE = 400_000
+CACHE = 1_000_000
 CACHE_CHARS = 64
 
 _models: dict[str, Model] = {}
@@ -77,7 +77,7 @@ class Model:
         self.mark_begins = not any(MARK in p.lstrip(MARK) for p in longer)
         self.line_stands_alone = not any("\n" in pair for pair in self.inner)
         self.stable_pairs: dict[tuple[str, str], bool] = {}
-        self.own: dict[str, bool] = {}
+        self.reached = {p for p in self.ids if len(p) == 1 or self.merge(p) == [p]}  # pieces that merging their characters gives
         self.known: dict[str, bytes] = {}
         self.stretches = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n" if self.line_stands_alone else f"{MARK}*[^{MARK}]+|{MARK}+")
 
@@ -94,16 +94,10 @@ class Model:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def reached(self, piece: str) -> bool:
-        """Whether merging the piece's characters gives the piece."""
-        if piece not in self.own:
-            self.own[piece] = len(piece) == 1 or self.merge(piece) == [piece]
-        return self.own[piece]
-
     def stable(self, left: str, right: str) -> bool:
         pair = (left, right)
         if pair not in self.stable_pairs:
-            if len(self.stable_pairs) > 4 * CACHE:
+            if len(self.stable_pairs) > CACHE:
                 self.stable_pairs.clear()
             self.stable_pairs[pair] = self.merge(left + right) == [left, right]
         return self.stable_pairs[pair]
@@ -112,18 +106,21 @@ class Model:
         """Pieces of a stream of characters, each handed on as soon as it is final."""
         held = ""  # characters from the last final boundary on
         last = [""]  # the last piece of the path to each place of held; of the first, the piece before it
+        reached, known, longest, end = self.reached, self.stable_pairs.get, self.longest, 0
         for c in characters:
             held += c
-            end = len(held)
-            for start in range(end - 1, max(-1, end - self.longest - 1), -1):
+            end += 1
+            for start in range(end - 1, max(-1, end - longest - 1), -1):
                 piece = held[start:end]
-                if (end - start == 1 or piece in self.ids and self.reached(piece)) and (not last[start] or self.stable(last[start], piece)):
-                    break  # the only stable one that ends here
+                if piece in reached or start == end - 1:
+                    left = last[start]
+                    if not left or ((found := known((left, piece))) is None and self.stable(left, piece)) or found:
+                        break  # the only stable one that ends here
             last.append(piece)
-            if end >= 2 * self.longest and (final := self._converged(last, end)):
+            if end >= 2 * longest and (final := self._converged(last, end)):
                 yield from final
                 cut = sum(map(len, final))
-                held, last = held[cut:], [final[-1], *last[cut + 1 :]]
+                held, last, end = held[cut:], [final[-1], *last[cut + 1 :]], end - cut
         yield from self._trace(last, len(held))
 
     def _trace(self, last: list[str], end: int) -> list[str]:
