@@ -134,10 +134,11 @@ def normal_of(kind: Column, value: Column) -> Column:
 
 
 def _scramble(value: Column, seed: Column) -> Column:
-    """Digits for digits, letters for letters of the same case; all else stays."""
+    """Digits for digits, letters for letters of the same case (of hexadecimal, if it is); all else stays."""
+    letters = F.when(value.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), F.lit(6)).otherwise(F.lit(26))
 
     def one(c: Column, i: Column) -> Column:
-        letter = F.pmod(_byte(seed, i), F.lit(26)) + 97
+        letter = F.pmod(_byte(seed, i), letters) + 97
         return (
             F.when(c.rlike("^[0-9]$"), F.pmod(_byte(seed, i), F.lit(10)).cast("string"))
             .when(c.rlike("^[a-z]$"), F.chr(letter))
