@@ -100,7 +100,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
+    "pipeline": pipeline,
     "op1_exact_dedup": op1_exact_dedup,
     "op2_token_counts": op2_token_counts,
     "op3_closed_syncmers": op3_closed_syncmers,

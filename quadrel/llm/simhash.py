@@ -21,6 +21,14 @@ the same such word are linked with each other and hang on the least of them.
 
 Copies share a fingerprint and take part once.  Components are formed on fingerprints.
 
+*Near copies by similarity.*  :func:`similar_classes` links texts whose sets of five-word
+shingles have a Jaccard similarity of 0.8 or more.  Such texts differ in up to about eight
+bits when the fingerprint is of word pairs (shingles of five words would spread them over
+fifteen), so candidates are sought within eight bits: keys are pairs of codeword indices of
+two segments, which texts within five bits always share and those within eight mostly.  Of
+the candidates of a key, the links of a minimum spanning forest by differing bits are
+checked on the texts themselves.
+
 Defined cases: null or wordless texts have fingerprint zero, linked as any other; fewer
 words than a shingle holds make one shingle; rows that repeat get the same answer; an
 empty table gives an empty result; null ids never become a component's id unless all of
@@ -34,6 +42,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -199,3 +208,201 @@ def near_classes(df: DataFrame, text: str = "text", ident: str = "doc_id", words
     rooted = owners.join(roots, owners["print"] == roots["node"], "left").select("print", "least", F.coalesce("root", "print").alias("root"))
     best = rooted.groupBy("root").agg(F.min("least").alias("component"))
     return prints.join(rooted.join(best, "root").select("print", "component"), "print").select("ident", "print", "component")
+
+
+#: For similar texts: words of a shingle, least similarity, words of a fingerprint's shingle, bits within which candidates are sought.
+SHINGLE = 5
+SIMILARITY = 0.8
+FEATURE = 2
+REACH = 8
+
+
+def pair_keys_of(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place in ``prints``, key) for all pairs of codeword indices of two segments, each once."""
+    near = []
+    for at, width in SEGMENTS:
+        indices = fuzzy_indices((prints >> np.uint64(at)) & np.uint64((1 << width) - 1))
+        new = np.ones(indices.shape, bool)
+        new[:, 1:] = indices[:, 1:] != indices[:, :-1]
+        near.append((indices, new))
+    places, keys = [], []
+    for i in range(3):
+        (one, new), (other, also) = near[i], near[(i + 1) % 3]
+        place, a, b = np.nonzero(new[:, :, None] & also[:, None, :])
+        places.append(place)
+        keys.append((np.int64(i) << 24) | (one[place, a].astype(np.int64) << 12) | other[place, b].astype(np.int64))
+    return np.concatenate(places), np.concatenate(keys)
+
+
+def spanning_links(prints: np.ndarray, radius: int) -> list[tuple[int, int]]:
+    """Links of a minimum spanning forest by differing bits, none above ``radius``."""
+    prints = np.unique(prints)
+    n, out = len(prints), []
+    best = np.full(n, 65, np.int64)
+    parent = np.zeros(n, np.int64)
+    outside = np.ones(n, bool)
+    for _ in range(n):
+        at = int(np.argmin(np.where(outside, best, 66)))
+        if best[at] <= radius:
+            out.append((int(prints[at].view(np.int64)), int(prints[parent[at]].view(np.int64))))
+        outside[at] = False
+        bits = np.bitwise_count(prints ^ prints[at])
+        closer = outside & (bits < best)
+        best[closer] = bits[closer]
+        parent[closer] = at
+    return out
+
+
+def _links_within(radius: int):
+    """Spanning links of each run of equal keys in a sorted stream of (key, print); the rows of runs above ``BUCKET`` come out as (key, print, true)."""
+
+    def of(key: np.ndarray, prints: np.ndarray):
+        first = np.concatenate(([0], np.nonzero(np.diff(key))[0] + 1))
+        sizes = np.diff(np.append(first, len(key)))
+        two = first[sizes == 2]
+        close = np.bitwise_count(prints[two].view(np.uint64) ^ prints[two + 1].view(np.uint64)) <= radius
+        found = [np.column_stack((prints[two], prints[two + 1]))[close]]
+        large = []
+        for at, size in zip(first[sizes > 2], sizes[sizes > 2], strict=True):
+            if size > BUCKET:
+                large.append(np.column_stack((key[at : at + size], prints[at : at + size])))
+            elif links := spanning_links(prints[at : at + size].view(np.uint64), radius):
+                found.append(np.array(links, np.int64))
+        for rows, is_large in ((found, False), (large, True)):
+            whole = np.concatenate(rows) if rows else np.zeros((0, 2), np.int64)
+            if len(whole):
+                yield pa.RecordBatch.from_arrays([pa.array(whole[:, 0]), pa.array(whole[:, 1]), pa.array(np.full(len(whole), is_large))], names=["a", "b", "large"])
+
+    def as_large(keys: np.ndarray, prints: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(prints), pa.array(np.ones(len(keys), bool))], names=["a", "b", "large"])
+
+    def run(batches):
+        keys = prints = np.zeros(0, np.int64)
+        running = None  # key of a run too long to hold, whose rows are handed on as they come
+        for b in batches:
+            new, also = b.column(0).to_numpy(), b.column(1).to_numpy()
+            if running is not None and (n := int(np.searchsorted(new, running, side="right"))):
+                yield as_large(new[:n], also[:n])
+                new, also = new[n:], also[n:]
+            if not len(new):
+                continue
+            running = None
+            keys, prints = np.concatenate((keys, new)), np.concatenate((prints, also))
+            cut = int(np.searchsorted(keys, keys[-1]))
+            if cut:
+                yield from of(keys[:cut], prints[:cut])
+            keys, prints = keys[cut:], prints[cut:]
+            if len(keys) > BUCKET:
+                yield as_large(keys, prints)
+                running, keys, prints = keys[0], keys[:0], prints[:0]
+        if len(keys):
+            yield from of(keys, prints)
+
+    return run
+
+
+def near_links(prints: DataFrame, radius: int = REACH) -> DataFrame:
+    """(a, b): for the distinct values of ``print``, spanning links within ``radius`` bits of those that share a pair key.
+
+    Buckets above ``BUCKET`` are cut into chunks, and every two chunks are compared in a
+    task of their own: the same links, without bringing the bucket together.
+    """
+
+    def emit(batches):
+        for b in batches:
+            signed = b.column(0).to_numpy(zero_copy_only=False)
+            for at in range(0, len(signed), 1 << 12):
+                part = signed[at : at + (1 << 12)]
+                place, key = pair_keys_of(part.view(np.uint64))
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(part[place])], names=["key", "print"])
+
+    def compare(table: pa.Table) -> pa.Table:
+        links = spanning_links(np.unique(table.column("print").to_numpy()).view(np.uint64), radius)
+        return pa.table({k: pa.array([x[i] for x in links], pa.int64()) for i, k in enumerate("ab")})
+
+    keyed = prints.select("print").distinct().mapInArrow(emit, "key long, print long")
+    found = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_links_within(radius), "a long, b long, large boolean")
+    found = written(found.distinct(), "near-links")
+    out = found.where("NOT large").select("a", "b")
+    large = found.where("large").select(F.col("a").alias("key"), F.col("b").alias("print"))
+    if not large.isEmpty():
+        chunks = large.join(large.groupBy("key").agg(F.ceil(F.count("*") * 2 / BUCKET).cast("int").alias("chunks")), "key")
+        own = F.pmod(F.xxhash64("print"), F.col("chunks")).cast("int")
+        dealt = chunks.select("key", "print", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
+        pairs = dealt.groupBy("key", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"))
+        out = out.unionByName(pairs.applyInArrow(compare, "a long, b long")).distinct()
+    return out
+
+
+def shingle_set(text: str, words: int = SHINGLE) -> set[bytes]:
+    """The distinct shingles of a text; fewer words make one."""
+    parts = text.encode("utf-8").lower().split()
+    return {b" ".join(parts[i : i + words]) for i in range(max(1, len(parts) - words + 1))}
+
+
+def similar_classes(df: DataFrame, text: str = "text", ident: str = "doc_id", similarity: float = SIMILARITY, words: int = SHINGLE) -> DataFrame:
+    """(row, ident, component) of each distinct row; component is the smallest ident reachable by links of similar texts.
+
+    ``row`` is :func:`row_of` the row.  Copies are linked, as they share fingerprint and
+    shingles.
+    """
+    keyed = df.select(row_of(text, ident).alias("row"), F.col(ident).alias("ident"), text_of(text).alias("text"))
+    kind = df.schema[ident].dataType.simpleString()
+
+    def run(batches):
+        for b in batches:
+            prints = np.array([fingerprint(t, FEATURE) for t in b.column(2).to_pylist()], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(prints)], names=["row", "ident", "print"])
+
+    prints = written(keyed.mapInArrow(run, f"row long, ident {kind}, print long"), "similar-prints")
+    owners = prints.groupBy("print").agg(F.min("row").alias("owner"))
+    found = near_links(prints)
+    a, b = (owners.select(F.col("print").alias(c), F.col("owner").alias(r)) for c, r in (("a", "one"), ("b", "two")))
+    between = found.join(a, "a").join(b, "b").select("one", "two")
+    within = prints.join(owners, "print").where("row != owner").select(F.col("row").alias("one"), F.col("owner").alias("two"))
+    pairs = written(between.unionByName(within).distinct(), "similar-pairs")
+
+    def pack(batches):
+        press = zstandard.ZstdCompressor(level=3)
+        for b in batches:
+            packed = [press.compress(t.encode("utf-8")) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(packed, pa.binary())], names=["row", "packed"])
+
+    def verify(batches):
+        press = zstandard.ZstdDecompressor()
+        sets: dict[int, set[bytes]] = {}
+        for b in batches:
+            same = []
+            for one, two, x, y in zip(*(b.column(c).to_pylist() for c in ("one", "two", "x", "y")), strict=True):
+                if len(sets) > 256:
+                    sets.clear()
+                for row, packed in ((one, x), (two, y)):
+                    if row not in sets:
+                        sets[row] = shingle_set(press.decompress(packed).decode("utf-8"), words)
+                shared = len(sets[one] & sets[two])
+                same.append(shared >= similarity * (len(sets[one]) + len(sets[two]) - shared))
+            keep = pa.array(same, pa.bool_())
+            yield pa.RecordBatch.from_arrays([b.column("one").filter(keep), b.column("two").filter(keep)], names=["a", "b"])
+
+    needed = pairs.select(F.col("one").alias("row")).unionByName(pairs.select(F.col("two").alias("row"))).distinct()
+    packed = keyed.select("row", "text").mapInArrow(pack, "row long, packed binary").join(needed, "row", "left_semi").dropDuplicates(["row"])
+    packed = written(packed, "similar-texts")
+    x, y = (packed.select(F.col("row").alias(r), F.col("packed").alias(c)) for r, c in (("one", "x"), ("two", "y")))
+    verified = pairs.join(x, "one").join(y, "two").select("one", "two", "x", "y").mapInArrow(verify, "a long, b long")
+    roots = components(verified, "similar-links")
+    rooted = prints.join(roots, prints["row"] == roots["node"], "left").select("row", "ident", F.coalesce("root", "row").alias("root"))
+    best = rooted.groupBy("root").agg(F.min("ident").alias("component"))
+    return rooted.join(best, "root").select("row", "ident", "component").distinct()
+
+
+def row_of(text: str = "text", ident: str = "doc_id"):
+    """What a row is known by: a 64-bit hash of its id and its text."""
+    return F.xxhash64(F.col(f"`{ident}`"), text_of(f"`{text}`"))
+
+
+def deduplicate(df: DataFrame, text: str = "text", ident: str = "doc_id", similarity: float = SIMILARITY, words: int = SHINGLE) -> DataFrame:
+    """``df`` with one row, of the smallest id, of each group of similar texts; rows that repeat id and text share one decision."""
+    classes = written(similar_classes(df, text, ident, similarity, words), "similar-classes")
+    gone = classes.where("NOT (ident <=> component)").select(F.col("row").alias("_row"))
+    marked = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("whole"), row_of(text, ident).alias("_row"))
+    return marked.join(gone, "_row", "left_anti").select("whole.*")
