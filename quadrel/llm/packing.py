@@ -80,7 +80,7 @@ class WordCache:
 
     def learn(self, words: set[str]) -> None:
         known = self.known
-        new = list(words - known.keys())
+        new = [w for w in words if w not in known]
         if len(known) + len(new) > CACHE:
             known.clear()
             new = list(words)
