@@ -56,8 +56,8 @@ from quadrel.llm.shared import text_of
 
 DECAY = 0.7
 LONGEST = 20
-LANDMARKS = 512
-SAMPLE = 2000
+LANDMARKS = 400
+SAMPLE = 1500
 EVIDENCE = 24.0
 ROUNDS = 3
 LETTERS = 64
@@ -181,24 +181,25 @@ def _by_length(words: list[str]):
 
 def kernel(machine: Machine, words: list[str], landmarks: list[str]) -> np.ndarray:
     """Normalised kernel values of words against landmarks."""
-    table = np.zeros((len(landmarks), LETTERS**3), np.float32)
+    rows, columns, values = [], [], []
     for size, at in _by_length(landmarks):
         places, weights = _triples(size)
         codes = machine.codes([landmarks[i] for i in at])
         index = (codes[:, places[:, 0]] * LETTERS + codes[:, places[:, 1]]) * LETTERS + codes[:, places[:, 2]]
         known = (codes[:, places] > 0).all(axis=2)
-        for row, ix, ok, norm in zip(at, index, known, _norms(_distinct_unknown(codes)), strict=True):
-            np.add.at(table[row], ix[ok], weights[ok] / norm)
-    used = np.nonzero(table.any(axis=0))[0]
+        rows.append(np.broadcast_to(at[:, None], index.shape)[known])
+        columns.append(index[known])
+        values.append((weights[None, :] / _norms(_distinct_unknown(codes))[:, None])[known])
+    used, place = np.unique(np.concatenate(columns), return_inverse=True)
     narrow = np.zeros((len(used) + 1, len(landmarks)), np.float32)
-    narrow[1:] = table[:, used].T
+    np.add.at(narrow, (place + 1, np.concatenate(rows)), np.concatenate(values).astype(np.float32))
     column = np.zeros(LETTERS**3, np.int32)
     column[used] = np.arange(1, len(used) + 1)
     out = np.zeros((len(words), len(landmarks)))
     for size, at in _by_length(words):
         places, weights = _triples(size)
-        for lo in range(0, len(at), 512):
-            part = at[lo : lo + 512]
+        for lo in range(0, len(at), 256):
+            part = at[lo : lo + 256]
             codes = machine.codes([words[i] for i in part])
             index = column[(codes[:, places[:, 0]] * LETTERS + codes[:, places[:, 1]]) * LETTERS + codes[:, places[:, 2]]]
             # One row for each word, of its subsequences that some landmark has.
@@ -284,15 +285,14 @@ def suspects(toxic: list[set[str]], clean: list[set[str]]) -> set[str]:
     toxic, clean = without_copies(toxic), without_copies(clean)
     if not toxic or not clean:
         return set()
-    counts: dict[str, list[int]] = {}
-    for side, docs in enumerate((toxic, clean)):
-        for words in docs:
-            for x in {w[:k] + "*" for w in words for k in STEMS if len(w) > k} | words:
-                counts.setdefault(x, [0, 0])[side] += 1
+    marks = lambda words: {w[:k] + "*" for w in words for k in STEMS if len(w) > k} | words
+    often = Counter(x for words in toxic for x in marks(words))
+    often = {x: t for x, t in often.items() if t >= 5}
+    also = Counter(x for words in clean for x in marks(words) if x in often)
     strong = {
         x
-        for x, (t, c) in counts.items()
-        if t >= 5 and c * len(toxic) < 0.02 * t * len(clean) and log_likelihood_ratio(t, c, len(toxic), len(clean)) > EVIDENCE
+        for x, t in often.items()
+        if also[x] * len(toxic) < 0.02 * t * len(clean) and log_likelihood_ratio(t, also[x], len(toxic), len(clean)) > EVIDENCE
     }
     return {w for words in toxic for w in words if w in strong or any(w[:k] + "*" in strong for k in STEMS if len(w) > k)}
 
@@ -309,16 +309,20 @@ def train(texts: list[str], labels: list[int]) -> Machine:
     empty = Machine({}, np.zeros(LETTERS**3), 0.0, np.zeros(WORST + 1), share)
     if share in (0.0, 1.0):
         return empty
-    # A document is the sentences it has, a sentence its words.
-    docs = [[{u for u in map(unit, chunks(s)) if len(u) > 2} for s in SENTENCE.split(t)] for t in texts]
-    flat = [set().union(*sentences) for sentences in docs]
+    known: dict[str, str] = {}
+
+    def units(text: str) -> set[str]:
+        found = (known.get(c) or known.setdefault(c, unit(c)) for c in chunks(text))
+        return {u for u in found if len(u) > 2}
+
+    flat = [units(t) for t in texts]
     toxic = [w for w, y in zip(flat, labels, strict=True) if y]
     clean = [w for w, y in zip(flat, labels, strict=True) if not y]
     guilty = {p for w in suspects(toxic, clean) for p in windows(w)}
     if not guilty:
         return empty
-    toxic_sentences = [s for sentences, y in zip(docs, labels, strict=True) if y for s in sentences if s & guilty]
-    insults = sorted(set().union(*toxic_sentences) & guilty)
+    sentences = (units(s) for t, y in zip(texts, labels, strict=True) if y for s in SENTENCE.split(t))
+    insults = sorted({w for words in sentences for w in words & guilty} or guilty)
     innocent = sorted({p for words in clean for w in words for p in windows(w)} - guilty)
     letters: dict[str, int] = {}
     for w in itertools.chain(insults, innocent):
@@ -329,12 +333,12 @@ def train(texts: list[str], labels: list[int]) -> Machine:
     held = [Counter(p for words in docs for w in words for p in windows(w)) for docs in (clean, toxic)]
 
     spread = lambda items, n: [items[i * len(items) // n] for i in range(n)] if len(items) > n else items
-    positive = {w: held[1][w] for w in spread(insults, 1500)}
+    positive = {w: held[1][w] for w in spread(insults, 1000)}
     for i, w in enumerate(list(positive)):
         for altered in (_with_letter(w, i), _with_letter(w, 3 * i + 1)):
             if len(altered) <= LONGEST and altered not in held[0]:
                 positive.setdefault(altered, held[1][w] / 4)
-    negative = {*spread(innocent, 5000), *sorted(innocent, key=lambda w: (-held[0][w], w))[:1000]}
+    negative = {*spread(innocent, 4000), *sorted(innocent, key=lambda w: (-held[0][w], w))[:1000]}
     chosen = sorted({*spread(insults, LANDMARKS // 4), *spread(innocent, LANDMARKS // 4)})
     checked = spread(innocent, 120_000)
     for turn in range(ROUNDS):
@@ -351,7 +355,7 @@ def train(texts: list[str], labels: list[int]) -> Machine:
         machine.bias = float(w[-1])
         if turn < ROUNDS - 1:
             scores = machine.word_scores(checked)
-            hard = [checked[i] for i in np.argsort(-scores, kind="stable")[:1500]]
+            hard = [checked[i] for i in np.argsort(-scores, kind="stable")[:1200]]
             negative |= set(hard)
             chosen = sorted({*chosen, *spread(hard[:600], LANDMARKS // 4)})
     every = sorted(set().union(*flat))
@@ -416,7 +420,7 @@ def score(df: DataFrame, machine: Machine, text: str = "text", ident: str | None
                 every = set().union(*cut)
                 if len(cache) + len(every) > CACHE:
                     cache.clear()
-                new = list(every - cache.keys())
+                new = [x for x in every if x not in cache]
                 if new:
                     units = [unit(x) for x in new]
                     distinct = list(dict.fromkeys(units))
