@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 def kind(field: Column) -> Column:
@@ -55,7 +56,7 @@ def greedy_json(text: Column) -> Column:
     return F.coalesce(F.try_parse_json(text), F.try_parse_json(F.regexp_extract(text, r"(?s)\{.*\}", 0)))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _first_object(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     import json
 
