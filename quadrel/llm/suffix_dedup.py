@@ -48,8 +48,8 @@ ANCHOR = 64
 #: Distinct segments of an anchor that may stand in one shard.
 HOT = 20_000
 #: Bytes of text that a shard is meant to have, and bytes that are hashed at a time.
-SHARD_BYTES = 3_000_000
-BLOCK = 2_000_000
+SHARD_BYTES = 1_500_000
+BLOCK = 500_000
 #: Low bits of a sort key that hold the place within a block.
 PLACE_BITS = 23
 
@@ -218,7 +218,7 @@ def remove_repeats(df: DataFrame, text: str = "text", ident: str = "doc_id", len
     kind = df.schema[ident].dataType.simpleString()
     docs = df.select(F.xxhash64(F.col(ident), text_of(text)).alias("row"), text_of(text).alias("text"), F.col(ident).alias("doc_id"))
     scanned = docs.where(F.octet_length("text") >= length).select("row", "text")
-    scanned = scanned.mapInArrow(_scan(length, anchor), "anchor long, segment long, row long, start long, size int")
+    scanned = written(scanned.mapInArrow(_scan(length, anchor), "anchor long, segment long, row long, start long, size int"), "all-segments")
     repeated = scanned.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
     found = written(scanned.join(repeated, "anchor", "left_semi"), "segments")
     distinct = found.groupBy("anchor", "segment").agg(F.count("*").alias("copies"), F.min(F.struct("row", "start", "size")).alias("one"))
