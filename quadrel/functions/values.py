@@ -84,7 +84,7 @@ def turtle_of_reply(text: Column) -> Column:
     fenced = F.regexp_extract(text, r"(?is)```(?:turtle|ttl)?\s*\n(.*?)```", 1)
     at = lambda mark: F.instr(text, mark)
     start = lambda mark: F.when(at(mark) > 0, F.substring(text, at(mark), F.length(text)))
-    return F.trim(F.coalesce(F.nullif(fenced, F.lit("")), start("@prefix"), start("@base"), text))
+    return F.btrim(F.coalesce(F.nullif(fenced, F.lit("")), start("@prefix"), start("@base"), text), F.lit(" \t\r\n"))
 
 
 def top_level_field(lines: Column, key: str, indented: bool = False) -> Column:

@@ -11,12 +11,13 @@ from pyspark.sql.types import StringType
 
 from quadrel.functions.slug import canonical_key
 from quadrel.functions.values import top_level_field
+from quadrel.sources.turtle import plain_name
 
 
 def read_whole(spark: SparkSession, path: str, glob: str, recursive: bool = False) -> DataFrame:
     """(path, file, text) of the files that match."""
     files = spark.read.text(path, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=recursive)
-    return files.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file"), F.col("value").alias("text"))
+    return files.select(F.col("_metadata.file_path").alias("path"), plain_name(F.col("_metadata.file_name")).alias("file"), F.col("value").alias("text"))
 
 
 def read_json(spark: SparkSession, path: str) -> DataFrame:

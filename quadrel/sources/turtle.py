@@ -240,9 +240,14 @@ def graph_name(file_name: Column, namespace: str) -> Column:
     return F.concat(F.lit(namespace), F.lower(F.regexp_replace(file_name, r"\.[^.]*$", "")))
 
 
+def plain_name(name: Column) -> Column:
+    """A file's name as it was given, without the escapes of a path."""
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+
 def read_documents(spark: SparkSession, path: str, glob: str = "*.ttl", namespace: str = "urn:graph:") -> DataFrame:
     """(g, file, text) of the files below ``path`` that match ``glob`` and don't begin with two underscores."""
-    files = spark.read.text(path, wholetext=True, pathGlobFilter=glob).select("value", F.col("_metadata.file_name").alias("file"))
+    files = spark.read.text(path, wholetext=True, pathGlobFilter=glob).select("value", plain_name(F.col("_metadata.file_name")).alias("file"))
     return files.where(~F.col("file").startswith("__")).select(graph_name(F.col("file"), namespace).alias("g"), "file", F.col("value").alias("text"))
 
 
