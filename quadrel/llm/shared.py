@@ -78,3 +78,10 @@ def size_batches(sizes, most_rows: int, most_units: int):
 def let(value: Column, then: Callable[[Column], Column]) -> Column:
     """``then(value)``, with ``value`` evaluated once for the row however often it is used."""
     return F.element_at(F.transform(F.array(value), then), 1)
+
+
+def sliced(batches, rows: int = 256):
+    """The record batches in slices of ``rows`` rows, so that what becomes of them as Python objects stays small."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quadrel.llm.induced import common_prefixes, suffix_array
-from quadrel.llm.shared import size_batches, text_of, written
+from quadrel.llm.shared import size_batches, sliced, text_of, written
 
 LENGTH = 200
 ANCHOR = 64
@@ -146,7 +146,7 @@ def _text_blocks(texts: list[bytes], overlap: int):
 
 def _scan(length: int, anchor: int):
     def run(batches):
-        for b in batches:
+        for b in sliced(batches):
             keys = b.column(0).to_numpy(zero_copy_only=False)
             texts = [t.encode("utf-8") for t in b.column(1).to_pylist()]
             for data, starts, ends, row, shift in _text_blocks(texts, length - 1):
@@ -162,7 +162,7 @@ def _scan(length: int, anchor: int):
 
 def _pack(batches):
     pack = zstandard.ZstdCompressor(level=3)
-    for b in batches:
+    for b in sliced(batches):
         packed = [pack.compress(t.encode("utf-8")) for t in b.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(packed, pa.binary()), *b.columns[2:]], names=b.schema.names)
 
@@ -219,10 +219,11 @@ def remove_repeats(df: DataFrame, text: str = "text", ident: str = "doc_id", len
     docs = df.select(F.xxhash64(F.col(ident), text_of(text)).alias("row"), text_of(text).alias("text"), F.col(ident).alias("doc_id"))
     scanned = docs.where(F.octet_length("text") >= length).select("row", "text")
     scanned = written(scanned.mapInArrow(_scan(length, anchor), "anchor long, segment long, row long, start long, size int"), "all-segments")
-    repeated = scanned.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    # Written, so that both sides of the join are plain exchanges, whose skewed partitions Spark splits.
+    repeated = written(scanned.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "repeated-anchors")
     found = written(scanned.join(repeated, "anchor", "left_semi"), "segments")
-    distinct = found.groupBy("anchor", "segment").agg(F.count("*").alias("copies"), F.min(F.struct("row", "start", "size")).alias("one"))
-    several = distinct.groupBy("anchor").agg(F.count("*").alias("members"))
+    distinct = written(found.groupBy("anchor", "segment").agg(F.count("*").alias("copies"), F.min(F.struct("row", "start", "size")).alias("one")), "segment-counts")
+    several = written(distinct.groupBy("anchor").agg(F.count("*").alias("members")), "anchor-counts")
     distinct = written(distinct.join(several, "anchor"), "distinct-segments")
 
     settled = found.join(distinct.where("copies > 1").select("anchor", "segment"), ["anchor", "segment"], "left_semi")
@@ -255,7 +256,7 @@ def remove_repeats(df: DataFrame, text: str = "text", ident: str = "doc_id", len
 
     def finish(batches):
         unpack = zstandard.ZstdDecompressor()
-        for b in batches:
+        for b in sliced(batches):
             out = []
             for data, found in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
                 data = unpack.decompress(data)
@@ -276,7 +277,7 @@ FETCHED = "row long, start long, anchor long, settled boolean, hot boolean, data
 
 def _fetch(batches):
     unpack = zstandard.ZstdDecompressor()
-    for b in batches:
+    for b in sliced(batches):
         rows = []
         for row, data, wanted in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
             data = unpack.decompress(data)
