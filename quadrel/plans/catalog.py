@@ -462,12 +462,12 @@ _TOKENS = f"""list_filter(regexp_extract_all(lower(replace(regexp_replace({{0}},
 
 
 @query(f"""
-SELECT token, count(*) AS documents FROM (SELECT DISTINCT doc_id, unnest({_TOKENS.format('text')}) AS token FROM documents) GROUP BY token HAVING count(*) >= 5
+SELECT token, count(*) AS documents FROM (SELECT DISTINCT doc_id, unnest({_TOKENS.format('text')}) AS token FROM documents) GROUP BY token
 """)
 def tokenize_df(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     tokens = docs.select(F.explode(F.array_distinct(retrieval.tokenize(F.col("text")))).alias("token"))
-    return tokens.groupBy("token").agg(F.count("*").alias("documents")).where("documents >= 5")
+    return tokens.groupBy("token").agg(F.count("*").alias("documents"))
 
 
 @query(f"""
@@ -503,10 +503,10 @@ def best_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(r"""
 SELECT DISTINCT regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)', 1) || regexp_replace(h, '#.*$', '') AS link
-FROM (SELECT url, unnest(regexp_extract_all(html, '(?is)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["'']', 1)) AS h FROM pages) WHERE starts_with(h, '/t')
+FROM (SELECT url, unnest(regexp_extract_all(html, '(?is)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["'']', 1)) AS h FROM pages) WHERE starts_with(h, '/')
 """)
 def html_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html.link_set(table(spark, sf_dir, "pages"), "html", "url", "/t")
+    return html.link_set(table(spark, sf_dir, "pages"), "html", "url", "/")
 
 
 @query(r"""

@@ -195,3 +195,40 @@ def test_mapping(spark):
     assert mapping.annotations(made).first().source == "http://paper"
     more = mapping.statements(rows, F.lit("g"), mapping.architecture_rules("urn:i/", "urn:c/", F.col("k"), F.lit("Net 1"), F.lit("arch:GraphNet"), F.lit(64), F.lit(None).cast("int")))
     assert {r.o for r in more.collect()} >= {"<urn:c/GraphNet>", f'"64"^^{T.XSD}integer'}
+
+
+def test_model_graph(spark):
+    from quadrel.operators.modelgraph import Dialect, ModelGraph, Namespaces
+
+    doc = {
+        "model": {"family": {"value": "Orb", "evidence": "p1"}, "variant": "orb v3", "parameter_number": {"value": 25, "evidence": "p2", "source": "http://s"}},
+        "architectures": [{"name": "Net", "ontology_class": "arch:GraphNet", "hidden_dimension": 64, "components": ["Gate"], "hyperparameters": [{"name": "lr", "value": 0.1, "evidence": "p3"}]}],
+        "training": {"training_runs": ["r1"], "r1": {"type": "PretrainingRun", "datasets": {"value": ["MPtrj", "OMat 24"], "evidence": "p4"}, "optimizer": "Adam", "initialized_from": "orb v2"}},
+        "datasets": {"MPtrj": {"type": "TrainingDataset", "number_of_samples": 5, "labelling_method": "DFT"}},
+        "evaluation": {"evaluation_runs": {"e1": {"task": "discovery", "metric_results": ["mae"], "folds": ["f"]}}, "metric_results": {"mae": {"value": 0.02, "metric_type": "MAE"}}, "tasks": {"discovery": {"type": "ClassificationTask"}}},
+    }
+    docs = spark.createDataFrame([("g", "orb_v3", "Orb v3", json.dumps(doc), "http://paper"), ("g2", "m", "M", "{}", None), ("g3", "n", "N", None, None)], "g string, model string, label string, json string, paper string")
+    n = Namespaces()
+    i = lambda x: f"<{n.individuals}{x}>"
+    plain = ModelGraph(docs).statements().cache()
+    of = {(r.s, r.p[1:-1].rsplit("#", 1)[-1], r.o) for r in plain.collect()}
+    assert (i("orb_family"), "hasVariant", i("orb_v3_variant")) in of
+    assert (i("orb_v3_variant"), "hasMachineLearningArchitecture", i("orb_v3_net_architecture")) in of
+    assert (i("orb_v3_net_model_variant"), "hasMachineLearningArchitecture", i("orb_v3_net_architecture")) in of
+    assert {(i("r1"), "usesDataset", i("mptrj")), (i("r1"), "usesDataset", i("omat_24")), (i("r1"), "usesOptimizer", i("adam")), (i("r1"), "initializedFromModelMaterialization", i("orb_v2_materialization"))} <= of
+    assert (i("r1_lr_value"), "value", f'"0.1"^^{T.XSD}float') in of or any(s == i("r1_lr_value") and p.endswith("value") for s, p, _ in of)
+    assert (i("mptrj"), "type", f"<{n.train}TrainingDataset>") in of and (i("mptrj"), "type", f"<{n.data}LabeledDataset>") in of
+    assert (i("e1_evaluation_run"), "evaluatesTask", i("thermodynamic_stability_classification_task")) in of
+    assert (i("mae_metric_result"), "hasMetricType", i("mae_metric_type")) in of
+    sourced = plain.where("evidence = 'p2'").first()
+    assert sourced.source == "http://s" and plain.where("evidence = 'p4'").first().source == "http://paper"
+    scoped = {(r.s, r.o) for r in ModelGraph(docs, dialect=Dialect(retrieval=True)).statements().collect()}
+    assert (i("orb_v3_r1"), i("mptrj")) in scoped and (i("orb_v3_e1_evaluation_run"), i("orb_v3_mae_metric_result")) in scoped
+
+
+def test_page_hyperparameters_and_named_data():
+    text = 'About. Hyperparams lr: 0.1 layers: [1, {"a": 2}] act: silu and more: x Dependencies torch: 2'
+    assert flatten.page_hyperparameters(text) == {"lr": 0.1, "layers": [1, {"a": 2}], "act": "silu and", "more": "x"}
+    assert flatten.page_hyperparameters(None) == flatten.page_hyperparameters("no such heading") == {}
+    assert flatten.named_data({"runs": {"a": {"x": 1}}, "b": {"y": 2}, "run_loop": {"c": {"z": 3}}}, "runs", "c") == {"z": 3}
+    assert flatten.named_data(None, "runs", "a") == {}
