@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,8 +13,8 @@ from quadrel.operators.quadstore import COLUMNS, QuadStore
 
 def latest_graphs(batch: DataFrame) -> DataFrame:
     """Of quads (version, g, s, p, o), those of each graph's newest version."""
-    newest = Window.partitionBy("g")
-    return batch.withColumn("_newest", F.max("version").over(newest)).where("version = _newest").select(*COLUMNS)
+    newest = batch.groupBy("g").agg(F.max("version").alias("version"))
+    return batch.join(newest, ["g", "version"]).select(*COLUMNS)
 
 
 def upsert(stream: DataFrame, store: QuadStore, checkpoint: str, **trigger) -> StreamingQuery:
