@@ -88,3 +88,18 @@ def test_components_both_ways(spark):
     assert shacl.rendered(report).count() == 2
     with pytest.raises(ValueError):
         shacl.read_shapes("@prefix sh: <http://www.w3.org/ns/shacl#> . <urn:s> sh:targetClass <urn:c> ; sh:lessThan <urn:d> .")
+
+
+def test_sinks(spark, tmp_path):
+    from quadrel.sources import sinks
+
+    quads = spark.createDataFrame([("g1", "<urn:a>", "<urn:p>", '"x\ny"'), ("g2", "<urn:b>", T.TYPE, "<urn:C>")], "g string, s string, p string, o string")
+    sinks.write_turtle(quads, str(tmp_path / "t"))
+    assert "\\ny" in next((tmp_path / "t" / "g=g1").glob("*.txt")).read_text()
+    report = shacl.validate(quads, "@prefix sh: <http://www.w3.org/ns/shacl#> . <urn:S> sh:targetClass <urn:C> ; sh:property [ sh:path <urn:p> ; sh:minCount 1 ; sh:message \"need p\" ] .")
+    sinks.write_report(report, str(tmp_path / "r"))
+    assert "need p" in next((tmp_path / "r" / "text" / "g=g2").glob("*.txt")).read_text()
+    sinks.write_json(spark.createDataFrame([("κ", 1)], "a string, b int"), str(tmp_path / "j"))
+    assert any("κ" in p.read_text() for p in (tmp_path / "j").glob("*.json"))
+    filled = sinks.with_fallback(spark.createDataFrame([(1, None), (2, "x")], "k int, v string"), spark.createDataFrame([(1, "f"), (2, "g")], "k int, v string"), "k", "v")
+    assert sorted(tuple(r) for r in filled.collect()) == [(1, "f"), (2, "x")]
