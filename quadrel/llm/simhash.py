@@ -22,12 +22,12 @@ the same such word are linked with each other and hang on the least of them.
 Copies share a fingerprint and take part once.  Components are formed on fingerprints.
 
 *Near copies by similarity.*  :func:`similar_classes` links texts whose sets of five-word
-shingles have a Jaccard similarity of 0.8 or more.  Such texts differ in up to about eight
-bits when the fingerprint is of word pairs (shingles of five words would spread them over
-fifteen), so candidates are sought within eight bits: keys are pairs of codeword indices of
-two segments, which texts within five bits always share and those within eight mostly.  Of
-the candidates of a key, the links of a minimum spanning forest by differing bits are
-checked on the texts themselves.
+shingles have a Jaccard similarity of 0.8 or more.  Fingerprints of five-word shingles would
+spread such texts over fifteen bits, so candidates are sought by two closer ones, of word
+pairs and of distinct long words, within ``REACH`` bits of either.  Keys are pairs of codeword
+indices of two segments, which texts within five bits always share and most within eight.
+All close pairs of a small bucket, and the links of a minimum spanning forest by differing
+bits of a larger one, are checked on the texts themselves.
 
 Defined cases: null or wordless texts have fingerprint zero, linked as any other; fewer
 words than a shingle holds make one shingle; rows that repeat get the same answer; an
@@ -37,7 +37,7 @@ its ids are null.
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -71,7 +71,18 @@ def fingerprint(text: str | None, words: int = 3) -> int:
     starts = np.concatenate(([0], ends[:-1] + 1))
     digest = xxhash.xxh64_intdigest
     spans = zip(starts[: len(parts) - words + 1].tolist(), ends[words - 1 :].tolist(), strict=True)
-    hashes = np.array([digest(joined[a:b], SEED) for a, b in spans], np.uint64)
+    return _majority(np.array([digest(joined[a:b], SEED) for a, b in spans], np.uint64))
+
+
+def long_word_fingerprint(text: str | None) -> int:
+    """The 64-bit SimHash of a text's distinct words of ``LONG`` bytes or more, of all words if it has none of these."""
+    words = set((text or "").encode("utf-8").lower().split())
+    words = {w for w in words if len(w) >= LONG} or words
+    return _majority(np.array([xxhash.xxh64_intdigest(w, SEED) for w in words], np.uint64))
+
+
+def _majority(hashes: np.ndarray) -> int:
+    """The bits set in over half of the hashes."""
     bits = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 1 << 14):
         part = hashes[at : at + (1 << 14)]
@@ -214,7 +225,11 @@ def near_classes(df: DataFrame, text: str = "text", ident: str = "doc_id", words
 SHINGLE = 5
 SIMILARITY = 0.8
 FEATURE = 2
-REACH = 8
+REACH = 10
+#: Fingerprints of a key of which all close pairs are candidates; of more, a minimum spanning forest.
+PAIRED = 4
+#: Bytes of a long word.
+LONG = 5
 
 
 def pair_keys_of(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -266,6 +281,10 @@ def _links_within(radius: int):
         for at, size in zip(first[sizes > 2], sizes[sizes > 2], strict=True):
             if size > BUCKET:
                 large.append(np.column_stack((key[at : at + size], prints[at : at + size])))
+            elif size <= PAIRED:
+                part = np.unique(prints[at : at + size])
+                one, two = np.nonzero(np.triu(np.bitwise_count(part[:, None].view(np.uint64) ^ part[None, :].view(np.uint64)) <= radius, 1))
+                found.append(np.column_stack((part[one], part[two])))
             elif links := spanning_links(prints[at : at + size].view(np.uint64), radius):
                 found.append(np.array(links, np.int64))
         for rows, is_large in ((found, False), (large, True)):
@@ -351,16 +370,20 @@ def similar_classes(df: DataFrame, text: str = "text", ident: str = "doc_id", si
 
     def run(batches):
         for b in batches:
-            prints = np.array([fingerprint(t, FEATURE) for t in b.column(2).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(prints)], names=["row", "ident", "print"])
-
-    prints = written(keyed.mapInArrow(run, f"row long, ident {kind}, print long"), "similar-prints")
-    owners = prints.groupBy("print").agg(F.min("row").alias("owner"))
-    found = near_links(prints)
-    a, b = (owners.select(F.col("print").alias(c), F.col("owner").alias(r)) for c, r in (("a", "one"), ("b", "two")))
-    between = found.join(a, "a").join(b, "b").select("one", "two")
-    within = prints.join(owners, "print").where("row != owner").select(F.col("row").alias("one"), F.col("owner").alias("two"))
-    pairs = written(between.unionByName(within).distinct(), "similar-pairs")
+            texts = b.column(2).to_pylist()
+            both = [pa.array(np.array([f(t) for t in texts], np.uint64).view(np.int64)) for f in (lambda t: fingerprint(t, FEATURE), long_word_fingerprint)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *both], names=["row", "ident", "pairs", "words"])
+
+    prints = written(keyed.mapInArrow(run, f"row long, ident {kind}, pairs long, words long"), "similar-prints")
+    candidates = []
+    for name in ("pairs", "words"):
+        own = prints.select("row", F.col(name).alias("print"))
+        owners = written(own.groupBy("print").agg(F.min("row").alias("owner")), "similar-owners")
+        a, b = (owners.select(F.col("print").alias(c), F.col("owner").alias(r)) for c, r in (("a", "one"), ("b", "two")))
+        candidates.append(near_links(owners).join(a, "a").join(b, "b").select("one", "two"))
+        candidates.append(own.join(owners, "print").where("row != owner").select(F.col("row").alias("one"), F.col("owner").alias("two")))
+    ordered = reduce(DataFrame.unionByName, candidates).select(F.least("one", "two").alias("one"), F.greatest("one", "two").alias("two"))
+    pairs = written(ordered.distinct(), "similar-pairs")
 
     def pack(batches):
         press = zstandard.ZstdCompressor(level=3)
