@@ -21,13 +21,13 @@ the same such word are linked with each other and hang on the least of them.
 
 Copies share a fingerprint and take part once.  Components are formed on fingerprints.
 
-*Near copies by similarity.*  :func:`similar_classes` links texts whose sets of five-word
-shingles have a Jaccard similarity of 0.8 or more.  Fingerprints of five-word shingles would
-spread such texts over fifteen bits, so candidates are sought by two closer ones, of word
-pairs and of distinct long words, within ``REACH`` bits of either.  Keys are pairs of codeword
-indices of two segments, which texts within five bits always share and most within eight.
-All close pairs of a small bucket, and the links of a minimum spanning forest by differing
-bits of a larger one, are checked on the texts themselves.
+*Near copies by similarity.*  :func:`similar_classes` links all texts whose sets of five-word
+shingles have a Jaccard similarity of 0.8 or more.  Such sets, each put in one common order
+with frequent shingles last, share a shingle among their first ``n - ceil(0.8 n) + 1``; the
+order decides the cost alone, so it comes from a sample.  Texts that share one are thinned
+by exact bounds only: sizes, a bound on the symmetric difference from 512 parity bits, and
+the number of shingles shared at the front.  What is left is checked on the texts.  In
+crowded buckets neighbours by size are checked first; what they link isn't compared again.
 
 Defined cases: null or wordless texts have fingerprint zero, linked as any other; fewer
 words than a shingle holds make one shingle; rows that repeat get the same answer; an
@@ -37,7 +37,8 @@ its ids are null.
 
 from __future__ import annotations
 
-from functools import lru_cache, reduce
+from functools import lru_cache
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quadrel.llm.components import components
-from quadrel.llm.shared import text_of, written
+from quadrel.llm.shared import sliced, text_of, written
 
 SEED = 42
 RADIUS = 2
@@ -74,13 +75,6 @@ def fingerprint(text: str | None, words: int = 3) -> int:
     return _majority(np.array([digest(joined[a:b], SEED) for a, b in spans], np.uint64))
 
 
-def long_word_fingerprint(text: str | None) -> int:
-    """The 64-bit SimHash of a text's distinct words of ``LONG`` bytes or more, of all words if it has none of these."""
-    words = set((text or "").encode("utf-8").lower().split())
-    words = {w for w in words if len(w) >= LONG} or words
-    return _majority(np.array([xxhash.xxh64_intdigest(w, SEED) for w in words], np.uint64))
-
-
 def _majority(hashes: np.ndarray) -> int:
     """The bits set in over half of the hashes."""
     bits = np.zeros(64, np.int64)
@@ -221,15 +215,22 @@ def near_classes(df: DataFrame, text: str = "text", ident: str = "doc_id", words
     return prints.join(rooted.join(best, "root").select("print", "component"), "print").select("ident", "print", "component")
 
 
-#: For similar texts: words of a shingle, least similarity, words of a fingerprint's shingle, bits within which candidates are sought.
+#: For similar texts: words of a shingle and least similarity.
 SHINGLE = 5
 SIMILARITY = 0.8
-FEATURE = 2
+#: For close fingerprints: bits within which they are linked.
 REACH = 10
-#: Fingerprints of a key of which all close pairs are candidates; of more, a minimum spanning forest.
+#: Fingerprints of a key of which all close pairs are linked; of more, a minimum spanning forest.
 PAIRED = 4
-#: Bytes of a long word.
-LONG = 5
+#: The order of shingles comes from this many texts, or of more from one in ``SAMPLED``.
+ORDERING = 200_000
+SAMPLED = 16
+#: Frequent shingles that the order knows at most, and the count in the sample that makes one.
+FREQUENT = 1 << 20
+OFTEN = 3
+#: Texts of a bucket above which neighbours by size are checked first.
+CROWDED = 16
+PARITY_BITS = 512
 
 
 def pair_keys_of(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -359,31 +360,152 @@ def shingle_set(text: str, words: int = SHINGLE) -> set[bytes]:
     return {b" ".join(parts[i : i + words]) for i in range(max(1, len(parts) - words + 1))}
 
 
-def similar_classes(df: DataFrame, text: str = "text", ident: str = "doc_id", similarity: float = SIMILARITY, words: int = SHINGLE) -> DataFrame:
-    """(row, ident, component) of each distinct row; component is the smallest ident reachable by links of similar texts.
+def shingle_hashes(text: str, words: int = SHINGLE) -> np.ndarray:
+    """Sorted 64-bit hashes of :func:`shingle_set`, made of the words' hashes."""
+    parts = text.encode("utf-8").lower().split()
+    if len(parts) < words:
+        return np.array([xxhash.xxh64_intdigest(b" ".join(parts), SEED)], np.uint64)
+    digest = xxhash.xxh64_intdigest
+    single = np.array([digest(w, SEED) for w in parts], np.uint64)
+    n = len(parts) - words + 1
+    out = np.zeros(n, np.uint64)
+    for k in range(words):
+        out = (out ^ (out >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + single[k : k + n]
+    out = (out ^ (out >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+    return np.unique(out ^ (out >> np.uint64(29)))
+
+
+def needed_of(size: int, similarity: float) -> int:
+    """Least number of its ``size`` shingles that a text shares with any similar one."""
+    return max(1, ceil(similarity * size - 1e-9))
+
+
+def front_of(hashes: np.ndarray, frequent: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarray:
+    """The first of a text's shingles by (count, hash), one of which every similar text has among its own first."""
+    met = np.zeros(len(hashes), np.int64)
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
+        met = np.where(frequent[at] == hashes, counts[at], 0)
+    return hashes[np.argsort(met, kind="stable")[: len(hashes) - needed_of(len(hashes), similarity) + 1]]
+
+
+def parity_of(hashes: np.ndarray) -> bytes:
+    """Parities of the hashes' counts by their low bits; two texts' differ in no more bits than shingles."""
+    return np.packbits(np.bincount((hashes % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS) & 1).tobytes()
+
+
+def _may_be_similar(one: tuple, two: tuple, similarity: float) -> np.ndarray:
+    """Whether sizes and parities, (sizes, (n, 8) words) that broadcast, leave ``similarity`` possible."""
+    (n, p), (m, q) = one, two
+    differing = sum(np.bitwise_count(p[..., k] ^ q[..., k]).astype(np.int16) for k in range(p.shape[-1]))
+    return (np.minimum(n, m) >= similarity * np.maximum(n, m) - 1e-6) & (differing * (1 + similarity) <= (n + m) * (1 - similarity) + 1e-6)
+
+
+def _parities(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, PARITY_BITS // 64)
+
+
+def _frequent(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of the shingles met most often in a sample of ``texts(row, text)``, and their counts."""
+
+    def run(batches):
+        for b in sliced(batches):
+            found = [shingle_hashes(t, words) for t in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["hash"])
+
+    one_in = min(SAMPLED, max(1, texts.count() // ORDERING))
+    sample = texts.where(F.pmod(F.xxhash64("row"), F.lit(one_in)) == 0).select("text")
+    counted = sample.mapInArrow(run, "hash long").groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") >= OFTEN)
+    counted = written(counted, "similar-frequent")
+    room, least = FREQUENT, None
+    for n, hashes in sorted(map(tuple, counted.groupBy("n").count().collect()), reverse=True):
+        if hashes > room:
+            break
+        room, least = room - hashes, n
+    if least is None:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    table = counted.where(F.col("n") >= least).toArrow()
+    hashes, counts = table.column("hash").to_numpy().view(np.uint64), table.column("n").to_numpy()
+    order = np.argsort(hashes)
+    return hashes[order], counts[order]
+
+
+def _shared(batches):
+    """Of a stream of (token, row) sorted by token, the rows of tokens that others have too."""
+    token = row = np.zeros(0, np.int64)
+    again = False  # the row held back has the token of the one before it
+    for b in batches:
+        token = np.concatenate((token, b.column(0).to_numpy()))
+        row = np.concatenate((row, b.column(1).to_numpy()))
+        if not len(token):
+            continue
+        same = token[1:] == token[:-1]
+        before = np.concatenate(([again], same))
+        keep = before[:-1] | same
+        yield pa.RecordBatch.from_arrays([pa.array(token[:-1][keep]), pa.array(row[:-1][keep])], names=["token", "row"])
+        token, row, again = token[-1:], row[-1:], bool(before[-1])
+    if again:
+        yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(row)], names=["token", "row"])
+
+
+def _neighbours(similarity: float):
+    """Neighbours (one, two) that may be similar in a stream of (token, row, size, parity) sorted by token and size."""
+
+    def run(batches):
+        held = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            token, row, size = (b.column(i).to_numpy() for i in range(3))
+            now = (token, row, size.astype(np.int64), _parities(b.column(3)))
+            token, row, size, parity = now if held is None else (np.concatenate(x) for x in zip(held, now, strict=True))
+            held = (token[-1:], row[-1:], size[-1:], parity[-1:])
+            close = (token[1:] == token[:-1]) & _may_be_similar((size[1:], parity[1:]), (size[:-1], parity[:-1]), similarity)
+            one, two = row[1:][close], row[:-1][close]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two))], names=["one", "two"])
+
+    return run
 
-    ``row`` is :func:`row_of` the row.  Copies are linked, as they share fingerprint and
-    shingles.
-    """
-    keyed = df.select(row_of(text, ident).alias("row"), F.col(ident).alias("ident"), text_of(text).alias("text"))
-    kind = df.schema[ident].dataType.simpleString()
+
+def _pairs_of_buckets(similarity: float):
+    """Pairs (one, two, n, m) of unlinked members that may be similar, of each run of equal keys in a sorted stream."""
+
+    def of(row, size, root, own, alone, parity):
+        for at in range(0, len(row), 512):
+            a, rest = slice(at, at + 512), slice(at, None)
+            may = root[a, None] != root[None, rest]
+            may &= alone | (own[a, None] != own[None, rest])
+            x, y = np.nonzero(np.triu(may, 1))
+            for cut in range(0, len(x), 1 << 17):
+                i, j = x[cut : cut + (1 << 17)] + at, y[cut : cut + (1 << 17)] + at
+                close = _may_be_similar((size[i], parity[i]), (size[j], parity[j]), similarity)
+                i, j = i[close], j[close]
+                if len(i):
+                    i, j = np.where(row[i] < row[j], i, j), np.where(row[i] < row[j], j, i)
+                    yield pa.RecordBatch.from_arrays([pa.array(v) for v in (row[i], row[j], size[i], size[j])], names=["one", "two", "n", "m"])
 
     def run(batches):
+        held = None
         for b in batches:
-            texts = b.column(2).to_pylist()
-            both = [pa.array(np.array([f(t) for t in texts], np.uint64).view(np.int64)) for f in (lambda t: fingerprint(t, FEATURE), long_word_fingerprint)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *both], names=["row", "ident", "pairs", "words"])
-
-    prints = written(keyed.mapInArrow(run, f"row long, ident {kind}, pairs long, words long"), "similar-prints")
-    candidates = []
-    for name in ("pairs", "words"):
-        own = prints.select("row", F.col(name).alias("print"))
-        owners = written(own.groupBy("print").agg(F.min("row").alias("owner")), "similar-owners")
-        a, b = (owners.select(F.col("print").alias(c), F.col("owner").alias(r)) for c, r in (("a", "one"), ("b", "two")))
-        candidates.append(near_links(owners).join(a, "a").join(b, "b").select("one", "two"))
-        candidates.append(own.join(owners, "print").where("row != owner").select(F.col("row").alias("one"), F.col("owner").alias("two")))
-    ordered = reduce(DataFrame.unionByName, candidates).select(F.least("one", "two").alias("one"), F.greatest("one", "two").alias("two"))
-    pairs = written(ordered.distinct(), "similar-pairs")
+            if not b.num_rows:
+                continue
+            now = [b.column(i).to_numpy(zero_copy_only=False) for i in range(6)] + [_parities(b.column(6))]
+            now[2] = now[2].astype(np.int64)
+            held = now if held is None else [np.concatenate(x) for x in zip(held, now, strict=True)]
+            starts = np.concatenate(([0], np.nonzero(np.diff(held[0]))[0] + 1))
+            for first, end in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+                _, row, size, root, own, alone, parity = (x[first:end] for x in held)
+                yield from of(row, size, root, own, bool(alone[0]), parity)
+            held = [x[starts[-1] :] for x in held]
+        if held is not None:
+            _, row, size, root, own, alone, parity = held
+            yield from of(row, size, root, own, bool(alone[0]), parity)
+
+    return run
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, similarity: float, words: int) -> DataFrame:
+    """(a, b): those of ``pairs(one, two)`` whose ``texts(row, text)`` are similar."""
 
     def pack(batches):
         press = zstandard.ZstdCompressor(level=3)
@@ -408,11 +530,79 @@ def similar_classes(df: DataFrame, text: str = "text", ident: str = "doc_id", si
             yield pa.RecordBatch.from_arrays([b.column("one").filter(keep), b.column("two").filter(keep)], names=["a", "b"])
 
     needed = pairs.select(F.col("one").alias("row")).unionByName(pairs.select(F.col("two").alias("row"))).distinct()
-    packed = keyed.select("row", "text").mapInArrow(pack, "row long, packed binary").join(needed, "row", "left_semi").dropDuplicates(["row"])
+    packed = texts.mapInArrow(pack, "row long, packed binary").join(needed, "row", "left_semi").dropDuplicates(["row"])
     packed = written(packed, "similar-texts")
     x, y = (packed.select(F.col("row").alias(r), F.col("packed").alias(c)) for r, c in (("one", "x"), ("two", "y")))
-    verified = pairs.join(x, "one").join(y, "two").select("one", "two", "x", "y").mapInArrow(verify, "a long, b long")
-    roots = components(verified, "similar-links")
+    return pairs.join(x, "one").join(y, "two").select("one", "two", "x", "y").mapInArrow(verify, "a long, b long")
+
+
+def similar_pairs(members: DataFrame, similarity: float) -> DataFrame:
+    """(one, two): rows of ``members(token, row, size, parity, root)`` of unlike root that share enough tokens to be similar.
+
+    Buckets above ``BUCKET`` are cut into chunks, and every two chunks are compared in a
+    run of their own.
+    """
+    mixed = members.groupBy("token").agg(F.min("root").alias("first"), F.max("root").alias("last"), F.ceil(F.count("*") * 2 / BUCKET).cast("int").alias("chunks"))
+    own = F.pmod(F.xxhash64("row"), F.col("chunks")).cast("int")
+    chunks = members.join(mixed.where("first != last").select("token", "chunks"), "token").withColumn("own", own)
+    dealt = chunks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    key = F.xxhash64("token", F.least("own", "other"), F.greatest("own", "other"))
+    # A chunk meets itself where it is its own other; beside another chunk it is not compared with itself again.
+    runs = dealt.select(key.alias("key"), "row", "size", "root", "own", (F.col("own") == F.col("other")).alias("alone"), "parity")
+    found = runs.repartition("key").sortWithinPartitions("key").mapInArrow(_pairs_of_buckets(similarity), "one long, two long, n long, m long")
+    counted = found.groupBy("one", "two", "n", "m").agg(F.count("*").alias("shared"))
+    # A shingle that both have stands at the front of both, or behind the front of the one whose front ends first.
+    behind = F.ceil(F.greatest("n", "m") * F.lit(float(similarity)) - 1e-9) - 1
+    enough = (F.col("shared") + F.greatest(behind, F.lit(0))) * (1 + similarity) >= (F.col("n") + F.col("m")) * F.lit(float(similarity)) - 1e-6
+    return counted.where(enough).select("one", "two")
+
+
+def similar_classes(df: DataFrame, text: str = "text", ident: str = "doc_id", similarity: float = SIMILARITY, words: int = SHINGLE) -> DataFrame:
+    """(row, ident, component) of each distinct row; component is the smallest ident reachable by links of similar texts.
+
+    ``row`` is :func:`row_of` the row.  Texts of one shingle set take part once.
+    """
+    keyed = df.select(row_of(text, ident).alias("row"), F.col(ident).alias("ident"), text_of(text).alias("text"))
+    texts = keyed.select("row", "text")
+    kind = df.schema[ident].dataType.simpleString()
+
+    def measure(batches):
+        for b in sliced(batches):
+            found = [shingle_hashes(t, words) for t in b.column(2).to_pylist()]
+            more = [
+                pa.array([xxhash.xxh3_128_digest(h.tobytes()) for h in found], pa.binary()),
+                pa.array([len(h) for h in found], pa.int32()),
+                pa.array([parity_of(h) for h in found], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *more], names=["row", "ident", "shingles", "size", "parity"])
+
+    prints = written(keyed.mapInArrow(measure, f"row long, ident {kind}, shingles binary, size int, parity binary"), "similar-prints")
+    order = df.sparkSession.sparkContext.broadcast(_frequent(texts, words))
+
+    def fronts(batches):
+        for b in sliced(batches):
+            found = [front_of(shingle_hashes(t, words), *order.value, similarity) for t in b.column(1).to_pylist()]
+            rows = np.repeat(b.column(0).to_numpy(), [len(f) for f in found])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), pa.array(rows)], names=["token", "row"])
+
+    owners = written(prints.groupBy("shingles").agg(F.min_by(F.struct("row", "size", "parity"), "row").alias("o")).select("shingles", "o.*"), "similar-owners")
+    tokens = texts.mapInArrow(fronts, "token long, row long")
+    buckets = tokens.repartition("token").sortWithinPartitions("token").mapInArrow(_shared, "token long, row long")
+    members = buckets.distinct().join(owners.select("row", "size", "parity"), "row")
+    members = written(members.select("token", "row", "size", "parity"), "similar-members")
+
+    crowded = members.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") > CROWDED).select("token")
+    near = members.join(crowded, "token").repartition("token").sortWithinPartitions("token", "size", "row")
+    near = written(near.mapInArrow(_neighbours(similarity), "one long, two long").distinct(), "similar-neighbours")
+    copies = prints.join(owners.select("shingles", F.col("row").alias("owner")), "shingles").where("row != owner")
+    first = near.unionByName(copies.select(F.least("row", "owner").alias("one"), F.greatest("row", "owner").alias("two"))).distinct()
+    first = written(_verified(written(first, "similar-first"), texts, similarity, words), "similar-links")
+    linked = components(first, "similar-links").withColumnRenamed("node", "row")
+    rooted = members.join(linked, "row", "left").withColumn("root", F.coalesce("root", "row"))
+    pairs = written(similar_pairs(rooted, similarity), "similar-pairs")
+    verified = _verified(pairs, texts, similarity, words)
+
+    roots = components(first.unionByName(verified), "similar-links")
     rooted = prints.join(roots, prints["row"] == roots["node"], "left").select("row", "ident", F.coalesce("root", "row").alias("root"))
     best = rooted.groupBy("root").agg(F.min("ident").alias("component"))
     return rooted.join(best, "root").select("row", "ident", "component").distinct()

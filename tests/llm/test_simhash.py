@@ -120,3 +120,29 @@ def test_components(spark):
     chain = [(i, i + 1) for i in range(60)] + [(100, 100), (200, 150), (None, 5), (7, None)]
     got = {x.node: x.root for x in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert got == {**dict.fromkeys(range(61), 0), 150: 150, 200: 150}
+
+
+def brute_components(texts):
+    sets = {i: simhash.shingle_set(t or "") for i, t in texts}
+    return parts(sets, lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
+
+
+@pytest.mark.parametrize("bucket, crowded", [(4096, 16), (4, 2)])
+def test_similar_classes_find_all_pairs_of_crowded_families(make, bucket, crowded, monkeypatch):
+    monkeypatch.setattr(simhash, "BUCKET", bucket)
+    monkeypatch.setattr(simhash, "CROWDED", crowded)
+    r = random.Random(bucket)
+    texts = []
+    for _ in range(4):  # a template of which texts keep about three quarters, and near copies of these
+        template = [f"w{r.randrange(10**6)}" for _ in range(120)]
+        for _ in range(25):
+            own = list(template)
+            for at in r.sample(range(0, 120, 6), r.randint(1, 5)):
+                own[at] = f"o{r.randrange(10**6)}"
+            texts.append(" ".join(own))
+            if r.random() < 0.4:
+                texts.append(" ".join(own + [f"o{r.randrange(10**6)}" for _ in range(r.randint(1, 30))]))
+    rows = list(enumerate(texts))
+    want = brute_components(rows)
+    got = {x.ident: x.component for x in simhash.similar_classes(make(rows)).collect()}
+    assert len(set(want.values())) > 8 and got == want
