@@ -127,6 +127,13 @@ def brute_components(texts):
     return parts(sets, lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
 
 
+def edited_copies(r, words):
+    """Copies that keep a Jaccard similarity of about 0.8: added to, cut, and with a block replaced."""
+    n, new = len(words), [f"n{r.randrange(10**9)}" for _ in range(len(words))]
+    at = r.randrange(n * 4 // 5)
+    return [words + new[: n * 23 // 100], new[: n * 20 // 100] + words, words[: n * 81 // 100], words[:at] + new[: n // 11] + words[at + n // 11 :]]
+
+
 @pytest.mark.parametrize("bucket, crowded", [(4096, 16), (4, 2)])
 def test_similar_classes_find_all_pairs_of_crowded_families(make, bucket, crowded, monkeypatch):
     monkeypatch.setattr(simhash, "BUCKET", bucket)
@@ -146,3 +153,15 @@ def test_similar_classes_find_all_pairs_of_crowded_families(make, bucket, crowde
     want = brute_components(rows)
     got = {x.ident: x.component for x in simhash.similar_classes(make(rows)).collect()}
     assert len(set(want.values())) > 8 and got == want
+
+
+def test_similar_classes_find_copies_edited_to_the_limit(make, odd_rows):
+    r = random.Random(21)
+    rows = []
+    for n in (6, 9, 30, 100, 400, 900) * 8:
+        words = [f"w{r.randrange(10**6)}" for _ in range(n)]
+        rows += [(len(rows) + k, " ".join(w)) for k, w in enumerate([words, *edited_copies(r, words)])]
+    rows += [(len(rows) + k, t) for k, (_, t) in enumerate(odd_rows)]
+    want = brute_components(rows)
+    got = {x.ident: x.component for x in simhash.similar_classes(make(rows)).collect()}
+    assert got == want
