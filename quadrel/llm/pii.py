@@ -47,7 +47,9 @@ ROUNDS = 64
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 ACCESS = r"(?<![A-Za-z0-9])A(?:KIA|SIA)[A-Z0-9]{16}(?![A-Za-z0-9])"
-SECRET = r"(?<=(?:token|secret|passwd|password|api_key|apikey)[\"' ]{0,2}[:=] {0,2}[\"']?)[A-Za-z0-9/+_-]{8,}"
+SECRET = r"(?<=(?i:token|secret|passwd|password|api_key|apikey)[\"' ]{0,2}[:=] {0,2}[\"']?)[A-Za-z0-9/+_-]{8,}"
+#: What a secret holds, so that it has room for surrogates and isn't a line of dashes: a digit or four letters.
+ROOM = "[0-9]|(?:[A-Za-z][^A-Za-z]*){4}"
 IP = r"(?<![0-9.])(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?:\.(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])){3}(?!\.?[0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 PHONE = r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[ .-][0-9]{4}(?![0-9])|(?<![0-9A-Za-z+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){3,4}(?![0-9])"
@@ -60,7 +62,7 @@ NAME = _TITLED + r"\p{Lu}[\p{Ll}'-]+(?: \p{Lu}[\p{Ll}'-]+){0,2}"
 SHAPES = (("email", EMAIL), ("name", NAME), ("access", ACCESS), ("secret", SECRET), ("ip", IP), ("ssn", SSN), ("phone", PHONE), ("iban", IBAN), ("card", CARD))
 ANY = "|".join(x for _, x in SHAPES)
 #: What every entity holds; texts without are not scanned further.
-HINT = "[@0-9]|" + _TITLED + r"|(?:token|secret|passwd|password|api_key|apikey)[\"' ]{0,2}[:=]"
+HINT = "[@0-9]|" + _TITLED + r"|(?i:token|secret|passwd|password|api_key|apikey)[\"' ]{0,2}[:=]"
 SYLLABLES = {
     "latin": ("ba", "be", "da", "do", "fe", "ga", "jo", "ka", "ke", "la", "le", "li", "ma", "mi", "na", "ne", "no", "ra", "ri", "ro", "sa", "te", "va", "ve"),
     "cyrillic": ("ба", "бе", "ва", "ве", "га", "да", "до", "жа", "ка", "ко", "ла", "ле", "ли", "ма", "ми", "на", "не", "но", "ра", "ро", "са", "та", "те", "фе"),
@@ -120,7 +122,7 @@ def kind_of(value: Column) -> Column:
     out = out.when(value.rlike("^" + IBAN + "$") & (_mod97(plain) == 1), F.lit("iban"))
     card = value.rlike("^" + CARD + "$")
     out = out.when(card & (_luhn(_digits(value)) == 0), F.lit("card"))
-    return out.when(~card & ~value.rlike("^" + IBAN + "$") & value.rlike("^[A-Za-z0-9/+_-]{8,}$") & value.rlike("[0-9]"), F.lit("secret"))
+    return out.when(~card & ~value.rlike("^" + IBAN + "$") & value.rlike("^[A-Za-z0-9/+_-]{8,}$") & value.rlike(ROOM), F.lit("secret"))
 
 
 def normal_of(kind: Column, value: Column) -> Column:

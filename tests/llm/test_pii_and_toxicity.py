@@ -49,6 +49,18 @@ def test_surrogates_keep_kind_and_format(replaced):
     assert len(replaced[12]) == len(TEXTS[12]) and "a@b.co" not in replaced[12]
 
 
+def test_secrets_with_labels_of_any_case_and_without_digits(make):
+    texts = {
+        1: 'TOKEN = "9233A8EC44D0B1F29233A8EC44D0B1F292330000"!!', 2: "Password: hunter2hunter2 x", 3: "API_KEY=abcdEFGHijkl", 4: "SECRET: CORRECTHORSE",
+        5: "Secret: -------- and token: a-------", 6: "a Token of thanks", 7: "passwd='correcthorse'",
+    }
+    got = {r.doc_id: r for r in pii.replace_entities(make(list(texts.items())), report=True).collect()}
+    shapes = {1: r'TOKEN = "[0-9A-F]{40}"!!', 2: r"Password: [a-z]{6}\d[a-z]{6}\d x", 3: "API_KEY=[a-z]{4}[A-Z]{4}[a-z]{4}", 4: "SECRET: [A-Z]{12}", 7: "passwd='[a-z]{12}'"}
+    for i, shape in shapes.items():
+        assert re.fullmatch(shape, got[i].text) and got[i].text != texts[i] and got[i].kinds == "secret"
+    assert all(got[i].text == texts[i] and got[i].replaced == 0 for i in (5, 6))
+
+
 def test_collisions_are_drawn_again(spark, monkeypatch):
     names = [f"Mr {a}{b}" for a in "ABCDEFGHJKLMNPRST" for b in ("aa", "bb", "cc", "dd", "ee", "ff", "gg", "hh", "ii", "jj")]
     real = pii.SYLLABLES["latin"]
