@@ -558,9 +558,9 @@ def similar_pairs(members: DataFrame, similarity: float) -> DataFrame:
 
 
 def similar_classes(df: DataFrame, text: str = "text", ident: str = "doc_id", similarity: float = SIMILARITY, words: int = SHINGLE) -> DataFrame:
-    """(row, ident, component) of each distinct row; component is the smallest ident reachable by links of similar texts.
+    """(row, ident, component, kept) of each distinct row; component is the smallest ident reachable by links of similar texts.
 
-    ``row`` is :func:`row_of` the row.  Texts of one shingle set take part once.
+    ``row`` is :func:`row_of` the row, ``kept`` the row of the component with the smallest ident, null last, and then the smallest hash.  Texts of one shingle set take part once.
     """
     keyed = df.select(row_of(text, ident).alias("row"), F.col(ident).alias("ident"), text_of(text).alias("text"))
     texts = keyed.select("row", "text")
@@ -604,8 +604,9 @@ def similar_classes(df: DataFrame, text: str = "text", ident: str = "doc_id", si
 
     roots = components(first.unionByName(verified), "similar-links")
     rooted = prints.join(roots, prints["row"] == roots["node"], "left").select("row", "ident", F.coalesce("root", "row").alias("root"))
-    best = rooted.groupBy("root").agg(F.min("ident").alias("component"))
-    return rooted.join(best, "root").select("row", "ident", "component").distinct()
+    first = F.min_by("row", F.struct(F.col("ident").isNull(), "ident", "row"))
+    best = rooted.groupBy("root").agg(F.min("ident").alias("component"), first.alias("kept"))
+    return rooted.join(best, "root").select("row", "ident", "component", "kept").distinct()
 
 
 def row_of(text: str = "text", ident: str = "doc_id"):
@@ -616,6 +617,6 @@ def row_of(text: str = "text", ident: str = "doc_id"):
 def deduplicate(df: DataFrame, text: str = "text", ident: str = "doc_id", similarity: float = SIMILARITY, words: int = SHINGLE) -> DataFrame:
     """``df`` with one row, of the smallest id, of each group of similar texts; rows that repeat id and text share one decision."""
     classes = written(similar_classes(df, text, ident, similarity, words), "similar-classes")
-    gone = classes.where("NOT (ident <=> component)").select(F.col("row").alias("_row"))
+    gone = classes.where("row != kept").select(F.col("row").alias("_row"))
     marked = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("whole"), row_of(text, ident).alias("_row"))
     return marked.join(gone, "_row", "left_anti").select("whole.*")

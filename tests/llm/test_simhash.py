@@ -116,6 +116,14 @@ def test_deduplicate_by_similarity(make, none, odd_rows):
     assert simhash.deduplicate(none).count() == 0
 
 
+def test_deduplicate_keeps_one_row_where_ids_are_null_or_repeat(make):
+    r = random.Random(10)
+    words = lambda n: [f"w{r.randrange(10**6)}" for _ in range(n)]
+    a, b, c = words(200), words(200), words(50)
+    rows = [(None, " ".join(a)), (None, " ".join([*a, "x"])), (2, " ".join(b)), (2, " ".join([*b, "y"])), (3, " ".join([*b, "z"])), (None, " ".join(c)), (9, " ".join([*c, "v"]))]
+    assert sorted(str(x.doc_id) for x in simhash.deduplicate(make(rows)).collect()) == ["2", "9", "None"]
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(60)] + [(100, 100), (200, 150), (None, 5), (7, None)]
     got = {x.node: x.root for x in components(spark.createDataFrame(chain, "a long, b long")).collect()}
