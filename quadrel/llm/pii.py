@@ -1,35 +1,49 @@
 """Personal data replaced by keyed surrogates.
 
-*Detection.*  One regular expression finds candidates of all kinds in one left-to-right
-scan; a candidate's kind is then told by its shape, and card and account numbers have to
-pass their check digits, so that other long numbers stay.
-
-*Surrogates.*  A surrogate is drawn from a SHA-256 digest of a secret key, the kind, the
-entity's normal form and a counter.  It keeps the entity's kind and format: punctuation
-and length, digits for digits, upper and lower case, the country code of a phone number,
-the network digit and a valid check digit of a card, country and valid check digits of
-an account number, the top-level domain of an address.  A name keeps its script (Latin,
-Cyrillic or Greek) and its gender, read from the title before it.  The normal form
-ignores case and separators, and each part of a name and an address's domain are mapped
-for themselves, so that mentions of one entity, however written, stay mentions of one.
-
-*Collision checks.*  The distinct entities of the whole corpus and their surrogates are
-brought together by value.  Of entities that drew the same surrogate the least keeps it;
-the others, and those whose surrogate is itself an entity of the corpus, draw again with
-a higher counter until no two share one.  Only entities with a raised counter, a
-vanishing share of formats with room, go back to the documents; all others compute their
-surrogate in place, so texts are not shuffled.
+*Detection.*  One regular expression marks the candidates of all kinds in one left-to-right
+scan of a text; a candidate's kind is then told by its shape, and card and account numbers
+have to pass their check digits, so that other long numbers stay.  Names are found after a
+title.  The scan's result, the text cut into gaps and candidates, is written, so that no
+text is scanned twice.
+
+*Surrogates.*  Every entity has a normal form, and the normal forms of one kind and one
+format are permuted among themselves: each character moves within its own class (digits,
+letters of one case, vowels or consonants of one script, octets, the first digits of an
+area), by a Feistel network whose round function is HMAC-SHA-256 under a secret key.
+Distinct entities have distinct surrogates by construction, however full a format is.  The
+permutation is ``back(step(forth(x)))`` with a step that changes one symbol, so no entity
+is its own surrogate.  Kept are the length and punctuation, upper and lower case, the
+country code of a phone number, a fictional exchange (555), the network digit and a valid
+check digit of a card, country and valid check digits of an account number, private
+networks of an IP address, the top-level domain of an address, hexadecimal secrets as such,
+a name's script and its pattern of vowels and consonants; a given name gets an ending of
+the gender that its title tells.
+
+*Coreference.*  Normal forms ignore case, separators, diacritics of names (with German
+umlauts spelt out) and a North American country code that is left out.  Each part of a name
+and an address's domain are mapped for themselves.  A surrogate depends on the normal form
+alone, so all mentions of an entity, in any document, stay mentions of one.
+
+*Collision checks.*  A surrogate that is itself an entity of the corpus would be mistaken
+for it.  The distinct entities and their surrogates are brought together by value; those
+that meet an entity draw from further permutations until they meet neither an entity nor
+a surrogate, ``ROUNDS`` times at most.  In a format so full that this fails, entities keep
+their first surrogate: another entity's value, but still theirs alone.  Only the few
+entities with another permutation go back to the documents.
 
 Everything is DataFrame functions.
 
-Defined cases: a null text stays null; texts without entities stay as they are; rows that
-repeat get the same answer; null ids are fine; an empty table gives an empty result; all
-columns of the input are kept, and ours stay in structs on the way so that names can't
-clash.
+Defined cases: a null text stays null; texts without entities stay as they are; texts and
+secrets of any length are treated whole, in linear time; of candidates that overlap, the
+leftmost and then the first in the order of ``SHAPES`` is taken; rows that repeat get the
+same answer; null ids are fine; an empty table gives an empty result; all columns of the
+input are kept, and ours stay in structs on the way so that names can't clash.
 """
 
 from __future__ import annotations
 
+import hashlib
+import unicodedata
 from collections.abc import Callable
 from functools import reduce
 from operator import or_
@@ -39,9 +53,12 @@ from pyspark.sql import functions as F
 
 from quadrel.llm.shared import let, written
 
-#: Raised counters up to this many rows (about 60 bytes each) are broadcast; beyond, they are joined by shuffle.
+#: Entities with further permutations, up to this many rows (about 60 bytes each), are broadcast; beyond, they are joined by shuffle.
 BROADCAST_ROWS = 200_000
-ROUNDS = 64
+#: Further permutations that an entity may draw from.
+ROUNDS = 8
+#: Rounds of the Feistel network, there and back each.
+TURNS = 4
 
 # Shapes of the entities, and titles that come before names.
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
@@ -63,16 +80,37 @@ SHAPES = (("email", EMAIL), ("name", NAME), ("access", ACCESS), ("secret", SECRE
 ANY = "|".join(x for _, x in SHAPES)
 #: What every entity holds; texts without are not scanned further.
 HINT = "[@0-9]|" + _TITLED + r"|(?i:token|secret|passwd|password|api_key|apikey)[\"' ]{0,2}[:=]"
-SYLLABLES = {
-    "latin": ("ba", "be", "da", "do", "fe", "ga", "jo", "ka", "ke", "la", "le", "li", "ma", "mi", "na", "ne", "no", "ra", "ri", "ro", "sa", "te", "va", "ve"),
-    "cyrillic": ("ба", "бе", "ва", "ве", "га", "да", "до", "жа", "ка", "ко", "ла", "ле", "ли", "ма", "ми", "на", "не", "но", "ра", "ро", "са", "та", "те", "фе"),
-    "greek": ("βα", "βε", "γα", "γο", "δα", "δε", "κα", "κο", "λα", "λε", "λι", "μα", "με", "να", "νε", "νο", "πα", "πε", "ρα", "ρο", "σα", "τα", "τε", "φα"),
-}
-ENDINGS = {
-    ("latin", "m"): ("n", "rd", "s"), ("latin", "f"): ("lina", "nna", "ra"),
-    ("cyrillic", "m"): ("н", "р", "с"), ("cyrillic", "f"): ("лина", "нна", "ра"),
-    ("greek", "m"): ("ς", "νος", "ρης"), ("greek", "f"): ("λίνα", "ννα", "ρα"),
-}
+#: Country codes of phone numbers, by the numbering plan.
+COUNTRY = "^(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
+#: First octets of an IP address that stay, besides those from 224: their networks are private or reserved, or in part.
+HELD_OCTETS = (10, 127, 172, 192)
+
+# Classes of characters, each permuted within itself.
+DIGITS = "0123456789"
+LOWER = "abcdefghijklmnopqrstuvwxyz"
+HEXADECIMAL = ("abcdef", "ghijklmnopqrstuvwxyz", "ABCDEF", "GHIJKLMNOPQRSTUVWXYZ")
+NAME_CLASSES = ("aeiou", "bcdfghjklmnpqrstvwxyz", "αεηιουω", "βγδζθκλμνξπρστφχψ", "аеиоуыэюя", "бвгджзйклмнпрстфхцчшщ")
+#: Endings of given names by script and gender.
+ENDINGS = (("IsCyrillic", "ин", "ина"), ("IsGreek", "ος", "ίνα"), ("IsLatin", "en", "ina"))
+
+
+def _letters() -> tuple[str, str, tuple[str, ...]]:
+    """Lower-case letters with diacritics and the letters below them, and the classes of all other lower-case letters, by script."""
+    marked, plain, scripts = "", "", {}
+    known = "".join(NAME_CLASSES) + "йäöüæœßς"
+    for c in map(chr, range(0x80, 0xFFFF)):
+        if unicodedata.category(c) != "Ll" or c in known:
+            continue
+        base = unicodedata.normalize("NFD", c)[0]
+        if base != c and base in known + "ßς":
+            marked, plain = marked + c, plain + base
+        else:
+            script = unicodedata.name(c, "other").split()[0]
+            scripts[script] = scripts.get(script, "") + c
+    return marked, plain, tuple(scripts.values())
+
+
+MARKED, PLAIN, OTHER_CLASSES = _letters()
 
 
 def _each(text: Column, then: Callable[[Column, Column], Column]) -> Column:
@@ -80,18 +118,13 @@ def _each(text: Column, then: Callable[[Column, Column], Column]) -> Column:
     return F.array_join(F.transform(F.split(text, ""), then), "")
 
 
-def _byte(seed: Column, place: Column) -> Column:
-    """Byte number ``place`` of a digest in hexadecimal, going round."""
-    return F.conv(F.substring(seed, F.pmod(place, F.lit(32)) * 2 + 1, F.lit(2)), 16, 10).cast("int")
-
-
 def _digits(text: Column) -> Column:
     return F.regexp_replace(text, "[^0-9]", "")
 
 
-def _draw(seed: Column, count: Column, start: int = 0) -> Column:
-    """``count`` digits from a digest."""
-    return F.when(count > 0, F.array_join(F.transform(F.sequence(F.lit(0), F.greatest(count, F.lit(1)) - 1), lambda i: F.pmod(_byte(seed, i + start), F.lit(10)).cast("string")), "")).otherwise(F.lit(""))
+def _tail(text: Column, start: int | Column) -> Column:
+    """``text`` from its character number ``start``, counted from one."""
+    return F.substring(text, F.lit(start) if isinstance(start, int) else start, F.length(text))
 
 
 def _luhn(digits: Column) -> Column:
@@ -106,7 +139,7 @@ def _luhn(digits: Column) -> Column:
 def _mod97(account: Column) -> Column:
     """Remainder modulo 97 of an account number in check order, letters as 10 to 35."""
     return F.aggregate(
-        F.split(F.concat(F.substring(account, F.lit(5), F.length(account)), F.substring(account, F.lit(1), F.lit(4))), ""),
+        F.split(F.concat(_tail(account, 5), F.substring(account, F.lit(1), F.lit(4))), ""),
         F.lit(0),
         lambda a, c: F.when(c == "", a).when(c.rlike("^[0-9]$"), F.pmod(a * 10 + F.conv(c, 36, 10).cast("int"), F.lit(97))).otherwise(F.pmod(a * 100 + F.conv(c, 36, 10).cast("int"), F.lit(97))),
     )
@@ -126,186 +159,301 @@ def kind_of(value: Column) -> Column:
 
 
 def normal_of(kind: Column, value: Column) -> Column:
-    """The form in which mentions of one entity are equal."""
+    """The form in which mentions of one entity are equal; of a part of a name, without diacritics."""
+    phone = F.when(value.startswith("+"), _digits(value)).otherwise(F.concat(F.lit("1"), _digits(value)))
+    plain = F.replace(value, F.lit(" "), F.lit(""))
+    spelt = F.lower(value)
+    for mark, letters in (("ä", "ae"), ("ö", "oe"), ("ü", "ue"), ("æ", "ae"), ("œ", "oe"), ("ß", "ss"), ("ς", "σ")):
+        spelt = F.replace(spelt, F.lit(mark), F.lit(letters))
     return (
-        F.when(kind.isin("phone", "card", "ssn"), _digits(value))
-        .when(kind == "iban", F.replace(value, F.lit(" "), F.lit("")))
+        F.when(kind == "phone", phone)
+        .when(kind.isin("card", "ssn"), _digits(value))
+        .when(kind == "iban", F.concat(F.substring(plain, F.lit(1), F.lit(2)), F.lit("00"), _tail(plain, 5)))
         .when(kind == "email", F.lower(value))
+        .when(kind == "ip", F.array_join(F.transform(F.split(value, r"\."), lambda o: o.cast("int").cast("string")), "."))
+        .when(kind.isin("given-f", "given-m", "family"), F.translate(spelt, MARKED, PLAIN))
         .otherwise(value)
     )
 
 
-def _scramble(value: Column, seed: Column) -> Column:
-    """Digits for digits, letters for letters of the same case (of hexadecimal, if it is); all else stays."""
-    letters = F.when(value.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), F.lit(6)).otherwise(F.lit(26))
+def _name_parts(value: Column) -> tuple[Column, Column]:
+    """Title with its space, and the parts of the name."""
+    title = F.regexp_extract(value, "^" + _TITLED, 0)
+    return title, F.split(_tail(value, F.length(title) + 1), " ")
 
-    def one(c: Column, i: Column) -> Column:
-        letter = F.pmod(_byte(seed, i), letters) + 97
-        return (
-            F.when(c.rlike("^[0-9]$"), F.pmod(_byte(seed, i), F.lit(10)).cast("string"))
-            .when(c.rlike("^[a-z]$"), F.chr(letter))
-            .when(c.rlike("^[A-Z]$"), F.upper(F.chr(letter)))
-            .otherwise(c)
-        )
 
-    return _each(value, one)
+def units(kind: Column, value: Column) -> Column:
+    """array<struct<kind, normal>>: what of an entity is mapped for itself, the parts of a name or the whole."""
+    female = reduce(or_, (value.rlike(f"^{t}[. ]") for t in TITLES_FEMALE))
+    given = F.when(female, F.lit("given-f")).otherwise(F.lit("given-m"))
 
+    def of_parts(parts: Column) -> Column:
+        def one(p: Column, i: Column) -> Column:
+            own = F.when(i < F.size(parts) - 1, given).otherwise(F.lit("family"))
+            return F.struct(own.alias("kind"), normal_of(own, p).alias("normal"))
 
-def _into_format(value: Column, digits: Column) -> Column:
-    """``value`` with its digits replaced by ``digits``, in order."""
-    return _each(
-        value,
-        lambda c, i: F.when(c.rlike("^[0-9]$"), F.substring(digits, F.length(_digits(F.substring(value, F.lit(1), i + 1))), F.lit(1))).otherwise(c),
-    )
+        return F.transform(parts, one)
 
+    return F.when(kind == "name", let(_name_parts(value)[1], of_parts)).otherwise(F.array(F.struct(kind.alias("kind"), normal_of(kind, value).alias("normal"))))
 
-def _seed(key: str, kind: str | Column, normal: Column, counter: Column) -> Column:
-    return F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind) if isinstance(kind, str) else kind, normal, counter.cast("string")), 256)
 
+def _mac(key: str, *message: Column) -> Column:
+    """HMAC-SHA-256 in hexadecimal, of strings joined by a control character."""
+    block = key.encode("utf-8")
+    block = (block if len(block) <= 64 else hashlib.sha256(block).digest()).ljust(64, b"\0")
+    inner, outer = (F.lit(bytearray(b ^ pad for b in block)) for pad in (0x36, 0x5C))
+    text = F.encode(F.concat_ws("\x1f", *message), "UTF-8")
+    return F.sha2(F.concat(outer, F.unhex(F.sha2(F.concat(inner, text), 256))), 256)
 
-def _name(value: Column, key: str, counter: Column) -> Column:
-    """Title kept; the last part is a family name, those before are given names of the title's gender."""
-    female = reduce(or_, (value.rlike(f"^{t}[. ]") for t in TITLES_FEMALE))
 
-    def part(p: Column, given: Column) -> Column:
-        def of_seed(seed: Column) -> Column:
-            def pick(options: tuple[str, ...], at: Column) -> Column:
-                return F.element_at(F.array(*map(F.lit, options)), F.pmod(_byte(seed, at), F.lit(len(options))) + 1)
+def _symbol(v: Column | int, r: Column | int, of: Column | str) -> Column:
+    """A symbol: value ``v`` of ``r`` many, and the characters that the values stand for."""
+    return F.struct((F.lit(v) if isinstance(v, int) else v).alias("v"), (F.lit(r) if isinstance(r, int) else r).alias("r"), (F.lit(of) if isinstance(of, str) else of).alias("of"))
 
-            def made(script: str) -> Column:
-                # Three syllables, and another for each redraw, so that the room grows.
-                places = F.sequence(F.lit(0), F.least(counter, F.lit(6)) + 2)
-                stem = F.array_join(F.transform(places, lambda k: pick(SYLLABLES[script], k)), "")
-                ending = F.when(~given, F.lit("")).when(female, pick(ENDINGS[script, "f"], F.lit(9))).otherwise(pick(ENDINGS[script, "m"], F.lit(9)))
-                return F.initcap(F.concat(stem, ending))
 
-            return F.when(p.rlike(r"\p{IsCyrillic}"), made("cyrillic")).when(p.rlike(r"\p{IsGreek}"), made("greek")).otherwise(made("latin"))
+def _class(c: Column, *classes: str) -> Column:
+    """The class, a string of characters, that a character is in; itself if it is in none."""
+    return reduce(lambda out, x: out.when(F.lit(x).contains(c), F.lit(x)), classes, F).otherwise(c)
 
-        return let(_seed(key, F.when(given, F.lit("given")).otherwise(F.lit("family")), F.lower(p), counter), of_seed)
 
-    title = F.regexp_extract(value, "^" + _TITLED, 0)
-    named = F.split(F.substring(value, F.length(title) + 1, F.length(value)), " ")
-    return F.concat(title, let(named, lambda parts: F.array_join(F.transform(parts, lambda p, i: part(p, i < F.size(parts) - 1)), " ")))
+def _in_class(c: Column, of: Column) -> Column:
+    """The symbol of a character within its class."""
+    return let(of, lambda k: _symbol(F.position(c, k) - 1, F.greatest(F.length(k), F.lit(1)), k))
 
 
-def _card(normal: Column, seed: Column) -> Column:
-    """Network digit kept, check digit made valid."""
-    body = F.concat(F.substring(normal, F.lit(1), F.lit(1)), _draw(seed, F.length(normal) - 2))
-    return let(body, lambda b: F.concat(b, F.pmod(10 - _luhn(F.concat(b, F.lit("0"))), F.lit(10)).cast("string")))
+def _symbols(kind: Column, normal: Column) -> Column:
+    """array<struct<v, r, of>> of a normal form (of an address, its local part); classes depend only on what stays."""
+    n = F.length(normal)
+    country = F.length(F.regexp_extract(normal, COUNTRY, 0))
+    exchange = F.substring(normal, F.lit(5), F.lit(3))
+    american = normal.rlike("^1[0-9]{10}$")
 
+    def of_phone(c: Column, i: Column) -> Column:
+        # An exchange other than 555 never becomes 555.
+        five = ((i == 4) | ((i == 5) & exchange.startswith("5")) | ((i == 6) & exchange.startswith("55")))
+        lead = F.when(five & (i == 4), _class(c, "2346789", "01")).when(i == 1, _class(c, "23456789", "01")).when(five & (c != "5"), F.lit("012346789"))
+        return F.when(i < country, c).when(~american, F.lit(DIGITS)).otherwise(F.coalesce(lead, F.when(five, c), F.lit(DIGITS)))
 
-def _phone(normal: Column, seed: Column) -> Column:
-    """Country code kept; area and exchange don't begin with 0 or 1; a fictional exchange (555) stays one."""
-    n = F.length(normal)
-    lead = lambda at: (F.pmod(_byte(seed, F.lit(at)), F.lit(8)) + 2).cast("string")
-    exchange = F.substring(normal, n - 6, F.lit(3))
-    drawn = F.when(exchange == "555", exchange).otherwise(F.concat(lead(3), _draw(seed, F.lit(2), 4)))
-    return F.when(
-        n >= 10, F.concat(F.substring(normal, F.lit(1), n - 10), lead(0), _draw(seed, F.lit(2), 1), drawn, _draw(seed, F.lit(4), 6))
-    ).otherwise(_draw(seed, n))
-
-
-def _iban(value: Column, normal: Column, seed: Column) -> Column:
-    """Country kept, check digits made valid."""
-    country = F.substring(normal, F.lit(1), F.lit(2))
-    account = _scramble(F.substring(normal, F.lit(5), F.length(normal)), seed)
-    whole = let(account, lambda a: F.concat(country, F.lpad((98 - _mod97(F.concat(country, F.lit("00"), a))).cast("string"), 2, "0"), a))
-    plain = lambda t: F.replace(t, F.lit(" "), F.lit(""))
-    return let(whole, lambda w: _each(value, lambda c, i: F.when(c == " ", c).otherwise(F.substring(w, F.length(plain(F.substring(value, F.lit(1), i + 1))), F.lit(1)))))
+    def of(c: Column, i: Column) -> Column:
+        return (
+            F.when(kind == "phone", of_phone(c, i))
+            .when(kind == "card", F.when((i == 0) | (i == n - 1), c).otherwise(F.lit(DIGITS)))
+            .when(kind.isin("iban", "access") & (i < 4), c)
+            .when(kind.isin("iban", "access", "secret"), _class(c, DIGITS, *HEXADECIMAL))
+            .when(kind.isin("given-f", "given-m", "family"), _class(c, *NAME_CLASSES, *OTHER_CLASSES))
+            .otherwise(_class(c, DIGITS, LOWER))
+        )
+
+    def of_octets(o: Column) -> Column:
+        a, b = (F.get(o, k) for k in (0, 1))
+        held = a.isin(0, *HELD_OCTETS) | (a >= 224)
+        rank = reduce(lambda x, h: x - F.when(a > h, 1).otherwise(0), HELD_OCTETS, a) - 1
+        first = F.when(held, _symbol(0, 1, "")).otherwise(_symbol(rank, 223 - len(HELD_OCTETS), ""))
+        private = (a == 172) & b.between(16, 31)
+        second = (
+            F.when(private, _symbol(b - 16, 16, "")).when(a == 172, _symbol(b - F.when(b > 31, 16).otherwise(0), 240, ""))
+            .when((a == 192) & (b == 168), _symbol(0, 1, "")).when(a == 192, _symbol(b - F.when(b > 168, 1).otherwise(0), 255, ""))
+            .otherwise(_symbol(b, 256, ""))
+        )
+        return F.array(first, second, *(_symbol(F.get(o, k), 256, "") for k in (2, 3)))
+
+    octets = F.transform(F.split(normal, r"\."), lambda o: o.cast("int"))
+    return F.when(kind == "ip", let(octets, of_octets)).otherwise(F.transform(F.split(normal, ""), lambda c, i: _in_class(c, of(c, i))))
+
+
+def permuted(symbols: Column, key: str, *tweak: Column) -> Column:
+    """array<int>: the values of ``symbols`` after a keyed permutation of all values that such symbols can have; never the same values."""
+    radices = F.transform(symbols, lambda s: s["r"])
+    # The last symbol that has another value to go to.
+    last = F.size(symbols) - F.array_position(F.transform(F.reverse(radices), lambda r: r > 1), F.lit(True)).cast("int")
+
+    def step(values: Column, number: Column) -> Column:
+        turn = F.least(number, 2 * TURNS - number)
+        sign = F.when(number > TURNS, -1).otherwise(1)
+        rest = F.array_join(F.transform(values, lambda x, i: F.when(F.pmod(i + turn, F.lit(2)) == 0, F.lit("")).otherwise(x.cast("string"))), ",")
+
+        def moved(seed: Column) -> Column:
+            def one(x: Column, i: Column) -> Column:
+                radix = F.get(radices, i)
+                by = F.pmod(F.xxhash64(seed, i), radix.cast("long")).cast("int")
+                return F.when(F.pmod(i + turn, F.lit(2)) == 0, F.pmod(x + sign * by, radix)).otherwise(x)
+
+            return F.transform(values, one)
+
+        def stepped(seed: Column) -> Column:
+            def one(x: Column, i: Column) -> Column:
+                radix = F.get(radices, i)
+                by = F.pmod(F.xxhash64(seed, F.lit(-1)), F.greatest(radix - 1, F.lit(1)).cast("long")).cast("int") + 1
+                return F.when(i == last, F.pmod(x + by, radix)).otherwise(x)
+
+            return F.transform(values, one)
+
+        fixed = F.array_join(F.transform(radices, lambda r: r.cast("string")), ",")
+        turned = let(_mac(key, F.lit("turn"), *tweak, turn.cast("string"), rest), moved)
+        return F.when(number == TURNS, let(_mac(key, F.lit("step"), *tweak, fixed), stepped)).otherwise(turned)
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(2 * TURNS)), F.transform(symbols, lambda s: s["v"]), step)
+
+
+def _spelt(symbols: Column, values: Column) -> Column:
+    return F.array_join(F.zip_with(symbols, values, lambda s, v: F.substring(s["of"], v + 1, F.lit(1))), "")
+
+
+def _address(symbols: Column, values: Column, normal: Column) -> Column:
+    """Octets of symbols' values, in dotted form; those of ``normal`` where the symbols are fixed."""
+
+    def of_first(a: Column) -> Column:
+        b = F.get(values, 1)
+        fixed = F.substring_index(F.substring_index(normal, ".", 2), ".", -1).cast("int")
+        second = (
+            F.when(F.get(symbols, 1)["r"] == 1, fixed)
+            .when(F.get(symbols, 1)["r"] == 16, b + 16)
+            .when(a == 172, b + F.when(b >= 16, 16).otherwise(0))
+            .when(a == 192, b + F.when(b >= 168, 1).otherwise(0))
+            .otherwise(b)
+        )
+        return F.concat_ws(".", a.cast("string"), second.cast("string"), F.get(values, 2).cast("string"), F.get(values, 3).cast("string"))
 
+    free = reduce(lambda x, h: x + F.when(x >= h, 1).otherwise(0), HELD_OCTETS, F.get(values, 0) + 1)
+    return let(F.when(F.get(symbols, 0)["r"] == 1, F.substring_index(normal, ".", 1).cast("int")).otherwise(free), of_first)
 
-def _email(value: Column, key: str, seed: Column) -> Column:
-    """Top-level domain kept; the rest of the domain is mapped for itself."""
-    domain = F.substring_index(value, "@", -1)
+
+def drawn(kind: Column, normal: Column, key: str, counter: Column) -> Column:
+    """Normal form of the surrogate of a unit, from the permutation number ``counter``."""
+    email = kind == "email"
+    domain = F.substring_index(normal, "@", -1)
+    own = F.when(email, F.substring_index(normal, "@", 1)).otherwise(normal)
+    place = F.when(email, domain).otherwise(F.lit(""))
     top = F.substring_index(domain, ".", -1)
     hosts = F.substring(domain, F.lit(1), F.length(domain) - F.length(top) - 1)
-    drawn = let(_seed(key, "domain", F.lower(domain), F.lit(0)), lambda s: _scramble(hosts, s))
-    return F.concat(_scramble(F.substring_index(value, "@", 1), seed), F.lit("@"), drawn, F.lit("."), top)
+
+    def ending(script: str, male: str, female: str) -> Column:
+        return F.when(normal.rlike(rf"\p{{{script}}}"), F.when(kind == "given-m", F.lit(male)).otherwise(F.lit(female)))
+
+    def of_symbols(x: Column) -> Column:
+        symbols, values = x["symbols"], x["values"]
+        text = _spelt(symbols, values)
+        host = let(_symbols(F.lit("domain"), hosts), lambda s: _spelt(s, permuted(s, key, F.lit("domain"), F.lit(""), top)))
+        body = F.substring(text, F.lit(1), F.length(text) - 1)
+        check = let(body, lambda b: F.concat(b, F.pmod(10 - _luhn(F.concat(b, F.lit("0"))), F.lit(10)).cast("string")))
+        return (
+            F.when(kind == "ip", _address(symbols, values, normal))
+            .when(email, F.concat(text, F.lit("@"), host, F.lit("."), top))
+            .when(kind == "card", check)
+            .when(kind.isin("given-f", "given-m"), F.concat(text, F.coalesce(*(ending(*e) for e in ENDINGS), F.lit(""))))
+            .otherwise(text)
+        )
+
+    def of_known(symbols: Column) -> Column:
+        return let(F.struct(symbols.alias("symbols"), permuted(symbols, key, kind, counter.cast("string"), place).alias("values")), of_symbols)
+
+    return let(_symbols(kind, own), of_known)
+
+
+def _into_format(value: Column, digits: Column) -> Column:
+    """``value`` with its digits replaced by as many last ones of ``digits``, in order."""
+    spare = F.length(digits) - F.length(_digits(value))
+    return _each(
+        value,
+        lambda c, i: F.when(c.rlike("^[0-9]$"), F.substring(digits, spare + F.length(_digits(F.substring(value, F.lit(1), i + 1))), F.lit(1))).otherwise(c),
+    )
 
 
-def surrogate(kind: Column, value: Column, key: str, counter: Column) -> Column:
-    """The surrogate of an entity for one value of the counter; the entity itself where kind is null."""
+def surrogate(entity: Column, key: str, counter: Callable[[Column], Column]) -> Column:
+    """The surrogate of an entity(kind, value) in the format of its mention, ``counter`` giving a unit's permutation; its value where kind is null."""
+    plain = lambda t: F.replace(t, F.lit(" "), F.lit(""))
 
-    def drawn(x: Column) -> Column:
-        kind, value, normal, seed, counter = (x[c] for c in ("kind", "value", "normal", "seed", "counter"))
-        octets = F.array_join(F.array(*[(F.pmod(_byte(seed, F.lit(k)), F.lit(254)) + 1).cast("string") for k in range(4)]), ".")
-        fill = lambda digits: let(digits, lambda d: _into_format(value, d))
+    def of_drawn(x: Column) -> Column:
+        kind, value, found = x["kind"], x["value"], x["found"]
+        one = F.get(found, 0)
+        check = F.lpad((98 - _mod97(one)).cast("string"), 2, "0")
+        account = let(F.concat(F.substring(one, F.lit(1), F.lit(2)), check, _tail(one, 5)), lambda w: _each(value, lambda c, i: F.when(c == " ", c).otherwise(F.substring(w, F.length(plain(F.substring(value, F.lit(1), i + 1))), F.lit(1)))))
+        cased = F.array_join(F.zip_with(F.split(value, ""), F.split(one, ""), lambda c, s: F.when(c.rlike("^[A-Z]$"), F.upper(s)).otherwise(s)), "")
         return (
-            F.when(kind == "email", _email(value, key, seed))
-            .when(kind == "phone", fill(_phone(normal, seed)))
-            .when(kind == "card", fill(_card(normal, seed)))
-            .when(kind == "ssn", fill(F.concat(F.lit("9"), _draw(seed, F.lit(8)))))
-            .when(kind == "ip", octets)
-            .when(kind == "iban", _iban(value, normal, seed))
-            .when(kind == "name", _name(value, key, counter))
-            .when(kind == "access", F.concat(F.substring(value, F.lit(1), F.lit(4)), _scramble(F.substring(value, F.lit(5), F.length(value)), seed)))
-            .otherwise(_scramble(value, seed))
+            F.when(kind == "name", F.concat(_name_parts(value)[0], F.array_join(F.transform(found, lambda p: F.concat(F.upper(F.substring(p, F.lit(1), F.lit(1))), _tail(p, 2))), " ")))
+            .when(kind == "email", cased)
+            .when(kind.isin("phone", "card", "ssn"), _into_format(value, one))
+            .when(kind == "iban", account)
+            .otherwise(one)
         )
 
-    normal = normal_of(kind, value)
-    known = F.struct(kind.alias("kind"), value.alias("value"), normal.alias("normal"), counter.alias("counter"), _seed(key, kind, normal, counter).alias("seed"))
-    return F.when(kind.isNull(), value).otherwise(let(known, drawn))
+    def of_entity(e: Column) -> Column:
+        found = F.transform(units(e["kind"], e["value"]), lambda u: drawn(u["kind"], u["normal"], key, counter(u)))
+        return F.when(e["kind"].isNull(), e["value"]).otherwise(let(F.struct(e["kind"].alias("kind"), e["value"].alias("value"), found.alias("found")), of_drawn))
+
+    return let(entity, of_entity)
 
 
-def entities(text: Column) -> Column:
-    """array<struct<kind, value>>: all candidates of a text in order, kind null where the check digits fail."""
-    found = F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    return F.transform(found, lambda v: F.struct(kind_of(v).alias("kind"), v.alias("value")))
+def _unit_key(unit: Column) -> Column:
+    return F.concat_ws("|", unit["kind"], unit["normal"])
 
 
-def raised_counters(pool: DataFrame, key: str) -> DataFrame | None:
-    """(kind, normal, counter) of the distinct entities ``pool(kind, normal)`` whose counter is above zero."""
-    raised, taken, pending = None, None, pool.withColumn("counter", F.lit(0))
+def further_permutations(pool: DataFrame, key: str) -> DataFrame:
+    """(kind, normal, counter) of the distinct units ``pool(kind, normal)`` that draw from a permutation other than the first."""
     real = pool.select("kind", F.col("normal").alias("drawn"))
-    for _ in range(ROUNDS):
-        drawn = pending.withColumn("drawn", normal_of(F.col("kind"), surrogate(F.col("kind"), F.col("normal"), key, F.col("counter"))))
-        free = drawn.join(real, ["kind", "drawn"], "left_anti")
-        if taken is not None:
-            free = free.join(taken, ["kind", "drawn"], "left_anti")
-        won = free.groupBy("kind", "drawn").agg(F.min(F.struct("normal", "counter")).alias("w")).select("kind", "drawn", "w.normal", "w.counter")
-        won = written(won, "surrogates")
-        lost = written(pending.join(won, ["kind", "normal"], "left_anti").withColumn("counter", F.col("counter") + 1), "surrogates-again")
-        taken = won.select("kind", "drawn") if taken is None else taken.unionByName(won.select("kind", "drawn"))
-        above = won.where("counter > 0").select("kind", "normal", "counter")
-        raised = above if raised is None else raised.unionByName(above)
-        if lost.isEmpty():
-            return raised
-        pending = lost
-    raise ValueError(f"entities still share surrogates after {ROUNDS} draws")
-
-
-def replace_entities(df: DataFrame, text: str = "text", ident: str = "doc_id", key: str = "surrogates", report: bool = False) -> DataFrame:
-    """``df`` with the entities of ``text`` replaced; with ``report``, (ident, text, replaced, kinds) instead."""
-    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("whole")
+    first = written(pool.withColumn("drawn", drawn(F.col("kind"), F.col("normal"), key, F.lit(0))), "surrogates")
+    pending = written(first.join(real, ["kind", "drawn"], "left_semi").select("kind", "normal"), "surrogates-met")
+    moved = pending.select("kind", "normal", F.lit(0).alias("counter")).limit(0)
+    taken = first.select("kind", "drawn")
+    for counter in range(1, ROUNDS + 1):
+        if pending.isEmpty():
+            break
+        again = pending.withColumn("drawn", drawn(F.col("kind"), F.col("normal"), key, F.lit(counter)))
+        free = again.join(real, ["kind", "drawn"], "left_anti").join(taken, ["kind", "drawn"], "left_anti")
+        won = written(free.groupBy("kind", "drawn").agg(F.min("normal").alias("normal")), "surrogates-again")
+        if won.isEmpty():
+            continue
+        taken = taken.unionByName(won.select("kind", "drawn"))
+        moved = moved.unionByName(won.select("kind", "normal", F.lit(counter).alias("counter")))
+        pending = written(pending.join(won, ["kind", "normal"], "left_anti"), "surrogates-met")
+    return moved
+
+
+def _cut(body: Column) -> Column:
+    """array<string>: a text's gaps and candidates by turns, a gap first and last."""
+    mark = F.when(body.contains("\x01"), F.concat(F.lit("\x01"), F.md5(F.encode(body, "UTF-8")), F.lit("\x01"))).otherwise(F.lit("\x01"))
+    return let(mark, lambda m: F.split(F.regexp_replace(body, F.lit(ANY), F.concat(m, F.lit("$0"), m)), m, -1))
+
+
+def replace_entities(df: DataFrame, key: str, text: str = "text", ident: str = "doc_id", report: bool = False) -> DataFrame:
+    """``df`` with the entities of ``text`` replaced under ``key``; with ``report``, (ident, text, replaced, kinds) instead."""
     body = F.col(f"`{text}`").cast("string")
-    rows = df.select(whole, body.alias("body"), F.xxhash64(F.col(f"`{ident}`"), body).alias("row"))
-    found = written(
-        rows.select("row", F.posexplode(entities(F.col("body"))).alias("place", "e"))
-        .where("e.kind IS NOT NULL")
-        .select("row", "place", "e.kind", normal_of(F.col("e.kind"), F.col("e.value")).alias("normal")),
-        "entities",
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("whole"), body.alias("body"))
+    rows = rows.withColumn("parts", F.when(F.col("body").rlike(HINT), _cut(F.col("body"))))
+    rows = rows.withColumn("kinds", F.transform(F.filter("parts", lambda p, i: i % 2 == 1), kind_of))
+    some = F.exists("kinds", lambda k: k.isNotNull())
+    # A text that is cut is written as its parts alone.
+    stored = rows.select(
+        F.monotonically_increasing_id().alias("row"),
+        F.when(some, F.col("whole").withField(f"`{text}`", F.lit(None).cast(df.schema[text].dataType))).otherwise(F.col("whole")).alias("whole"),
+        F.when(some, F.col("parts")).alias("parts"),
+        F.when(some, F.col("kinds")).alias("kinds"),
     )
-    raised = raised_counters(written(found.select("kind", "normal").distinct(), "entity-pool"), key)
-    again = (
-        found.join(raised, ["kind", "normal"])
-        .groupBy("row")
-        .agg(F.map_from_entries(F.collect_set(F.struct("place", "counter"))).alias("counters"))
-    )
-    again = written(again, "raised-counters")
-    few = again.limit(BROADCAST_ROWS + 1).count()
+    stored = written(stored, "entity-rows")
+    values = F.filter("parts", lambda p, i: i % 2 == 1)
+    met = F.flatten(F.transform(F.filter(F.arrays_zip(F.col("kinds").alias("kind"), values.alias("value")), lambda e: e["kind"].isNotNull()), lambda e: units(e["kind"], e["value"])))
+    found = written(stored.where("kinds IS NOT NULL").select("row", F.explode(F.array_distinct(met)).alias("u")).select("row", "u.*"), "entities")
+    moved = further_permutations(written(found.select("kind", "normal").distinct(), "entity-pool"), key)
+    moved = written(moved, "surrogates-moved")
+    few = moved.limit(BROADCAST_ROWS + 1).count()
     if few == 0:
-        rows = rows.withColumn("counters", F.lit(None).cast("map<int,int>"))
+        told = stored.withColumn("counters", F.lit(None).cast("map<string,int>"))
     else:
-        rows = rows.join(F.broadcast(again) if few <= BROADCAST_ROWS else again, "row", "left")
-    told = rows.select("whole", "body", "counters", entities(F.col("body")).alias("found"))
-    put = F.transform(
-        "found",
-        lambda e, i: surrogate(e["kind"], e["value"], key, F.coalesce(F.element_at(F.col("counters"), i), F.lit(0))),
-    )
-    gaps = F.split(F.col("body"), ANY, -1)
-    joined = F.concat(F.element_at(gaps, 1), F.array_join(F.zip_with(put, F.slice(gaps, 2, F.size("found")), lambda s, g: F.concat(s, g)), ""))
-    clean = F.when(F.size("found") > 0, joined).otherwise(F.col("body"))
+        entry = F.struct(_unit_key(F.struct("kind", "normal")).alias("key"), "counter")
+        back = found.join(F.broadcast(moved) if few <= BROADCAST_ROWS else moved, ["kind", "normal"])
+        back = written(back.groupBy("row").agg(F.map_from_entries(F.collect_set(entry)).alias("counters")), "surrogates-of-rows")
+        rows_back = back.limit(BROADCAST_ROWS + 1).count()
+        told = stored.join(F.broadcast(back) if rows_back <= BROADCAST_ROWS else back, "row", "left")
+
+    def counter(unit: Column) -> Column:
+        return F.coalesce(F.try_element_at(F.col("counters"), _unit_key(unit)), F.lit(0))
+
+    def put(part: Column, i: Column) -> Column:
+        entity = F.struct(F.get(F.col("kinds"), F.floor(i / 2).cast("int")).alias("kind"), part.alias("value"))
+        return F.when(i % 2 == 0, part).otherwise(surrogate(entity, key, counter))
+
+    clean = F.when(F.col("kinds").isNull(), F.col(f"whole.`{text}`").cast("string")).otherwise(F.array_join(F.transform("parts", put), ""))
     if report:
-        kinds = F.filter(F.transform("found", lambda e: e["kind"]), lambda k: k.isNotNull())
+        kinds = F.filter(F.coalesce("kinds", F.array().cast("array<string>")), lambda k: k.isNotNull())
         return told.select(F.col(f"whole.`{ident}`").alias(ident), clean.alias(text), F.size(kinds).cast("long").alias("replaced"), F.array_join(kinds, ",").alias("kinds"))
     return told.select(F.col("whole").withField(f"`{text}`", clean).alias("whole")).select("whole.*")

@@ -15,6 +15,11 @@ def _tokenizer(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def surrogate_key(spark: SparkSession) -> str:
+    """The key of surrogates, from ``spark.quadrel.surrogateKey``; the synthetic tables do with a published one."""
+    return spark.conf.get("spark.quadrel.surrogateKey", "for synthetic tables only")
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -85,7 +90,7 @@ def op7_sentencepiece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.replace_entities(_table(spark, sf_dir, "documents"), report=True)
+    return pii.replace_entities(_table(spark, sf_dir, "documents"), surrogate_key(spark), report=True)
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

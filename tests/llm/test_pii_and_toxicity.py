@@ -1,3 +1,4 @@
+import hmac
 import random
 import re
 
@@ -8,6 +9,9 @@ from pyspark.sql import functions as F
 from quadrel.llm import pii, toxicity
 
 
+KEY = "a key of the tests"
+
+
 def luhn(digits):
     d = [int(x) for x in digits][::-1]
     return (sum(d[::2]) + sum(sum(divmod(2 * x, 10)) for x in d[1::2])) % 10 == 0
@@ -28,7 +32,7 @@ TEXTS = {
 @pytest.fixture(scope="module")
 def replaced(make):
     df = make(list(TEXTS.items()) + [(1, TEXTS[1])])
-    return {r.doc_id: r.text for r in pii.replace_entities(df).collect()}
+    return {r.doc_id: r.text for r in pii.replace_entities(df, KEY).collect()}
 
 
 def test_surrogates_keep_kind_and_format(replaced):
@@ -54,32 +58,111 @@ def test_secrets_with_labels_of_any_case_and_without_digits(make):
         1: 'TOKEN = "9233A8EC44D0B1F29233A8EC44D0B1F292330000"!!', 2: "Password: hunter2hunter2 x", 3: "API_KEY=abcdEFGHijkl", 4: "SECRET: CORRECTHORSE",
         5: "Secret: -------- and token: a-------", 6: "a Token of thanks", 7: "passwd='correcthorse'",
     }
-    got = {r.doc_id: r for r in pii.replace_entities(make(list(texts.items())), report=True).collect()}
+    got = {r.doc_id: r for r in pii.replace_entities(make(list(texts.items())), KEY, report=True).collect()}
     shapes = {1: r'TOKEN = "[0-9A-F]{40}"!!', 2: r"Password: [a-z]{6}\d[a-z]{6}\d x", 3: "API_KEY=[a-z]{4}[A-Z]{4}[a-z]{4}", 4: "SECRET: [A-Z]{12}", 7: "passwd='[a-z]{12}'"}
     for i, shape in shapes.items():
         assert re.fullmatch(shape, got[i].text) and got[i].text != texts[i] and got[i].kinds == "secret"
     assert all(got[i].text == texts[i] and got[i].replaced == 0 for i in (5, 6))
 
 
-def test_collisions_are_drawn_again(spark, monkeypatch):
+def texts_of(spark, rows):
+    return {r.doc_id: r.text for r in pii.replace_entities(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"), KEY).collect()}
+
+
+def test_surrogates_that_are_entities_are_drawn_again(spark):
     names = [f"Mr {a}{b}" for a in "ABCDEFGHJKLMNPRST" for b in ("aa", "bb", "cc", "dd", "ee", "ff", "gg", "hh", "ii", "jj")]
-    real = pii.SYLLABLES["latin"]
-    monkeypatch.setitem(pii.SYLLABLES, "latin", tuple(real[i % 3] for i in range(24)))  # little room, many collisions
-    rows = [(i, n + " wrote") for i, n in enumerate(names * 2)]
-    got = pii.replace_entities(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = texts_of(spark, [n + " wrote" for n in names * 2])
     of = {}
-    for r in got:
-        of.setdefault(names[r.doc_id % len(names)], set()).add(r.text)
+    for i, t in got.items():
+        of.setdefault(names[i % len(names)], set()).add(t)
     assert all(len(v) == 1 for v in of.values())
     assert len({t for v in of.values() for t in v}) == len(names)
     assert not {t.removesuffix(" wrote") for v in of.values() for t in v} & set(names)
 
 
+def test_formats_that_are_full(spark):
+    """Whole formats: surrogates are a rearrangement without fixed points; half-full ones avoid the entities."""
+    cards = [c for i in range(1000) for c in (f"40000000000{i:04d}{x}" for x in range(10)) if luhn(c)]
+    half = [f"{i:03d}@half.com" for i in range(0, 1000, 4)]
+    rows = [f"{i:03d}@qq.com" for i in range(1000)] + [f"{a}{b}@two.org" for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"]
+    rows += [f"{a}@one.org" for a in "abcdefghijklmnopqrstuvwxyz"] + cards + half
+    got = texts_of(spark, rows)
+    assert len(set(got.values())) == len(rows) and all(got[i] != t for i, t in enumerate(rows))
+    mails = [got[i] for i in range(1000)]
+    assert {m.split("@")[0] for m in mails} == {f"{i:03d}" for i in range(1000)} and len({m.split("@")[1] for m in mails}) == 1
+    assert all(luhn(got[i]) and got[i][0] == "4" and len(got[i]) == 16 for i, t in enumerate(rows) if t in set(cards))
+    local = {got[i].split("@")[0] for i, t in enumerate(rows) if t.endswith("@half.com")}
+    assert len(local) == 250
+
+
+def test_mentions_of_one_entity_stay_one(spark):
+    got = texts_of(spark, [
+        "call +1 (988) 234-2485 or 988-234-2485 or (988) 234-2485", "Mr John Smith met Mrs Anna Smith and Mr John Brown, then Mr Smith", "Herr Müller and Herr Mueller",
+        "DE89 3704 0044 0532 0130 00 is DE89370400440532013000", "A.B@X.org is a.b@x.org, not c@x.org", "10.1.2.3 and 172.16.9.9 and 192.168.7.8 and 172.40.1.1 and 8.8.8.8", "ring +44 20 7946 0958 or +442079460958",
+    ])
+    a, b, c = (re.sub(r"\D", "", x)[-10:] for x in re.split(" or ", got[0]))
+    assert a == b == c != "9882342485" and got[0].startswith("call +1 (") and a[3:6] != "555"
+    m = re.fullmatch(r"Mr (\w+) (\w+) met Mrs (\w+) (\w+) and Mr (\w+) (\w+), then Mr (\w+)", got[1])
+    assert m[2] == m[4] == m[7] != m[6] and m[1] == m[5] and m[1].endswith("en") and m[3].endswith("ina")
+    one, two = got[2].split(" and ")
+    assert one == two
+    x, y = got[3].split(" is ")
+    assert x.replace(" ", "") == y and x[:2] == "DE"
+    x, y, z = re.findall(r"\S+@[\w.]+", got[4])
+    assert x.lower() == y and y.split("@")[1] == z.split("@")[1] and y != z
+    p, q, r, s, t = got[5].split(" and ")
+    assert p.startswith("10.") and re.match(r"172\.(1[6-9]|2\d|3[01])\.", q) and r.startswith("192.168.") and re.match(r"172\.(?!1[6-9]\.|2\d\.|3[01]\.)", s) and t.split(".")[0] not in ("8", "10")
+    x, y = got[6].removeprefix("ring ").split(" or ")
+    assert x.replace(" ", "") == y and y.startswith("+44")
+
+
+def test_surrogates_equal_a_plain_permutation(spark):
+    """The permutation against one in Python, with the standard library's HMAC and the same expansion of its digests."""
+    rows = ["0", "7", "42", "90210", "1234567890", "abc123", "q", "z9", "deadbeef00112233", "x" * 70 + "7" * 70]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, t string")
+    values = lambda t: [(ord(c) - 48, 10) if c.isdigit() else (ord(c) - 97, 26) for c in t]
+    symbols = lambda: pii._symbols(F.lit("mailbox"), F.col("t"))
+    got = {r.t: list(r.v) for r in df.select("t", pii.permuted(symbols(), KEY, F.lit("a"), F.lit("0")).alias("v")).collect()}
+
+    def mac(*parts):
+        return hmac.new(KEY.encode(), "\x1f".join(parts).encode(), "sha256").hexdigest()
+
+    asked = {}
+
+    def spread(seeds):
+        """xxhash64 of (seed, place), as Spark computes it."""
+        new = [s for s in seeds if s not in asked]
+        if new:
+            for r, s in zip(spark.createDataFrame(new, "s string, i int").select(F.xxhash64("s", "i").alias("h")).collect(), new, strict=True):
+                asked[s] = r.h
+        return [asked[s] for s in seeds]
+
+    for t in rows:
+        state, radices = [v for v, _ in values(t)], [r for _, r in values(t)]
+        for number in range(2 * pii.TURNS + 1):
+            turn = min(number, 2 * pii.TURNS - number)
+            if number == pii.TURNS:
+                seed = mac("step", "a", "0", ",".join(map(str, radices)))
+                state[-1] = (state[-1] + spread([(seed, -1)])[0] % (radices[-1] - 1) + 1) % radices[-1]
+                continue
+            moved = [i for i in range(len(state)) if (i + turn) % 2 == 0]
+            seed = mac("turn", "a", "0", str(turn), ",".join("" if i in set(moved) else str(x) for i, x in enumerate(state)))
+            for i, h in zip(moved, spread([(seed, i) for i in moved]), strict=True):
+                state[i] = (state[i] + (-1 if number > pii.TURNS else 1) * (h % radices[i])) % radices[i]
+        assert got[t] == state, t
+
+
+def test_marks_within_texts(spark):
+    texts = ["\x01 a@b.co \x01 and \x01\x01 c@d.org", "\x01", "$1 \\ a@b.co $0"]
+    got = texts_of(spark, texts)
+    assert re.fullmatch("\x01 [a-z]@[a-z].co \x01 and \x01\x01 [a-z]@[a-z].org", got[0]) and got[1] == "\x01" and re.fullmatch(r"\$1 \\ [a-z]@[a-z].co \$0", got[2])
+
+
 def test_pii_frames(odd, none):
-    got = pii.replace_entities(odd)
+    got = pii.replace_entities(odd, KEY)
     assert got.columns == odd.columns and got.count() == odd.count()
-    assert pii.replace_entities(none).count() == 0
-    report = pii.replace_entities(odd, report=True).where(F.col("replaced") > 0).collect()
+    assert pii.replace_entities(none, KEY).count() == 0
+    report = pii.replace_entities(odd, KEY, report=True).where(F.col("replaced") > 0).collect()
     assert [(r.doc_id, r.kinds) for r in report] == [(18, "email,phone")]
 
 
