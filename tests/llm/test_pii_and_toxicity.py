@@ -183,18 +183,81 @@ def kernel(a, b):
 
 
 def test_kernel_and_weight_table():
-    alphabet = {c: i + 1 for i, c in enumerate("^$abcdefghijklmnopqrstuvwxyz")}
-    machine = toxicity.Machine(alphabet, np.zeros(toxicity.LETTERS**3), 0.25, np.zeros(4))
-    words = ["loser", "losser", "a", "banana", "thereinafter", "stupid"]
-    marks = ["loser", "banana", "stud"]
-    got = toxicity.kernel(machine, words, marks)
+    machine = toxicity.Machine(np.zeros(toxicity.LETTERS**3), 0.25, np.zeros(4))
+    words = ["loser", "losser", "a", "banana", "thereinafter", "stupid", "αβγα", "ñandú"]
+    marks = ["loser", "banana", "stud", "βγα"]
+    got = toxicity.kernel(words, marks)
     want = np.array([[kernel(a, b) for b in marks] for a in words])
     assert np.allclose(got, want, atol=1e-5)
-    alpha = np.array([0.5, -1.0, 2.0])
-    machine.weights = toxicity.subsequence_weights(machine, marks, alpha)
+    alpha = np.array([0.5, -1.0, 2.0, 0.25])
+    machine.weights = toxicity.subsequence_weights(marks, alpha)
     assert np.allclose(machine.word_scores([*words, ""])[:-1], want @ alpha + 0.25, atol=1e-6)
 
 
+def test_machine_equals_a_plain_kernel_machine():
+    """With every word a landmark, the features give the kernel machine itself: its dual, solved by plain gradient steps, has the same values."""
+    words = ["loser", "loserly", "scum", "scumbag", "banana", "there", "theirs", "ananas", "table", "stable"]
+    y = np.array([1.0] * 4 + [-1.0] * 6)
+    k = np.array([[kernel(a, b) for b in words] for a in words])
+    penalty = 0.1
+    values, vectors = np.linalg.eigh(toxicity.kernel(words, words))
+    whiten = vectors / np.sqrt(values)
+    w = toxicity.squared_hinge(toxicity.kernel(words, words) @ whiten, y, np.ones(10), penalty)
+    machine = toxicity.Machine(toxicity.subsequence_weights(words, whiten @ w[:-1]), float(w[-1]), np.zeros(4))
+    # The primal over kernel expansions: penalty * a'Ka + sum of squared hinges of y (Ka + b).
+    a, b = np.zeros(10), 0.0
+    for _ in range(60_000):
+        miss = np.maximum(0, 1 - y * (k @ a + b)) * y
+        a -= 0.02 * (2 * penalty * a - 2 * miss)
+        b += 0.02 * 2 * miss.sum()
+    assert np.allclose(machine.word_scores(words), k @ a + b, atol=2e-3)
+    assert np.allclose(machine.word_scores(["losers", "tables"]), np.array([[kernel(u, v) for v in words] for u in ("losers", "tables")]) @ a + b, atol=2e-3)
+
+
+def test_scores_equal_a_plain_reading():
+    """A text's score from its definition: words, kernel sums, worst values and curve spelt out."""
+    train, _ = corpus(300, 5), None
+    machine = toxicity.train([t for t, _ in train], [y for _, y in train])
+    text = "you l.o.s.e.r, sc_um and the " + "there" * 9 + " on"
+    words = ["you", "loser", "scum", "and", "the", "there" * 9, "on"]
+
+    def value(word):
+        def one(w):
+            from itertools import combinations
+
+            marked = f"^{w}$"
+            code = [1, *(toxicity._CODES[c] for c in w), 2]
+            total = norm = 0.0
+            features = {}
+            for i, j, k in combinations(range(len(marked)), 3):
+                weight = toxicity.DECAY ** (k - i + 1)
+                total += weight * machine.weights[(code[i] * toxicity.LETTERS + code[j]) * toxicity.LETTERS + code[k]]
+                features[code[i], code[j], code[k]] = features.get((code[i], code[j], code[k]), 0) + weight
+            norm = sum(v * v for v in features.values()) ** 0.5
+            return machine.bias + total / norm
+
+        size, step = toxicity.LONGEST, toxicity.LONGEST // 2
+        return max(one(word[i : i + size]) for i in range(0, max(1, len(word) - step), step)) if len(word) > size else one(word)
+
+    worst = sorted(map(value, words), reverse=True)[: toxicity.WORST]
+    want = 1 / (1 + np.exp(-(np.dot(worst, machine.curve[:-1]) + machine.curve[-1])))
+    assert abs(toxicity.score_text(machine, text) - want) < 1e-9
+
+
+def test_sentences_are_labelled_by_evidence():
+    toxic = [[{"you", "loser"}, {"fine", "day"}], [{"losers", "all"}], [{"nothing", "here"}]] * 4
+    clean = [[{"fine", "day"}, {"you", "all"}, {"nothing"}]] * 40
+    sentences = toxicity._Sentences(toxic)
+    values = np.array([{"loser": 2.0, "losers": 1.0}.get(w, 0.0) for w in sentences.words])
+    witness, value = sentences.witnesses(values)
+    assert [sentences.words[i] for i in witness[:3]] == ["loser", "day", "losers"] and list(value[:4]) == [2.0, 0.0, 1.0, 0.0]
+    got = toxicity.evidence([set().union(*d) for d in toxic], [set().union(*d) for d in clean])
+    assert "lose*" in got and "day" not in got and "you" not in got
+    assert toxicity.evidence([], []) == {} and toxicity.insults_of([], []) == {}
+    few = toxicity.insults_of([{"awful", "one"}, {"awful", "two"}], [{"one", "two", "three"}])
+    assert set(few) == {"awful"}
+
+
 def corpus(n, seed):
     r = random.Random(seed)
     clean = ["".join(r.choice(("th", "er", "on", "an", "re", "he", "in", "ed", "ti")) for _ in range(r.randint(1, 4))) for _ in range(600)]
@@ -213,7 +276,7 @@ def corpus(n, seed):
 def test_learns_insults_and_tolerates_gaps():
     train, test = corpus(700, 1), corpus(300, 2)
     machine = toxicity.train([t for t, _ in train], [y for _, y in train])
-    score = lambda t: float(machine.probability(np.array([machine.worst(machine.unit_scores(sorted({toxicity.unit(c) for c in toxicity.chunks(t)})).tolist())]))[0])
+    score = lambda t: toxicity.score_text(machine, t)
     wrong = sum((score(t) >= toxicity.THRESHOLD) != bool(y) for t, y in test)
     assert wrong <= 6
     for t in ("you l.o.s.e.r here", "you l o s e r", "stu*pid", "vequfoo", "sc_um", "losser"):
@@ -226,6 +289,11 @@ def test_toxicity_frames(spark, odd, none, make):
     machine = toxicity.fit(docs, labels)
     got = toxicity.score(odd, machine).collect()
     assert len(got) == odd.count() and all(0 <= r.score <= 1 for r in got)
+    of = {r.doc_id: r.text for r in odd.collect()}
+    assert all(abs(r.score - toxicity.score_text(machine, of[r.doc_id] or "")) < 1e-9 for r in got if r.doc_id is not None)
+    assert {r[0] for r in odd.where("doc_id IS NULL").select(toxicity.held_out(F.col("doc_id"))).collect()} == {False}
+    bounded = toxicity.fit(docs, labels, sample=50, sample_bytes=10_000)
+    assert toxicity.score(none, bounded).count() == 0
     whole = toxicity.score(odd, machine, ident=None).select("whole.*")
     assert whole.columns == odd.columns
     assert toxicity.score(none, machine).count() == 0
