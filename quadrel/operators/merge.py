@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quadrel.functions.slug import slug
+
 
 def first_wins(preferred: DataFrame, other: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """Rows of both, by keys; of a key in both, each column is the preferred one, or the other where that is null."""
@@ -36,6 +38,36 @@ def filled(target: DataFrame, filler: DataFrame, keys: list[str], value: str) ->
     return first_wins(target.withColumn(value, blank), filler, keys, [value])
 
 
+def with_stated_hyperparameters(architectures: DataFrame, stated: DataFrame, evidence: str = "hyperparams") -> DataFrame:
+    """Hyperparameters (doc, architecture, name, value, evidence) of extracted architectures, completed by stated ones (doc, name, value).
+
+    Each architecture of a document takes the stated hyperparameters whose slug it doesn't
+    have, and their values where its own are blank.  Documents without stated ones, and
+    documents without architectures, stay as they are.
+    """
+    keyed = lambda df: df.withColumn("_slug", slug(F.col("name")))
+    each = architectures.select("doc", "architecture").distinct().join(keyed(stated), "doc")
+    filler = each.select("doc", "architecture", "_slug", F.col("name").alias("_name"), F.col("value").alias("_value"))
+    own = keyed(architectures.where("name IS NOT NULL"))
+    both = own.join(filler, ["doc", "architecture", "_slug"], "full")
+    blank = F.coalesce(F.trim(F.col("value").cast("string")), F.lit("")) == ""
+    taken = blank & F.col("_value").isNotNull()
+    cited = F.concat(F.lit(evidence + "."), F.coalesce("_name", "name"))
+    return both.select("doc", "architecture", F.coalesce("name", "_name").alias("name"), F.when(taken, F.col("_value")).otherwise(F.col("value")).alias("value"), F.when(taken, cited).otherwise(F.col("evidence")).alias("evidence"))
+
+
+def with_training_run(documents: DataFrame, runs: DataFrame, stated: DataFrame) -> DataFrame:
+    """Training runs (doc, run, optimizer, loss): those extracted, one made up for a document (doc, model) with stated hyperparameters (doc, name, value) that has none, both completed by the stated optimizer and loss."""
+    some = stated.select("doc").distinct()
+    made = documents.join(some, "doc", "left_semi").join(runs.select("doc").distinct(), "doc", "left_anti")
+    null = F.lit(None).cast("string")
+    every = runs.select("doc", "run", "optimizer", "loss").unionByName(made.select("doc", F.concat(slug(F.col("model")), F.lit("_training_run")).alias("run"), null.alias("optimizer"), null.alias("loss")))
+    of = lambda name: F.max(F.when(F.col("name") == name, F.col("value")))
+    fill = stated.groupBy("doc").agg(of("optimizer").alias("_optimizer"), of("loss").alias("_loss"))
+    whole = lambda c: F.coalesce(F.nullif(F.trim(F.col(c)), F.lit("")), F.col(f"_{c}")).alias(c)
+    return every.join(fill, "doc", "left").select("doc", "run", whole("optimizer"), whole("loss"))
+
+
 def hoisted(nested, top):
     """A nested section, or the top-level one of that name where it is missing."""
     return F.coalesce(nested, top)

@@ -19,6 +19,8 @@ from quadrel.functions.slug import canonical_task, class_or_default, dataset_cla
 from quadrel.operators import flatten
 from quadrel.operators.mapping import Rule, individual, statements
 
+#: The datasets that a benchmark's splits are parts of.
+PHONON_PARENT, TEST_PARENT = "kappa-103 phonon benchmark set", "WBM test set"
 PROV_VALUE = "http://www.w3.org/ns/prov#value"
 
 
@@ -99,6 +101,12 @@ class ModelGraph:
             self._sections[section] = flatten.entities(self.docs, "json", section, path, self.d.retrieval).persist()
         return self._sections[section]
 
+    def release(self) -> None:
+        """Give up the sections that are held; for when the statements have been written."""
+        for rows in self._sections.values():
+            rows.unpersist()
+        self._sections.clear()
+
     @staticmethod
     def held(rows: DataFrame, **columns: Column) -> tuple:
         """The rows with columns worked out once, and references to these."""
@@ -234,21 +242,67 @@ class ModelGraph:
             out.append(self.made(parts, rules))
         return out
 
+    def suffixed(self, name: Column, suffix: str) -> Column:
+        """The individual of a name, whose identifier ends in a suffix; null without a name."""
+        plain = slug(name)
+        return F.when(name.isNotNull(), self.node(F.when(F.endswith(plain, F.lit("_" + suffix)), plain).otherwise(F.concat(plain, F.lit("_" + suffix)))))
+
+    def splits(self, folds: DataFrame, fold: Column, key: str, predicate: str) -> list[DataFrame]:
+        """A fold's split with its representation and the dataset that it is a part of.
+
+        In the retrieval dialect a test split named after a symmetry tolerance is a condition
+        of the fold, over the full test set.
+        """
+        e, d = self.n.eval, self.n.data
+        named = folds.where(field("data", key).isNotNull())
+        condition = F.lit(False)
+        if self.d.retrieval and key == "test_split":
+            condition = slug(field("data", key)).startswith("symprec_")
+        name = F.when(condition, F.lit("full_test_set")).otherwise(field("data", key))
+        scope = [F.col("model")] if self.d.retrieval else []
+        named, text, split, kind, parent = self.held(
+            named, split_name=name, split=self.node(scoped_id(*scope, name)), representation=self.node(F.concat(scoped_id(*scope, name), F.lit("_data_representation"))),
+            parent=F.when(slug(name) == "kappa_103", F.lit(PHONON_PARENT)).otherwise(F.lit(TEST_PARENT)),
+        )
+        whole = self.node(slug(parent))
+        out = [self.made(named, [
+            *individual(split, d + "DatasetSplit", text),
+            Rule(fold, e + predicate, split, evidence("data", key)),
+            *individual(kind, d + "DataRepresentation", F.concat(text, F.lit(" data representation"))),
+            Rule(split, d + "hasDataRepresentation", kind),
+            *individual(whole, d + "Dataset", parent),
+            Rule(split, d + "wasDerivedFromDataset", whole),
+        ])]
+        if self.d.retrieval and key == "test_split":
+            met = named.where(condition)
+            node = self.node(scoped_resource(F.col("model"), field("data", key), "condition"))
+            value = F.replace(F.substring(slug(field("data", key)), F.lit(len("symprec_") + 1), F.lit(1000)), F.lit("_"), F.lit("-"))
+            out.append(self.made(met, [
+                *individual(node, e + "EvaluationCondition", field("data", key)),
+                Rule(node, e + "hasConditionName", T.literal(F.lit("symprec"))),
+                Rule(node, e + "hasConditionValue", T.literal(value)),
+                Rule(fold, e + "hasEvaluationCondition", node, evidence("data", key)),
+            ]))
+        return out
+
     def evaluation(self) -> list[DataFrame]:
         e = self.n.eval
         tasks, task = self.held(self.members("benchmark_tasks", "evaluation"), task=self.node(canonical_task(F.col("name"))))
         out = [self.made(tasks, [*individual(task, class_or_default(e, field("data", "type"), "Task"), F.col("name")), Rule(task, e + "usesDataset", self.named("data", "dataset"), evidence("data", "dataset"))])]
-        releases, release = self.held(self.members("benchmark_releases", "evaluation"), release=self.node(slug(F.col("name"))))
+        suite, suited = self.held(self.docs.withColumn("data", F.try_parse_json("json")), suite=self.suffixed(field("data", "evaluation.benchmark_suite"), "benchmark_suite"))
+        out.append(self.made(suite.where("_suite IS NOT NULL"), individual(suited, e + "BenchmarkSuite", field("data", "evaluation.benchmark_suite"))))
+        stated, single = self.held(self.docs.withColumn("data", F.try_parse_json("json")), single=self.suffixed(field("data", "evaluation.benchmark_release"), "benchmark_release"))
+        out.append(self.made(stated.where("_single IS NOT NULL"), individual(single, e + "BenchmarkRelease", field("data", "evaluation.benchmark_release"))))
+        releases, release = self.held(self.members("benchmark_releases", "evaluation"), release=self.suffixed(F.col("name"), "benchmark_release"))
         out.append(self.made(releases, individual(release, e + "BenchmarkRelease", F.col("name"))))
         out.append(self.made(each(releases, "data", "tasks"), [Rule(release, e + "hasTask", self.node(canonical_task(F.col("item"))), F.col("item_evidence"))]))
         folds = self.members("folds", "evaluation")
         folds, fold = self.held(folds, fold=self.scoped(F.col("name"), "fold"))
-        splits = [("train_split", "hasTrainSplit"), ("validation_split", "hasValidationSplit"), ("test_split", "hasTestSplit")]
-        out.append(self.made(folds, [
-            *individual(fold, e + "Fold", F.col("name")),
-            Rule(fold, e + "hasIndex", T.literal(F.col("ordinal"), T.XSD + "integer")),
-            *[Rule(fold, e + p, self.named("data", k), evidence("data", k)) for k, p in splits],
-        ]))
+        index = T.inferred_literal(field("data", "index"))
+        index = F.coalesce(index, T.literal(F.col("ordinal"), T.XSD + "integer")) if self.d.retrieval else index
+        out.append(self.made(folds, [*individual(fold, e + "Fold", F.col("name")), Rule(fold, e + "hasIndex", index, evidence("data", "index"))]))
+        for key, predicate in (("train_split", "hasTrainSplit"), ("validation_split", "hasValidationSplit"), ("test_split", "hasTestSplit")):
+            out += self.splits(folds, fold, key, predicate)
         results = self.members("metric_results", "evaluation")
         metric = F.coalesce(field("data", "metric_type"), F.col("name"))
         results, node, kind = self.held(results, node=self.scoped(F.col("name"), "metric_result"), kind=self.node(F.concat(slug(metric), F.lit("_metric_type"))))

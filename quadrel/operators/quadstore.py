@@ -53,14 +53,16 @@ class QuadStore:
     def read(self) -> DataFrame:
         return self.spark.read.schema("s string, p string, o string, g string").parquet(self.path).select(*COLUMNS)
 
+    def exists(self) -> bool:
+        """Whether anything has been written."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
     def append(self, quads: DataFrame) -> None:
         """Add triples to their graphs; those already there stay once."""
         new = quads.select(*COLUMNS).distinct()
-        try:
+        if self.exists():
             new = new.join(self.read(), COLUMNS, "left_anti")
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
         new.write.mode("append").partitionBy("g").parquet(self.path)
 
     def replace(self, quads: DataFrame) -> None:

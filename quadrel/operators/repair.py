@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import json
+import time
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
+from quadrel.functions.slug import without_base_folder
 from quadrel.plans.shacl import Shape, validate, verdicts
 
 #: A graph below this many triples is never too short, and one repaired to less than this share is.
@@ -36,6 +41,58 @@ def web_provenance(annotations: DataFrame, source_url: Column) -> DataFrame:
     return annotations.withColumn("source", F.when(is_path & source_url.isNotNull(), F.concat(F.lit("<"), source_url, F.lit(">"))).otherwise(F.col("source")))
 
 
+def normalized_provenance(annotations: DataFrame, folder: Column, source_url: Column) -> DataFrame:
+    """Annotations with paths in their evidence and source relative to ``folder``, and the web address in place of a source that is a path."""
+    relative = annotations.withColumns({c: without_base_folder(F.col(c), folder) for c in ("evidence", "source")})
+    return web_provenance(relative, source_url)
+
+
+def ask(rows: DataFrame, prompt: str, client: Callable[[str], str], again: Callable[[str, str, int], str], asks: int = 3, waits: list[int] | None = None, limited: tuple[type[Exception], ...] = ()) -> DataFrame:
+    """``rows`` with (reply, error): the JSON object of a service's reply to each prompt.
+
+    A reply without a JSON object is asked for again, ``asks`` times in all, with the prompt
+    that ``again(prompt, reply, number)`` makes of it: first a shorter answer, then the bad
+    one mended.  An exception of the kinds ``limited`` is waited out, in turn by ``waits``.
+    What fails for good is an error of its row and stops no other.
+    """
+    pauses = retry_waits() if waits is None else waits
+
+    def call(text: str) -> str:
+        for pause in [*pauses, None]:
+            try:
+                return client(text)
+            except limited:
+                if pause is None:
+                    raise
+                time.sleep(pause)
+        raise AssertionError
+
+    def answer(text: str) -> tuple[str | None, str | None]:
+        asked, decoder = text, json.JSONDecoder()
+        error = "no prompt"
+        for number in range(asks if text is not None else 0):
+            try:
+                reply = call(asked)
+            except Exception as e:  # noqa: BLE001 - the row's own failure
+                return None, str(e)
+            try:
+                found = decoder.raw_decode(reply, reply.index("{"))[0]
+                return json.dumps(found, ensure_ascii=False), None
+            except ValueError as e:
+                error, asked = str(e), again(text, reply, number + 1)
+        return None, error
+
+    names = [*rows.columns, "reply", "error"]
+
+    def run(batches):
+        for b in batches:
+            found = [answer(t) for t in b.column(b.schema.get_field_index(prompt)).to_pylist()]
+            columns = [pa.array(c, pa.string()) for c in zip(*found, strict=True)] or [pa.array([], pa.string())] * 2
+            yield pa.RecordBatch.from_arrays([*b.columns, *columns], names=names)
+
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("reply", StringType()), StructField("error", StringType())]))
+
+
 def retry_waits(tries: int = 6, step: int = 30) -> list[int]:
     """Seconds to wait after each try of a service that limits its rate."""
     return [step * n for n in range(1, tries + 1)]

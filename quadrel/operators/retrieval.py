@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: A token is common if more passages than this, and than this share of them, hold it.
+COMMON = 1000
+COMMON_SHARE = 1 / 16
 # Words that are no tokens, and words that a query is expanded by.
 STOP_WORDS = (
     "a", "an", "and", "are", "as", "be", "by", "does", "for", "from",
@@ -93,6 +96,11 @@ def rank(queries: DataFrame, passages: DataFrame, top: int, expanded: bool = Tru
     passage's score is the sum over the query's tokens, repeats counted, that it holds of
     ln(1 + (N + 1) / (df + 1)), divided by 1 + max(0, tokens - 120) / 500; equal scores go
     by id; nothing scores zero and stays.
+
+    The order is exact.  Passages are first met by rare tokens.  Where a query's ``top``
+    passages have more from these than common tokens could give to any other, only passages
+    that can still be among them are scored by common tokens; other queries meet all
+    passages of their tokens.
     """
     scope = scope or []
     text = expand(F.col("text")) if expanded else F.col("text")
@@ -102,13 +110,33 @@ def rank(queries: DataFrame, passages: DataFrame, top: int, expanded: bool = Tru
     rarity = index.groupBy(*scope, "token").agg(F.count("*").alias("df"))
     total = held.groupBy(*scope).agg(F.count("*").alias("n")) if scope else held.agg(F.count("*").alias("n"))
     weighted = rarity.join(F.broadcast(total), scope) if scope else rarity.crossJoin(F.broadcast(total))
-    weighted = weighted.select(*scope, "token", F.log(1 + (F.col("n") + 1) / (F.col("df") + 1)).alias("weight"))
+    common = F.col("df") > F.greatest(F.lit(COMMON), F.col("n") * COMMON_SHARE)
+    weighted = weighted.select(*scope, "token", F.log(1 + (F.col("n") + 1) / (F.col("df") + 1)).alias("weight"), common.alias("common"))
     # The query side is narrow: its tokens' weights are attached before passages are met.
-    asked = wanted.join(weighted, [*scope, "token"])
-    hits = index.join(asked, [*scope, "token"]).groupBy(*scope, "query", "id", "length").agg(F.sum(F.col("times") * F.col("weight")).alias("sum"))
-    scored = hits.select(*scope, "query", "id", (F.col("sum") / (1 + F.greatest(F.lit(0), F.col("length") - 120) / 500)).alias("score"))
-    order = Window.partitionBy(*scope, "query").orderBy(F.round("score", 12).desc(), "id")
-    return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    asked = wanted.join(weighted, [*scope, "token"]).select(*scope, "query", "token", (F.col("times") * F.col("weight")).alias("worth"), "common")
+    key = [*scope, "query"]
+    order = Window.partitionBy(*key).orderBy(F.round("score", 12).desc(), "id")
+
+    def scored(hits: DataFrame) -> DataFrame:
+        return hits.select(*key, "id", "length", "sum", (F.col("sum") / (1 + F.greatest(F.lit(0), F.col("length") - 120) / 500)).alias("score"))
+
+    def met(tokens: DataFrame) -> DataFrame:
+        return index.join(tokens, [*scope, "token"]).groupBy(*key, "id", "length").agg(F.sum("worth").alias("sum"))
+
+    # What common tokens can add to any passage; a query is settled by its rare tokens if its top passages have more than that from them alone.
+    rest = asked.groupBy(*key).agg(F.sum(F.when(F.col("common"), F.col("worth")).otherwise(0.0)).alias("rest"))
+    rare = scored(met(asked.where("NOT common")))
+    least = rare.withColumn("rank", F.row_number().over(order)).where(F.col("rank") == top).select(*key, F.col("score").alias("least"))
+    queries_ = rest.join(least, key, "left").select(*key, "rest", "least", (F.coalesce(F.col("least") > F.col("rest") + 1e-9, F.lit(False)) | (F.col("rest") == 0)).alias("settled"))
+    near = rare.join(queries_.where("settled"), key)
+    near = near.where(F.col("least").isNull() | ((F.col("sum") + F.col("rest")) / (1 + F.greatest(F.lit(0), F.col("length") - 120) / 500) >= F.col("least") - 1e-9)).select(*key, "id", "length", "sum")
+    # Common tokens' lists meet the passages that are still in question, one to one.
+    open_ = near.join(asked.where("common").select(*key, "token", "worth"), key)
+    added = open_.join(index.select(*scope, "id", "token"), [*scope, "id", "token"], "left_semi").groupBy(*key, "id", "length").agg(F.sum("worth").alias("more"))
+    full = near.join(added, [*key, "id", "length"], "left").select(*key, "id", "length", (F.col("sum") + F.coalesce("more", F.lit(0.0))).alias("sum"))
+    others = met(asked.join(queries_.where("NOT settled").select(*key), key, "left_semi"))
+    whole = scored(full.unionByName(others)).select(*key, "id", "score")
+    return whole.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
 
 
 def best_sentence(text: Column, hint: Column) -> Column:
@@ -136,6 +164,69 @@ def packets(*ranked: tuple[int, DataFrame]) -> DataFrame:
     return first.groupBy("query").agg(F.transform(ordered, lambda x: x["id"]).alias("ids"))
 
 
+def question_packets(
+    questions: DataFrame, facts: DataFrame, pages: DataFrame, ontology: DataFrame, known: DataFrame,
+    top_pages: int = 2, top_facts: int = 4, top_ontology: int = 2, top_known: int = 2, catalog: str = "O-CLASS-CATALOG",
+) -> DataFrame:
+    """(query, ids): the context of each question (id, path, question, variable, source, yaml_path) and of each known hyperparameter (id, path, name, category, value).
+
+    A question that maps to the ontology gets the class catalog and the best ontology chunks
+    for its own words, and page chunks if it asks for a backbone's or a head's class.  Any
+    other gets the fact that it points at, and the best facts and page chunks for its path,
+    variable and question.  A known hyperparameter gets itself and the best page chunks for
+    its name and value.  ``facts(id, path, chunk)``, ``pages(id, chunk)``, ``ontology(id, chunk)``.
+    """
+    passages = lambda df: df.select("id", F.col("chunk").alias("text"))
+    mapped = F.col("source") == "ontology_mapping"
+    own = questions.where(mapped).select(F.col("id").alias("query"), F.col("question").alias("text"))
+    heads = questions.where(mapped & F.col("variable").isin("backbone_ontology_class", "head_ontology_class")).select(F.col("id").alias("query"), F.col("question").alias("text"))
+    others = questions.where(~mapped)
+    words = others.select(F.col("id").alias("query"), F.concat_ws(" ", "path", "variable", "question").alias("text"))
+    asked = known.select(F.concat(F.lit("known_hyperparameter::"), "path").alias("query"), F.col("id"), F.concat(F.coalesce("category", F.lit("")), F.lit(" "), "name", F.lit(" "), "value", F.lit(" hyperparameter training")).alias("text"))
+    alone = lambda df: df.select("query", "id", F.lit(1).alias("rank"))
+    pointed = others.join(facts.select(F.col("path").alias("yaml_path"), F.col("id").alias("_id")), "yaml_path").select(F.col("id").alias("query"), F.col("_id").alias("id"))
+    return packets(
+        (0, alone(own.select("query", F.lit(catalog).alias("id")))),
+        (1, rank(own, passages(ontology), top_ontology, expanded=False)),
+        (2, rank(heads, passages(pages), top_pages)),
+        (0, alone(pointed)),
+        (1, rank(words, passages(facts), top_facts)),
+        (2, rank(words, passages(pages), top_pages)),
+        (0, alone(asked)),
+        (1, rank(asked.select("query", "text"), passages(pages), top_known, expanded=False)),
+    )
+
+
+#: What a field's path says about its class when the stated one is none, in this order.
+CLASS_FALLBACKS = (
+    ("hyperparameter", "MachineLearningHyperparameter"),
+    ("dataset", "Dataset"),
+    ("backbone", "MachineLearningArchitecture"),
+    ("head", "MachineLearningArchitecture"),
+    ("architecture", "MachineLearningArchitecture"),
+)
+
+
+def refined_classes(fields: DataFrame, catalog: DataFrame) -> DataFrame:
+    """``fields(path, value, ...)`` that name a class, with (class, evidence): the class if the catalog (class, file) has it, else the first fallback of its path that it has, else null."""
+    stated = F.substring_index(F.coalesce("value", F.lit("")), ":", -1)
+    held = F.broadcast(catalog.where(F.col("class").isin(*{c for _, c in CLASS_FALLBACKS})).select(F.col("class").alias("_c"))) if CLASS_FALLBACKS else None
+    known = held.agg(F.collect_set("_c").alias("_known"))  # as many as there are fallbacks
+    fallback = F.coalesce(*[F.when(F.lower("path").contains(mark) & F.array_contains("_known", c), F.lit(c)) for mark, c in CLASS_FALLBACKS])
+    files = catalog.select(F.col("class").alias("_stated"), F.col("file").alias("_file"))
+    out = fields.withColumn("_stated", stated).join(files, "_stated", "left").crossJoin(known)
+    out = out.withColumn("class", F.when(F.col("_file").isNotNull(), F.col("_stated")).otherwise(fallback)).drop("_file", "_stated", "_known")
+    out = out.join(files.withColumnRenamed("_stated", "class"), "class", "left")
+    cited = F.concat(F.lit("Ontology "), "_file", F.lit(" [O-CLASS-CATALOG]: "), "class", F.lit(" is declared rdf:type owl:Class."))
+    return out.select(*fields.columns, "class", cited.alias("class_evidence"))
+
+
+def cited_hyperparameters(evidence: Column, id_: Column, text: Column) -> Column:
+    """Evidence that cites a known hyperparameter, in its own words; other evidence as it is."""
+    words = F.concat(F.when(id_.startswith("M-HYP"), "Model page [").otherwise("YAML ["), id_, F.lit("]: "), text)
+    return F.when(text.isNull(), evidence).otherwise(words)
+
+
 def known_hyperparameters(page: DataFrame, yaml: DataFrame) -> DataFrame:
     """Facts (doc, ordinal, path, name, category, value) of the page; those of the YAML where the page has none; with ids."""
     fallback = yaml.join(page.select("doc").distinct(), "doc", "left_anti")

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from collections import Counter
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -26,6 +27,10 @@ from pyspark.sql import functions as F
 from quadrel.functions import terms as T
 
 
+#: Datatypes whose values are whole numbers.
+WHOLE = tuple(T.XSD + x for x in ("integer", "int", "long", "short", "nonNegativeInteger", "positiveInteger"))
+
+
 class SparqlError(ValueError):
     """The query can't be parsed or isn't supported."""
 
@@ -578,6 +583,22 @@ class _Bindings:
     df: DataFrame | None
     names: list[str]
     loose: set[str]
+    bounded: bool = False  # as many rows at most as the query's text has
+
+
+def _mentions(x) -> list[str]:
+    """The variables of a part of a query, as often as they occur."""
+    if isinstance(x, Var):
+        return [x.name]
+    if isinstance(x, (list, tuple)):
+        return [n for y in x for n in _mentions(y)]
+    if isinstance(x, Bind):
+        return [x.name, *_mentions(x.expression)]
+    if isinstance(x, Values):
+        return list(x.names)
+    if isinstance(x, (Query, Group, Pattern, Optional, Minus, Union, Graph, Call)):
+        return [n for y in vars(x).values() for n in _mentions(y)]
+    return []
 
 
 def _column(name: str) -> str:
@@ -588,17 +609,26 @@ class Compiler:
     """Compiles queries over ``quads(g, s, p, o)``.
 
     The default graph is the union of all graphs; a triple that several graphs hold is in it
-    once.  ``unique`` says that no two graphs share a triple, which saves that step.
+    once.  ``unique`` says that no two graphs share a triple, which saves that step, as does
+    a DISTINCT without aggregates.  Under such a DISTINCT a pattern whose new variables occur
+    nowhere else only asks whether there is a triple: a semi-join.  Patterns that share no
+    variable are refused, unless one side is as small as the query's text.
     """
 
     def __init__(self, quads: DataFrame, unique: bool = False):
         self.quads, self.unique = quads, unique
+        self.as_set = False
+        self.once: set[str] = set()
 
     def select(self, text: str) -> DataFrame:
         """The result of a SELECT, a column of encoded terms for each variable, in order of the ORDER BY."""
         return self.run(parse(text))
 
     def run(self, query: Query) -> DataFrame:
+        self.as_set = query.distinct and not query.group_by and not any(_has_aggregate(e) for _, e in query.select or [])
+        if self.as_set and query.select is not None:
+            mentioned = Counter([*_mentions(query), *(n for n, _ in query.select)])
+            self.once = {n for n, times in mentioned.items() if times == 1}
         found = self.group(query.where, None, _Bindings(None, [], set()))
         df = found.df
         bound = {n: F.col(_column(n)) for n in found.names}
@@ -635,7 +665,7 @@ class Compiler:
             """Replace the aggregates of an expression by columns."""
             if isinstance(e, Call) and e.name == "AGG":
                 name, distinct, inner = e.args
-                kind, column = self.aggregate(name, distinct, None if inner is None else _Expressions(bound).of(inner))
+                kind, column = self.aggregate(name, distinct, None if inner is None else _Expressions(bound).of(inner), [c for c in df.columns if c.startswith("v_")])
                 values.append(Value(kind, column).term().alias(f"v__a{len(values)}"))
                 return Var(f"_a{len(values) - 1}")
             return Call(e.name, [lift(x) for x in e.args]) if isinstance(e, Call) else e
@@ -653,14 +683,20 @@ class Compiler:
                 after[name] = F.col(_column(name))
         return df, after
 
-    def aggregate(self, name: str, distinct: bool, value: Value | None) -> tuple[str, Column]:
+    def aggregate(self, name: str, distinct: bool, value: Value | None, columns: list[str]) -> tuple[str, Column]:
+        """Kind and column of an aggregate; DISTINCT sums and means take each number once, and over nothing they are 0."""
         if name == "COUNT":
             if value is None:
-                return "integer", F.count(F.lit(1))
+                return "integer", F.count_distinct(F.struct(*map(F.col, columns))) if distinct and columns else F.count(F.lit(1))
             return "integer", F.count_distinct(value.term()) if distinct else F.count(value.term())
         if name in ("SUM", "AVG"):
-            number = value.number()
-            return "number", {"SUM": F.sum_distinct if distinct else F.sum, "AVG": F.avg}[name](number)
+            number, kind = value.number(), T.datatype(value.term())
+            whole = F.count_if(number.isNotNull() & ~kind.isin(*WHOLE)) == 0
+            total, count = (F.sum_distinct(number), F.count_distinct(number)) if distinct else (F.sum(number), F.count(number))
+            as_whole = T.literal(F.coalesce(total, F.lit(0)).cast("decimal(38,0)"), T.XSD + "integer")
+            if name == "SUM":
+                return "term", F.when(whole, as_whole).otherwise(T.literal(total, T.XSD + "double"))
+            return "term", F.when(count == 0, F.lit(f'"0"^^{T.XSD}integer')).otherwise(T.literal(total / count, T.XSD + "double"))
         pick = {"MIN": F.min, "MAX": F.max, "SAMPLE": F.min}[name]
         key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(T.order_key(value.term()))], value.term().alias("t"))
         return "term", pick(F.when(value.term().isNotNull(), key))["t"]
@@ -672,7 +708,13 @@ class Compiler:
         def flush() -> None:
             nonlocal out
             while pending:
-                out = self.join(out, self.scan(pending.pop(self.next_pattern(pending, out.names)), graph))
+                found = self.scan(pending.pop(self.next_pattern(pending, out.names)), graph)
+                new = [n for n in found.names if n not in out.names]
+                if out.df is not None and new and set(new) <= self.once and len(new) < len(found.names):
+                    keys = [_column(n) for n in self.shared(out, found)]
+                    out = _Bindings(out.df.join(found.df.select(*keys), keys, "left_semi"), out.names, out.loose)
+                else:
+                    out = self.join(out, found)
 
         for x in group.elements:
             if isinstance(x, Pattern):
@@ -702,12 +744,12 @@ class Compiler:
                     raise SparqlError(f"?{x.name} is bound already")
                 bound = {n: F.col(_column(n)) for n in out.names}
                 df = out.df if out.df is not None else self.quads.sparkSession.range(1)
-                out = _Bindings(df.withColumn(_column(x.name), _Expressions(bound).of(x.expression).term()), [*out.names, x.name], {*out.loose, x.name})
+                out = _Bindings(df.withColumn(_column(x.name), _Expressions(bound).of(x.expression).term()), [*out.names, x.name], {*out.loose, x.name}, out.bounded or out.df is None)
         flush()
         if out.df is None:
-            out = _Bindings(self.quads.sparkSession.range(1).select(), [], set())
+            out = _Bindings(self.quads.sparkSession.range(1).select(), [], set(), True)
         for e in group.filters:
-            out = _Bindings(out.df.where(self.truth(e, out.names)), out.names, out.loose)
+            out = _Bindings(out.df.where(self.truth(e, out.names)), out.names, out.loose, out.bounded)
         return out
 
     def truth(self, e, names: list[str]) -> Column:
@@ -741,15 +783,16 @@ class Compiler:
                     df = df.where(F.col(c) == F.col(seen[t.name]))
                 else:
                     seen[t.name] = c
-        if graph is None and not self.unique:
+        if graph is None and not self.unique and not self.as_set:
             df = df.select("s", "p", "o").distinct()
-        return _Bindings(df.select(*[F.col(c).alias(_column(n)) for n, c in seen.items()]), list(seen), set())
+        # A pattern without variables is one triple or none.
+        return _Bindings(df.select(*[F.col(c).alias(_column(n)) for n, c in seen.items()]), list(seen), set(), not seen)
 
     def values(self, x: Values) -> _Bindings:
         """Inline rows; as many as the query's text has."""
         schema = ", ".join(f"{_column(n)} string" for n in x.names)
         df = self.quads.sparkSession.createDataFrame([tuple(r) for r in x.rows], schema)
-        return _Bindings(F.broadcast(df), list(x.names), {n for i, n in enumerate(x.names) if any(r[i] is None for r in x.rows)})
+        return _Bindings(F.broadcast(df), list(x.names), {n for i, n in enumerate(x.names) if any(r[i] is None for r in x.rows)}, True)
 
     def shared(self, a: _Bindings, b: _Bindings) -> list[str]:
         names = [n for n in a.names if n in b.names]
@@ -764,14 +807,22 @@ class Compiler:
         if names:
             df = a.df.join(b.df, [_column(n) for n in names])
         else:
+            self.refuse_product(a, b)
             df = a.df.join(b.df)
-        return _Bindings(df, [*a.names, *(n for n in b.names if n not in a.names)], a.loose | b.loose)
+        return _Bindings(df, [*a.names, *(n for n in b.names if n not in a.names)], a.loose | b.loose, a.bounded and b.bounded)
+
+    @staticmethod
+    def refuse_product(a: _Bindings, b: _Bindings) -> None:
+        if not (a.bounded or b.bounded):
+            raise SparqlError(f"no variable joins {a.names} with {b.names}")
 
     def optional(self, a: _Bindings, group: Group, graph: Var | Term | None) -> _Bindings:
         inner = self.group(Group(group.elements, []), graph, _Bindings(None, [], set()))
         if a.df is None:
             return inner
         names = self.shared(a, inner)
+        if not names:
+            self.refuse_product(a, inner)
         new = [n for n in inner.names if n not in a.names]
         right = inner.df.select(*[F.col(_column(n)).alias(f"o_{n}") for n in inner.names])
         condition = F.lit(True)
@@ -799,7 +850,7 @@ class Compiler:
         df = rows[0]
         for r in rows[1:]:
             df = df.unionByName(r)
-        return _Bindings(df, names, loose)
+        return _Bindings(df, names, loose, all(p.bounded for p in parts))
 
 
 def _has_aggregate(e) -> bool:

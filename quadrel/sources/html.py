@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, IntegerType, StringType, StructField, StructType
 
-from quadrel.functions.slug import cell_bool, cell_number, collapsed, header_text, parse_created
+from quadrel.functions.slug import cell_bool, cell_number, collapsed, files_route, header_text, parse_created
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 UNREAD = ("script", "style", "noscript")
@@ -185,6 +185,17 @@ def link_set(pages: DataFrame, html: str, url: str, prefix: str) -> DataFrame:
     return found.select(absolute(F.col("base"), F.col("href")).alias("link")).distinct().orderBy("link")
 
 
+def file_links(url: Column, listing: Column, html_: Column) -> Column:
+    """array<string> of the YAML files behind a URL: itself, those of a repository folder's listing (JSON), or those that a page links to, absolute, each once."""
+    entries = F.from_json(listing, "array<struct<name string, download_url string>>")
+    listed = F.transform(F.filter(entries, lambda e: e["name"].rlike(r"\.ya?ml$") & e["download_url"].isNotNull()), lambda e: e["download_url"])
+    hrefs = F.regexp_extract_all(html_, F.lit(r"""(?is)<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""), F.lit(1))
+    linked = F.array_distinct(F.transform(F.filter(hrefs, lambda h: h.rlike(r"\.ya?ml$")), lambda h: absolute(url, h)))
+    route = files_route(url)
+    found = F.when(route == "file", F.array(url)).when(route == "api", listed).when(route == "page", linked)
+    return F.coalesce(found, F.array().cast("array<string>"))
+
+
 def numbered_slice(links: DataFrame, start: int = 1, limit: int | None = None) -> DataFrame:
     """Links from number ``start`` (from one, by order) on, ``limit`` of them."""
     out = links.orderBy("link").offset(start - 1)

@@ -2,13 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import atexit
+import shutil
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadrel.plans.shacl import rendered
 from quadrel.sources.turtle import to_documents
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path below the folder that the cluster names in ``spark.checkpoint.dir``; in local mode without one, below a temporary folder."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no shared folder")
+        if not _own:
+            _own.append(tempfile.mkdtemp(prefix="quadrel-"))
+            atexit.register(shutil.rmtree, _own[0], ignore_errors=True)
+        root = "file://" + _own[0]
+    return f"{root.rstrip('/')}/quadrel/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_own: list[str] = []
+
+
 def write_turtle(quads: DataFrame, path: str, annotations: DataFrame | None = None) -> None:
     """Each graph's Turtle text, its annotations after an empty line, below ``path/g=<graph>``."""
     to_documents(quads, annotations).write.mode("overwrite").partitionBy("g").text(path)

@@ -251,6 +251,25 @@ def read_documents(spark: SparkSession, path: str, glob: str = "*.ttl", namespac
     return files.where(~F.col("file").startswith("__")).select(graph_name(F.col("file"), namespace).alias("g"), "file", F.col("value").alias("text"))
 
 
+def read_existing(spark: SparkSession, paths: list[str], namespace: str = "urn:graph:") -> DataFrame:
+    """(g, file, text) of those of the files that are there."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    there = [p for p in paths if (q := jvm.org.apache.hadoop.fs.Path(p)).getFileSystem(conf).exists(q)]
+    if not there:
+        return spark.createDataFrame([], "g string, file string, text string")
+    files = spark.read.text(there, wholetext=True).select("value", plain_name(F.col("_metadata.file_name")).alias("file"))
+    return files.select(graph_name(F.col("file"), namespace).alias("g"), "file", F.col("value").alias("text"))
+
+
+def chosen_files(argument: str | None, named: str | None, folder: str) -> tuple[str, str]:
+    """(path, glob) of the files to read: one file given as an argument, else the one that the environment names, else the folder's Turtle files."""
+    for one in (argument, named):
+        if one and one.strip():
+            head, _, tail = one.strip().replace("\\", "/").rpartition("/")
+            return head or ".", tail
+    return folder, "*.ttl"
+
+
 def parse_documents(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Quads (a set), annotations (repeats kept) and errors (g, error) of documents (g, text).
 
