@@ -51,9 +51,30 @@ def is_meaningful(field: Column) -> Column:
     return (kind(value) != "null") & ~F.coalesce(blank, F.lit(False))
 
 
+@F.pandas_udf(StringType())
+def _whole_json(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """The text where all of it is one JSON value; the parser in the JVM takes the first value and leaves the rest."""
+    import json
+
+    def one(text):
+        try:
+            json.loads(text)
+        except (TypeError, ValueError):
+            return None
+        return text
+
+    for part in texts:
+        yield part.map(one)
+
+
+def whole_json(text: Column) -> Column:
+    """VARIANT of a text that is JSON as a whole, else null."""
+    return F.try_parse_json(_whole_json(text))
+
+
 def greedy_json(text: Column) -> Column:
-    """VARIANT of a reply: the whole text, else what stands from the first brace to the last."""
-    return F.coalesce(F.try_parse_json(text), F.try_parse_json(F.regexp_extract(text, r"(?s)\{.*\}", 0)))
+    """VARIANT of a reply: the whole text, else what stands from the first brace to the last; null if neither is JSON."""
+    return F.coalesce(whole_json(text), whole_json(F.regexp_extract(text, r"(?s)\{.*\}", 0)))
 
 
 @F.pandas_udf(StringType())

@@ -158,23 +158,6 @@ def group_having(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["group_having"] = ORACLES["group_having"].replace("sum(c_acctbal)", "round(sum(c_acctbal), 2)")
 
 
-@query("""
-SELECT c_name AS name FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_name < 'D'
-UNION ALL SELECT s_name FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_name < 'D'
-""")
-def union_of_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return answered(lifted(spark, sf_dir, "customer", "supplier", "nation"), """
-        SELECT ?name WHERE {
-            { ?x ex:c_nation ?n ; ex:c_name ?name } UNION { ?x ex:s_nation ?n ; ex:s_name ?name }
-            ?n ex:n_name ?nation . FILTER(?nation < "D")
-        }""")
-
-
-@query("SELECT n_name AS nation FROM nation WHERE n_nationkey NOT IN (SELECT s_nationkey FROM supplier)")
-def minus_group(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return answered(lifted(spark, sf_dir, "nation", "supplier"), "SELECT ?nation WHERE { ?n ex:n_name ?nation . MINUS { ?s ex:s_nation ?n } }")
-
-
 @query("""
 SELECT 'http://example.org/graph/region/' || n_regionkey AS g, count(*) AS nations, min(n_name) AS first
 FROM nation WHERE n_regionkey NOT IN (0, 3) GROUP BY n_regionkey
@@ -485,7 +468,7 @@ def rank_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query", "id", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
 
 
-@query()
+@query()  # its SQL is in operator_catalog
 def chunk_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     made = retrieval.chunks(docs, F.col("text"), F.concat(F.lit("D"), F.col("doc_id").cast("string"), F.lit("-C")), "document")

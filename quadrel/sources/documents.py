@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from quadrel.functions.slug import canonical_key
-from quadrel.functions.values import top_level_field
+from quadrel.functions.values import top_level_field, whole_json
 from quadrel.sources.turtle import plain_name
 
 
@@ -22,7 +22,7 @@ def read_whole(spark: SparkSession, path: str, glob: str, recursive: bool = Fals
 
 def read_json(spark: SparkSession, path: str) -> DataFrame:
     """(path, file, document VARIANT); a file that is no JSON has a null document."""
-    return read_whole(spark, path, "*.json").select("path", "file", F.try_parse_json("text").alias("document"))
+    return read_whole(spark, path, "*.json").select("path", "file", whole_json(F.col("text")).alias("document"))
 
 
 @F.pandas_udf(StringType())
