@@ -12,10 +12,13 @@ the fan-in or than one partition holds, however many copies a text has.
 Entries are matched on a SHA-256 digest, a 64-bit hash of another family and the
 length of the normalised text; a merge happens only when all three agree.
 
-Only narrow rows (about 70 bytes for a document) move between executors.  Everything
-is DataFrame functions.
+Runs are exchanged by (run, digest) and not run by run, so that a late round's merge, which
+holds every distinct text, is still dealt over all tasks; within a task entries come sorted.
+Each level is written once, sorted, and read on the way down.  Only narrow rows (about 70
+bytes for a document) move between executors.  Everything is DataFrame functions.
 
-Defined cases: a null text is empty and so equals other empty texts; null ids order
+Defined cases: a null text is empty and so equals other empty texts; very long texts are
+digested whole; of equal lengths the smallest id, then the first place stays; null ids order
 before all others; rows that repeat wholly are copies, of which exactly one stays; an
 empty table gives an empty result; other columns, whatever their names, are carried by
 :func:`deduplicate` and ignored by :func:`copy_classes`.
@@ -61,16 +64,13 @@ def merge_tree(runs: DataFrame, fan_in_bits: int = 3) -> DataFrame:
     ``runs`` is read several times and has to be stable: a written table.
     """
     best = F.min(F.struct((-F.col("n_chars")).alias("shorter"), F.col("ident"), F.col("place"))).alias("best")
-    level = runs.groupBy("run", *KEY).agg(F.count("*").alias("copies"), best)
     last = runs.agg(F.max("run")).first()[0] or 0
-    levels = [level]
+    # Every level is written, in order within its files, so that the way down reads it instead of merging again.
+    kept = lambda level: written(level.sortWithinPartitions("run", *KEY), "digest-level")
+    levels = [kept(runs.groupBy("run", *KEY).agg(F.count("*").alias("copies"), best))]
     while last >> (fan_in_bits * (len(levels) - 1)):
-        level = (
-            level.withColumn("run", F.shiftright("run", fan_in_bits))
-            .groupBy("run", *KEY)
-            .agg(F.sum("copies").alias("copies"), F.min("best").alias("best"))
-        )
-        levels.append(level)
+        merged = levels[-1].withColumn("run", F.shiftright("run", fan_in_bits)).groupBy("run", *KEY)
+        levels.append(kept(merged.agg(F.sum("copies").alias("copies"), F.min("best").alias("best"))))
     told = levels.pop()
     while levels:
         child = levels.pop().select("run", *KEY, F.shiftright("run", fan_in_bits).alias("parent"))
