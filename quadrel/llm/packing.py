@@ -15,7 +15,8 @@ into sequences whose lengths are powers of two, which need no padding.
 No row needs another row to know its place: a partition counts its own full windows,
 bodies of each length and tail tokens while it tokenises, the partitions' totals are
 summed over a table with a row for each partition and length, and a place is arithmetic
-on these.  Texts and ids are never shuffled.
+on these.  Texts are never shuffled, nor are ids as long as the offsets of the runs, a row
+for each run and length, are small enough to be broadcast; beyond, ids are shuffled once.
 
 Defined cases: null text is empty and gives its closing id alone; texts of any length
 are tokenised whole; repeated rows are packed each for itself; an empty table gives an

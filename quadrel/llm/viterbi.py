@@ -10,19 +10,22 @@ scored alike are decided for the longer one.
 
 Only the positions of one window, as long as the longest piece, can still be extended.
 Whenever all of them trace back to one boundary, the ids before it are final: they are
-handed on and the lattice before the boundary is dropped.  Memory is thus bounded by the
-window, however long the text is.
+handed on and the lattice before the boundary is dropped.  Scores decide which merges there
+are; the search itself compares no sums of scores.
 
 Borders that no piece crosses (before a space mark that follows another character, and
 between characters that are neighbours in no piece) are places where all paths meet;
-they are read off the vocabulary.  Stretches between borders are encoded alone, and their ids are
-remembered for when they come again.
+they are read off the vocabulary.  A text is read in slices; stretches between borders are
+encoded alone, and their ids are remembered for when they come again.  A stretch without a
+border goes through the window character by character as it is read.  What is held of a text
+is thus a slice and a window, besides its ids.
 
 Characters that no piece has become their UTF-8 bytes.  Decoding joins pieces and bytes,
 reads space marks as spaces and drops the first.  A space mark in the text itself
 decodes to a space, as in the original library.
 
-Defined cases: null text is empty and gives no ids; repeated rows are encoded each;
+Defined cases: null text is empty and gives no ids; very long texts, and very long stretches
+without a space, are streamed; pieces scored alike are merged leftmost first; repeated rows are encoded each;
 an empty table gives an empty result; other columns are ignored.
 """
 
@@ -32,6 +35,7 @@ import hashlib
 import re
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +49,9 @@ MARK = "▁"
 #: Stretches whose ids a worker remembers at most, and the longest that is remembered.
 CACHE = 1_000_000
 CACHE_CHARS = 64
+#: Characters of a text that are looked at together, and those without a border after which the search takes over.
+SLICE = 1 << 16
+UNBROKEN = 1 << 12
 
 _models: dict[str, Model] = {}
 
@@ -153,18 +160,53 @@ class Model:
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of a whole text."""
-        if not text:
-            return np.zeros(0, "<u4")
-        marked = MARK + text.replace(" ", MARK)
-        stretches = self.stretches.findall(marked) if self.mark_begins else [marked]
-        known = self.known
-        out = []
-        for x in stretches:
-            found = known.get(x)
-            if found is None:
-                found = self._remember(x, b"".join([known.get(y) or self._remember(y, self.ids_of(self.search(y))) for y in self.parts(x)]))
-            out.append(found)
-        return np.frombuffer(b"".join(out), "<u4")
+        return np.frombuffer(b"".join(self.stream(text[i : i + SLICE] for i in range(0, len(text), SLICE))), "<u4")
+
+    def stream(self, slices: Iterable[str]) -> Iterator[bytes]:
+        """Ids of a text that comes in slices, handed on as they become final.
+
+        What stands before the last border seen is final.  Where no border comes for
+        ``UNBROKEN`` characters, the search runs over the slices themselves and commits
+        through its window.
+        """
+        slices, rest, inner, known = iter(slices), MARK, self.inner, self.known
+
+        def unbroken() -> Iterator[str]:
+            """The characters up to the next border."""
+            nonlocal rest
+            last = ""
+            while rest:
+                for i, c in enumerate(rest):
+                    if last and last + c not in inner:
+                        rest = rest[i:]
+                        return
+                    last = c
+                    yield c
+                rest = next(slices, "").replace(" ", MARK)
+
+        started = False
+        while True:
+            more = next(slices, "")
+            if not more and not started:
+                return
+            started = True
+            rest += more.replace(" ", MARK)
+            stretches = self.stretches.findall(rest) if self.mark_begins else self.parts(rest)
+            rest = stretches.pop() if more and stretches else ""
+            for x in stretches:
+                found = known.get(x)
+                if found is None:
+                    found = self._remember(x, b"".join([known.get(y) or self._remember(y, self.ids_of(self.search(y))) for y in self.parts(x)]))
+                yield found
+            if not more:
+                return
+            if len(rest) > UNBROKEN:
+                *final, rest = self.parts(rest)
+                yield from (known.get(y) or self._remember(y, self.ids_of(self.search(y))) for y in final)
+            if len(rest) > UNBROKEN:
+                pieces = self.search(unbroken())
+                while some := list(islice(pieces, 1024)):
+                    yield self.ids_of(some)
 
     def parts(self, stretch: str) -> list[str]:
         """Cut where two characters stand side by side that do so in no piece."""

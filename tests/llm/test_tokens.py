@@ -1,6 +1,7 @@
 import random
+import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers as P
@@ -129,6 +130,41 @@ def test_allocation_matches_brute_force(rule):
         assert np.allclose(got, want)
 
 
+def brute_spans(text):
+    """Character spans of tokens, from the bytes of each token and of each character."""
+    encoding, _ = token_counts._encoding(BYTE, P.PATTERN)
+    owner = [k for k, c in enumerate(text) for _ in c.encode()]
+    at, spans = 0, []
+    for token in encoding.encode_ordinary(text):
+        size = len(encoding.decode_single_token_bytes(token))
+        spans.append((owner[at], owner[at + size - 1] + 1))
+        at += size
+    return spans
+
+
+def test_spans_and_sections_equal_brute_force(odd, odd_rows):
+    for t in samples(200, 4) + [t or "" for _, t in odd_rows]:
+        a, b = token_counts.token_spans(t, BYTE, P.PATTERN)
+        assert list(zip(a.tolist(), b.tolist())) == brute_spans(t)
+    want = Counter()
+    for i, t in odd_rows:
+        t = t or ""
+        lines = t.splitlines(keepends=True) if set(t) & set("\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029") == set() else re.findall(r"[^\n]*\n|[^\n]+", t)
+        lines = lines or [""]
+        line_of = [k for k, line in enumerate(lines) for _ in line]
+        spans = brute_spans(t)
+        counts = Counter()
+        for a, b in spans:
+            held = Counter(line_of[a:b])
+            counts[min(held, key=lambda k: (-held[k], k))] += 1
+        start = 0
+        for k, line in enumerate(lines):
+            want[i, k, start, start + len(line), float(counts[k]), len(spans)] += 1
+            start += len(line)
+    got = Counter(tuple(r) for r in token_counts.section_counts(odd, BYTE, P.PATTERN).collect())
+    assert got == want
+
+
 def test_section_counts(odd, odd_rows, none, spark):
     reference = Tokenizer.from_file(str(P.path("byte_bpe_50k.json")))
     reference.encode_special_tokens = True
@@ -174,6 +210,33 @@ def test_viterbi_streams_within_its_window():
     assert done == len(text) and lag <= 4 * model.longest
 
 
+def test_viterbi_of_slices_and_of_unbroken_text(monkeypatch):
+    model, library = viterbi.Model(PIECE), sentencepiece.SentencePieceProcessor(model_file=PIECE)
+    r = random.Random(9)
+    unbroken = "".join(r.choice(("the", "re", "in", "abc", "ation", "x")) for _ in range(12_000))
+    texts = ["", " ", "  a  b ", "one two\nthree", unbroken, "a " + unbroken[:9_000] + " é漢" + unbroken[:5_000] + "\n\n end", "ab" * 30_000]
+    for t in texts:
+        want = library.encode(t)
+        assert model.encode(t).tolist() == want
+        for size in (1, 7, 5_000):
+            if size > 1 or len(t) < 20_000:
+                got = np.frombuffer(b"".join(model.stream(t[i : i + size] for i in range(0, len(t), size))), "<u4")
+                assert got.tolist() == want, (t[:20], size)
+    read = held = 0
+
+    def slices():
+        nonlocal read, held
+        for i in range(0, len(unbroken), 1000):
+            held = max(held, read - done)
+            read += 1000
+            yield unbroken[i : i + 1000]
+
+    done = 0
+    for ids in model.stream(slices()):
+        done += len(model.decode(np.frombuffer(ids, "<u4").tolist()))
+    assert held <= viterbi.UNBROKEN + 10_000 < len(unbroken)
+
+
 def test_sentencepiece_frames(odd, odd_rows, none):
     got = viterbi.digests(odd, PIECE).collect()
     assert len(got) == len(odd_rows) and all(r.round_trip for r in got)
