@@ -21,10 +21,12 @@ _own_folder: list[str] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The cluster's shared folder; a folder of this process only where none is named."""
+    """The cluster's shared folder; a folder of this process only in local mode, where none is named."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir names no shared folder")
     if not _own_folder:
         _own_folder.append(tempfile.mkdtemp(prefix="quadrel-"))
         atexit.register(shutil.rmtree, _own_folder[0], ignore_errors=True)

@@ -29,8 +29,9 @@ by exact bounds only: sizes, a bound on the symmetric difference from 512 parity
 the number of shingles shared at the front.  What is left is checked on the texts.  In
 crowded buckets neighbours by size are checked first; what they link isn't compared again.
 
-Defined cases: null or wordless texts have fingerprint zero, linked as any other; fewer
-words than a shingle holds make one shingle; rows that repeat get the same answer; an
+Defined cases: null or wordless texts have fingerprint zero, linked as any other; very long
+texts are read whole; other columns, whatever their names, are carried as one struct or
+ignored; fewer words than a shingle holds make one shingle; rows that repeat get the same answer; an
 empty table gives an empty result; null ids never become a component's id unless all of
 its ids are null.
 """
@@ -218,10 +219,6 @@ def near_classes(df: DataFrame, text: str = "text", ident: str = "doc_id", words
 #: For similar texts: words of a shingle and least similarity.
 SHINGLE = 5
 SIMILARITY = 0.8
-#: For close fingerprints: bits within which they are linked.
-REACH = 10
-#: Fingerprints of a key of which all close pairs are linked; of more, a minimum spanning forest.
-PAIRED = 4
 #: The order of shingles comes from this many texts, or of more from one in ``SAMPLED``.
 ORDERING = 200_000
 SAMPLED = 16
@@ -233,127 +230,6 @@ CROWDED = 16
 PARITY_BITS = 512
 
 
-def pair_keys_of(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(place in ``prints``, key) for all pairs of codeword indices of two segments, each once."""
-    near = []
-    for at, width in SEGMENTS:
-        indices = fuzzy_indices((prints >> np.uint64(at)) & np.uint64((1 << width) - 1))
-        new = np.ones(indices.shape, bool)
-        new[:, 1:] = indices[:, 1:] != indices[:, :-1]
-        near.append((indices, new))
-    places, keys = [], []
-    for i in range(3):
-        (one, new), (other, also) = near[i], near[(i + 1) % 3]
-        place, a, b = np.nonzero(new[:, :, None] & also[:, None, :])
-        places.append(place)
-        keys.append((np.int64(i) << 24) | (one[place, a].astype(np.int64) << 12) | other[place, b].astype(np.int64))
-    return np.concatenate(places), np.concatenate(keys)
-
-
-def spanning_links(prints: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """Links of a minimum spanning forest by differing bits, none above ``radius``."""
-    prints = np.unique(prints)
-    n, out = len(prints), []
-    best = np.full(n, 65, np.int64)
-    parent = np.zeros(n, np.int64)
-    outside = np.ones(n, bool)
-    for _ in range(n):
-        at = int(np.argmin(np.where(outside, best, 66)))
-        if best[at] <= radius:
-            out.append((int(prints[at].view(np.int64)), int(prints[parent[at]].view(np.int64))))
-        outside[at] = False
-        bits = np.bitwise_count(prints ^ prints[at])
-        closer = outside & (bits < best)
-        best[closer] = bits[closer]
-        parent[closer] = at
-    return out
-
-
-def _links_within(radius: int):
-    """Spanning links of each run of equal keys in a sorted stream of (key, print); the rows of runs above ``BUCKET`` come out as (key, print, true)."""
-
-    def of(key: np.ndarray, prints: np.ndarray):
-        first = np.concatenate(([0], np.nonzero(np.diff(key))[0] + 1))
-        sizes = np.diff(np.append(first, len(key)))
-        two = first[sizes == 2]
-        close = np.bitwise_count(prints[two].view(np.uint64) ^ prints[two + 1].view(np.uint64)) <= radius
-        found = [np.column_stack((prints[two], prints[two + 1]))[close]]
-        large = []
-        for at, size in zip(first[sizes > 2], sizes[sizes > 2], strict=True):
-            if size > BUCKET:
-                large.append(np.column_stack((key[at : at + size], prints[at : at + size])))
-            elif size <= PAIRED:
-                part = np.unique(prints[at : at + size])
-                one, two = np.nonzero(np.triu(np.bitwise_count(part[:, None].view(np.uint64) ^ part[None, :].view(np.uint64)) <= radius, 1))
-                found.append(np.column_stack((part[one], part[two])))
-            elif links := spanning_links(prints[at : at + size].view(np.uint64), radius):
-                found.append(np.array(links, np.int64))
-        for rows, is_large in ((found, False), (large, True)):
-            whole = np.concatenate(rows) if rows else np.zeros((0, 2), np.int64)
-            if len(whole):
-                yield pa.RecordBatch.from_arrays([pa.array(whole[:, 0]), pa.array(whole[:, 1]), pa.array(np.full(len(whole), is_large))], names=["a", "b", "large"])
-
-    def as_large(keys: np.ndarray, prints: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(prints), pa.array(np.ones(len(keys), bool))], names=["a", "b", "large"])
-
-    def run(batches):
-        keys = prints = np.zeros(0, np.int64)
-        running = None  # key of a run too long to hold, whose rows are handed on as they come
-        for b in batches:
-            new, also = b.column(0).to_numpy(), b.column(1).to_numpy()
-            if running is not None and (n := int(np.searchsorted(new, running, side="right"))):
-                yield as_large(new[:n], also[:n])
-                new, also = new[n:], also[n:]
-            if not len(new):
-                continue
-            running = None
-            keys, prints = np.concatenate((keys, new)), np.concatenate((prints, also))
-            cut = int(np.searchsorted(keys, keys[-1]))
-            if cut:
-                yield from of(keys[:cut], prints[:cut])
-            keys, prints = keys[cut:], prints[cut:]
-            if len(keys) > BUCKET:
-                yield as_large(keys, prints)
-                running, keys, prints = keys[0], keys[:0], prints[:0]
-        if len(keys):
-            yield from of(keys, prints)
-
-    return run
-
-
-def near_links(prints: DataFrame, radius: int = REACH) -> DataFrame:
-    """(a, b): for the distinct values of ``print``, spanning links within ``radius`` bits of those that share a pair key.
-
-    Buckets above ``BUCKET`` are cut into chunks, and every two chunks are compared in a
-    task of their own: the same links, without bringing the bucket together.
-    """
-
-    def emit(batches):
-        for b in batches:
-            signed = b.column(0).to_numpy(zero_copy_only=False)
-            for at in range(0, len(signed), 1 << 12):
-                part = signed[at : at + (1 << 12)]
-                place, key = pair_keys_of(part.view(np.uint64))
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(part[place])], names=["key", "print"])
-
-    def compare(table: pa.Table) -> pa.Table:
-        links = spanning_links(np.unique(table.column("print").to_numpy()).view(np.uint64), radius)
-        return pa.table({k: pa.array([x[i] for x in links], pa.int64()) for i, k in enumerate("ab")})
-
-    keyed = prints.select("print").distinct().mapInArrow(emit, "key long, print long")
-    found = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_links_within(radius), "a long, b long, large boolean")
-    found = written(found.distinct(), "near-links")
-    out = found.where("NOT large").select("a", "b")
-    large = found.where("large").select(F.col("a").alias("key"), F.col("b").alias("print"))
-    if not large.isEmpty():
-        chunks = large.join(large.groupBy("key").agg(F.ceil(F.count("*") * 2 / BUCKET).cast("int").alias("chunks")), "key")
-        own = F.pmod(F.xxhash64("print"), F.col("chunks")).cast("int")
-        dealt = chunks.select("key", "print", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
-        pairs = dealt.groupBy("key", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"))
-        out = out.unionByName(pairs.applyInArrow(compare, "a long, b long")).distinct()
-    return out
-
-
 def shingle_set(text: str, words: int = SHINGLE) -> set[bytes]:
     """The distinct shingles of a text; fewer words make one."""
     parts = text.encode("utf-8").lower().split()

@@ -10,7 +10,8 @@ Archives are real files below a folder that all executors share, reached through
 under its partition's name and moves it into place when it is whole; a task that runs
 again writes the same bytes again.
 
-Defined cases: null html is an empty payload; payloads shorter than ``least`` bytes are
+Defined cases: null html is an empty payload; very long html is written and inflated in
+bounded pieces; other columns are ignored; payloads shorter than ``least`` bytes are
 always responses; null page ids are always responses; of equal payloads the page with the smallest id is the
 response and, between wholly repeated rows, each row that has that id is a
 response; null urls become ``urn:page:<id>``; an empty table gives no archive and an
