@@ -25,7 +25,10 @@ Texts are compared as bytes throughout and shuffled compressed, once to fetch se
 once to cut.  A row is known by a 64-bit hash of its id and its text; rows that repeat
 wholly share it and get one answer.
 
-Defined cases: null text is empty; texts shorter than ``length`` stay whole; what is left
+Segments with a thousandth of all copies or more, such as a line that every other text has,
+are known to be few and are settled by broadcast, so that their rows don't meet in one task.
+
+Defined cases: null text is empty; very long texts are read whole, in overlapping blocks; texts shorter than ``length`` stay whole; what is left
 of a text may be no valid UTF-8, so the result's text is binary; an empty table gives an
 empty result; other columns are ignored.
 """
@@ -47,6 +50,8 @@ LENGTH = 200
 ANCHOR = 64
 #: Distinct segments of an anchor that may stand in one shard.
 HOT = 20_000
+#: A segment with more than one in so many of all copies is heavy.
+HEAVY = 1000
 #: Bytes of text that a shard is meant to have, and bytes that are hashed at a time.
 SHARD_BYTES = 1_500_000
 BLOCK = 500_000
@@ -226,7 +231,13 @@ def remove_repeats(df: DataFrame, text: str = "text", ident: str = "doc_id", len
     several = written(distinct.groupBy("anchor").agg(F.count("*").alias("members")), "anchor-counts")
     distinct = written(distinct.join(several, "anchor"), "distinct-segments")
 
-    settled = found.join(distinct.where("copies > 1").select("anchor", "segment"), ["anchor", "segment"], "left_semi")
+    # Segments with over a thousandth of all copies are fewer than a thousand: their rows meet them by broadcast and are not shuffled.
+    most = (distinct.agg(F.sum("copies")).first()[0] or 0) // HEAVY
+    again = distinct.where("copies > 1").select("anchor", "segment", "copies")
+    heavy = F.broadcast(again.where(F.col("copies") > most).select("anchor", "segment"))
+    key = ["anchor", "segment"]
+    light = found.join(heavy, key, "left_anti").join(again.where(F.col("copies") <= most), key, "left_semi")
+    settled = found.join(heavy, key, "left_semi").unionByName(light)
     spans = settled.select("row", "start", (F.col("start") + F.col("size")).alias("end"))
 
     wanted = distinct.where("members > 1").select(
