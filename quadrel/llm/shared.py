@@ -11,6 +11,7 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import time
 import uuid
 from collections.abc import Callable
 
@@ -19,6 +20,10 @@ from pyspark.sql import functions as F
 
 _own_folder: list[str] = []
 
+#: Seconds between two collections of the driver's garbage.
+TIDY_SECONDS = 10
+_tidied = [time.monotonic()]
+
 
 def scratch_root(spark: SparkSession) -> str:
     """The cluster's shared folder; a folder of this process only in local mode, where none is named."""
@@ -38,11 +43,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/quadrel/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def tidy(spark: SparkSession) -> None:
+    """Collect the driver's garbage, at most once in ``TIDY_SECONDS``.
+
+    Spark drops the shuffle files and broadcasts of finished steps only when the driver's
+    objects for them are collected; a driver with a roomy heap seldom does so by itself.
+    """
+    if time.monotonic() - _tidied[0] >= TIDY_SECONDS:
+        spark.sparkContext._jvm.System.gc()
+        _tidied[0] = time.monotonic()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back."""
+    """Write ``df`` to the shared folder and read it back; what led to it can go."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
+    tidy(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
