@@ -73,10 +73,42 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM f
 """
 
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
 
 
+#: Windows are cut from stretches of 512 starts, as DuckDB walks to a place in a long text.
+OP5_SQL = """
+WITH whole AS (
+  SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS row_no, octet_length(encode(coalesce(text, ''))) AS n_bytes,
+         hex(encode(coalesce(text, ''))) AS digits
+  FROM documents),
+stretches AS (
+  SELECT row_no, n_bytes, base, substr(digits, 2 * base + 1, 2 * (512 + 199)) AS part
+  FROM (SELECT row_no, n_bytes, digits, unnest(range(0, n_bytes - 199, 512)) AS base FROM whole WHERE n_bytes >= 200)),
+starts AS (
+  SELECT row_no, base + step AS first_byte, md5(substr(part, 2 * step + 1, 400)) AS gram
+  FROM (SELECT row_no, base, part, unnest(range(least(512, n_bytes - 199 - base))) AS step FROM stretches)),
+often AS (SELECT gram FROM starts GROUP BY gram HAVING count(*) > 1),
+covered AS (
+  SELECT row_no, first_byte, coalesce(first_byte - lag(first_byte) OVER (PARTITION BY row_no ORDER BY first_byte) > 200, true) AS opens
+  FROM starts SEMI JOIN often USING (gram)),
+numbered AS (SELECT row_no, first_byte, sum(CAST(opens AS INT)) OVER (PARTITION BY row_no ORDER BY first_byte) AS span FROM covered),
+spans AS (SELECT row_no, min(first_byte) AS opened, max(first_byte) + 200 AS closed FROM numbered GROUP BY row_no, span),
+gaps AS (
+  SELECT row_no, coalesce(lag(closed) OVER (PARTITION BY row_no ORDER BY opened), 0) AS kept_from, opened AS kept_to FROM spans
+  UNION ALL
+  SELECT w.row_no, coalesce(max(closed), 0), any_value(n_bytes) FROM whole w LEFT JOIN spans s ON s.row_no = w.row_no GROUP BY w.row_no),
+kept AS (
+  SELECT w.row_no, string_agg(substr(digits, 2 * kept_from + 1, 2 * (kept_to - kept_from)), '' ORDER BY kept_from, kept_to) AS digits,
+         sum(kept_to - kept_from) AS n_kept, count(*) - 1 AS n_spans
+  FROM whole w JOIN gaps g ON g.row_no = w.row_no GROUP BY w.row_no)
+SELECT doc_id, CAST(n_bytes AS BIGINT) AS n_bytes, CAST(n_bytes - n_kept AS BIGINT) AS n_removed, n_spans, sha256(unhex(k.digits)) AS kept_sha256
+FROM whole w JOIN kept k ON k.row_no = w.row_no
+"""
+
+
 def op6_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_classes(_table(spark, sf_dir, "documents"), words=3).select(
         F.col("ident").alias("doc_id"),
@@ -128,4 +160,5 @@ QUERIES = {
 ORACLES = {
     "op1_exact_dedup": OP1_SQL,
     "op4_warc_normaliser": OP4_SQL,
+    "op5_suffix_dedup": OP5_SQL,
 }
