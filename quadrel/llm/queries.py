@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadrel.llm import exact_dedup, fingerprints, packing, pii, simhash, suffix_dedup, token_counts, toxicity, viterbi, warc
+from quadrel.llm.simhash_sql import near_classes_sql
 
 
 def _tokenizer(name: str) -> str:
@@ -161,4 +162,5 @@ ORACLES = {
     "op1_exact_dedup": OP1_SQL,
     "op4_warc_normaliser": OP4_SQL,
     "op5_suffix_dedup": OP5_SQL,
+    "op6_simhash_golay": near_classes_sql(),
 }
