@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadrel.llm import exact_dedup, fingerprints, packing, pii, simhash, suffix_dedup, token_counts, toxicity, viterbi, warc
+from quadrel.llm.fingerprints_sql import fingerprint_table_sql
 from quadrel.llm.simhash_sql import near_classes_sql
 
 
@@ -160,6 +161,7 @@ QUERIES = {
 
 ORACLES = {
     "op1_exact_dedup": OP1_SQL,
+    "op3_closed_syncmers": fingerprint_table_sql(),
     "op4_warc_normaliser": OP4_SQL,
     "op5_suffix_dedup": OP5_SQL,
     "op6_simhash_golay": near_classes_sql(),
