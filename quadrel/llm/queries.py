@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrel.llm import exact_dedup, fingerprints, packing, pii, simhash, suffix_dedup, token_counts, toxicity, viterbi, warc
+from quadrel.llm import (
+    exact_dedup, exact_packing, fill_middle, fingerprints, packing, periodic_runs, pii, simhash, suffix_dedup, token_counts, toxicity, viterbi, warc,
+)
 from quadrel.llm.fingerprints_sql import fingerprint_table_sql
+from quadrel.llm.periodic_runs_sql import digests_sql as runs_sql
 from quadrel.llm.simhash_sql import near_classes_sql
 
 
@@ -139,6 +142,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(_table(spark, sf_dir, "documents"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digests(_table(spark, sf_dir, "documents"))
+
+
+def op13_exact_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_packing.pack(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -157,6 +172,9 @@ QUERIES = {
     "op8_pii_surrogates": op8_pii_surrogates,
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
+    "op11_fill_middle": op11_fill_middle,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_exact_packing": op13_exact_packing,
 }
 
 ORACLES = {
@@ -165,4 +183,6 @@ ORACLES = {
     "op4_warc_normaliser": OP4_SQL,
     "op5_suffix_dedup": OP5_SQL,
     "op6_simhash_golay": near_classes_sql(),
+    "op11_fill_middle": fill_middle.digests_sql(),
+    "op12_periodic_runs": runs_sql(),
 }
