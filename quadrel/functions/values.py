@@ -20,7 +20,7 @@ def kind(field: Column) -> Column:
 
 def has_key(field: Column, key: str) -> Column:
     """Whether an object has a key, be its value null or not."""
-    return (kind(field) == "object") & F.schema_of_variant(field).rlike(rf"[<,] ?`?{key}`?:")
+    return F.coalesce(F.try_variant_get(field, f"$.{key}", "variant").isNotNull(), F.lit(False))
 
 
 def get_value(field: Column) -> Column:

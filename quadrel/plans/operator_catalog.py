@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from quadrel.functions import slug as S
 from quadrel.functions import terms as T
 from quadrel.functions import values as V
-from quadrel.operators import flatten, mapping, merge, modelgraph, quadstore, repair, resolve, retrieval, sitegraph
+from quadrel.operators import flatten, mapping, merge, modelgraph, quadstore, refine, repair, resolve, retrieval, sitegraph
 from quadrel.plans import shacl, sparql
 from quadrel.plans.catalog import _SHAPES, EX, ORACLES, PREFIXES, QUERIES, answered, faulty, lifted, query, table
 from quadrel.sources import documents as D
@@ -383,6 +383,30 @@ def refined_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval.refined_classes(fields, catalog).select("key", "class", "class_evidence")
 
 
+_NESTED = [
+    ('{"runs": [{"value": "the @A@", "evidence": "see P1-C1, P2-C1", "source": null}, 7, [{"value": @n@, "evidence": "own words"}]], "e": {}}', '{"e":{},"runs":[{"evidence":"PDF p. 7 [P1-C1]: \\"the @A@ was grown.\\"","source":"http://x/@k@.pdf","value":"the @A@"},7,[{"evidence":"own words","value":@n@}]]}'),
+    ('{"datasets": {"x": {"ontology_class": {"value": "ns:Unheard", "evidence": "P1-C1"}}}, "y": {"ontology_class": {"value": "Unheard", "evidence": "P9-C9"}}}', '{"datasets":{"x":{"ontology_class":{"evidence":"Ontology a.ttl [O-CLASS-CATALOG]: Dataset is declared rdf:type owl:Class.","value":"Dataset"}}},"y":{"ontology_class":{"evidence":"P9-C9","value":null}}}'),
+    ('{"h": {"ontology_class": {"value": {"value": 1, "evidence": "P1-C1"}, "evidence": "x"}}, "lr": {"value": "@n@", "evidence": "M-HYP-4 or M-HYP-1"}, "bs": {"value": 1, "evidence": "[HY-HYP-2]"}}', '{"bs":{"evidence":"YAML [HY-HYP-2]: bs = @n@","value":1},"h":{"ontology_class":{"evidence":"x","value":null}},"lr":{"evidence":"Model page [M-HYP-1]: lr = @n@","source":"http://page/@k@","value":"@n@"}}'),
+    ('{"deep": {"value": {"list": [{"value": "b", "evidence": "P2-C1"}]}, "evidence": "Y1"}, "head_ontology_class": {"value": "ns:C3", "evidence": null}}', '{"deep":{"evidence":"Y1","value":{"list":[{"evidence":"PDF p. 8 [P2-C1]: \'Say \\"@B@\\".\'","source":"http://x/@k@.pdf","value":"b"}]}},"head_ontology_class":{"evidence":"Ontology a.ttl [O-CLASS-CATALOG]: C3 is declared rdf:type owl:Class.","value":"ns:C3"}}'),
+    ('{"plain": [1, null]}', '{"plain":[1,null]}'),
+    ("no document", None),
+]
+
+
+@query(rows_sql(["document"], [[(a,)] for _, a in _NESTED], {"document"}))
+def refined_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole nested documents, from document in to document out."""
+    rows = parts(spark, sf_dir).select(F.col("p_partkey").alias("doc"), by_form([f for f, _ in _NESTED]).alias("text"))
+    one = lambda id_, kind, page, text, source=None: F.struct(F.lit(id_).alias("id"), F.lit(kind).alias("kind"), F.lit(page).alias("page"), filled(text).alias("text"), (filled(source) if source else F.lit(None).cast("string")).alias("source"))
+    held = F.array(
+        one("P1-C1", "pdf", 7, "It rained. the @A@ was grown. Others.", "http://x/@k@.pdf"), one("P2-C1", "pdf", 8, 'Say "@B@".', "http://x/@k@.pdf"), one("Y1", "yaml", 0, "a = 1"),
+        one("M-HYP-1", "model_page", 0, "lr = @n@", "http://page/@k@"), one("HY-HYP-2", "yaml", 0, "bs = @n@"),
+    )
+    passages = parts(spark, sf_dir).select(F.col("p_partkey").alias("doc"), F.explode(held).alias("x")).select("doc", "x.*")
+    catalog = retrieval.class_catalog(_ontology(spark, sf_dir)).select("class", "file").unionByName(spark.createDataFrame([("Dataset", "a.ttl")], "class string, file string"))
+    return refine.refine(rows, passages, catalog).select(F.col("doc").alias("key"), F.to_json("document").alias("document"))
+
+
 @query("""
 SELECT p_partkey AS key, CASE p_partkey % 3 WHEN 0 THEN 'PDF page 7: "the ' || p_name || ' here."' WHEN 1 THEN 'lr = 1' ELSE 'own words' END AS evidence,
        '[P7-C1 | PDF page 7]' || chr(10) || p_name AS label, CASE WHEN p_partkey % 2 = 0 THEN 'Model page [M-HYP-1]: lr = ' || p_size ELSE 'YAML [HY-HYP-1]: lr = ' || p_size END AS cited FROM part
