@@ -1,17 +1,23 @@
 """Passages: chunking, tokens, and a ranker by the rarity of shared tokens.
 
-All of it is built-in functions.  Ranking joins queries and passages on tokens through an
-inverted index, so only pairs that share a token are scored, never all pairs.
+Texts are taken apart by built-in functions.  Ranking scores only pairs of a query and a
+passage that share a token, never all pairs.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: A token is common if more passages than this, and than this share of them, hold it.
 COMMON = 1000
 COMMON_SHARE = 1 / 16
+#: Different (query, token) rows that tasks hold at most, some 50 MB; passages that are scored together.
+HELD = 500_000
+BLOCK = 2048
 # Words that are no tokens, and words that a query is expanded by.
 STOP_WORDS = (
     "a", "an", "and", "are", "as", "be", "by", "does", "for", "from",
@@ -97,23 +103,133 @@ def rank(queries: DataFrame, passages: DataFrame, top: int, expanded: bool = Tru
     ln(1 + (N + 1) / (df + 1)), divided by 1 + max(0, tokens - 120) / 500; equal scores go
     by id; nothing scores zero and stays.
 
-    The order is exact.  Passages are first met by rare tokens.  Where a query's ``top``
-    passages have more from these than common tokens could give to any other, only passages
-    that can still be among them are scored by common tokens; other queries meet all
-    passages of their tokens.
+    The order is exact.  Passages are tokenised once, into a table in the shared folder.
+    Without a scope, and with up to ``HELD`` different tokens of queries, every task keeps
+    the best passages of each query of those that it reads (:func:`_best_of_task`), so no
+    more than tasks x queries x top rows are exchanged.  Otherwise queries and passages meet
+    on their tokens (:func:`_met_by_tokens`).
     """
     scope = scope or []
     text = expand(F.col("text")) if expanded else F.col("text")
     wanted = queries.select(*scope, "query", F.explode(tokenize(text)).alias("token")).groupBy(*scope, "query", "token").agg(F.count("*").alias("times"))
-    held = passages.select(*scope, "id", tokenize(F.col("text")).alias("tokens"))
-    index = held.select(*scope, "id", F.size("tokens").alias("length"), F.explode(F.array_distinct("tokens")).alias("token"))
-    rarity = index.groupBy(*scope, "token").agg(F.count("*").alias("df"))
+    found = F.struct(tokenize(F.coalesce("text", F.lit(""))).alias("tokens"))
+    held = _written(passages.select(*scope, "id", found.alias("t")).select(*scope, "id", F.size("t.tokens").alias("length"), F.array_distinct("t.tokens").alias("tokens")), "tokens")
+    each = held.select(*scope, F.explode("tokens").alias("token")).join(wanted.select(*scope, "token").distinct(), [*scope, "token"], "left_semi")
+    rarity = each.groupBy(*scope, "token").agg(F.count("*").alias("df"))
     total = held.groupBy(*scope).agg(F.count("*").alias("n")) if scope else held.agg(F.count("*").alias("n"))
-    weighted = rarity.join(F.broadcast(total), scope) if scope else rarity.crossJoin(F.broadcast(total))
+    weighted = rarity.join(F.broadcast(total), scope) if scope else rarity.withColumn("n", F.lit(total.first()[0]))
     common = F.col("df") > F.greatest(F.lit(COMMON), F.col("n") * COMMON_SHARE)
-    weighted = weighted.select(*scope, "token", F.log(1 + (F.col("n") + 1) / (F.col("df") + 1)).alias("weight"), common.alias("common"))
+    # Weights are multiples of 2**-40, so that sums are the same in whatever order they are made, and equal passages tie.
+    weight = F.round(F.log(1 + (F.col("n") + 1) / (F.col("df") + 1)) * 2.0**40) / 2.0**40
+    weighted = weighted.select(*scope, "token", weight.alias("weight"), common.alias("common"))
     # The query side is narrow: its tokens' weights are attached before passages are met.
-    asked = wanted.join(weighted, [*scope, "token"]).select(*scope, "query", "token", (F.col("times") * F.col("weight")).alias("worth"), "common")
+    asked = _written(wanted.join(weighted, [*scope, "token"]).select(*scope, "query", "token", (F.col("times") * F.col("weight")).alias("worth"), "common"), "asked")
+    if not scope:
+        rows = asked.select("query", "token", "worth").limit(HELD + 1).collect()
+        if len(rows) <= HELD:
+            best = _best_of_task(held, rows, top, queries.schema["query"].dataType.simpleString())
+            order = Window.partitionBy("query").orderBy(F.round("score", 12).desc(), "id")
+            return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    return _met_by_tokens(held, asked, top, scope)
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder: several plans read it, and none makes it again."""
+    from quadrel.sources.sinks import scratch
+
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _best_of_task(held: DataFrame, asked: list, top: int, kind: str) -> DataFrame:
+    """(query, id, score) of the best passages of each query among those that one task reads.
+
+    ``asked`` is the (query, token, worth) of all queries, ``HELD`` at most.  Passages come in
+    blocks by length, so by what a sum is divided by; a query passes by a block whose
+    tokens' worths together, divided by the block's least divisor, stay below the last of
+    the best so far.  In a block that it can't pass by, tokens that can't reach that mark by
+    themselves are counted for those passages only that hold a token beyond them.
+    """
+    vocabulary = sorted({r.token for r in asked})
+    number = {t: i for i, t in enumerate(vocabulary)}
+    by_query: dict = {}
+    for r in sorted(asked, key=lambda r: r.token):
+        by_query.setdefault(r.query, []).append((number[r.token], r.worth))
+    names = list(by_query)
+    tokens = [np.array([t for t, _ in by_query[q]]) for q in names]
+    worths = [np.array([w for _, w in by_query[q]]) for q in names]
+    del by_query, number
+
+    def run(batches):
+        best: list[list] = [[] for _ in names]  # (-rounded score, id, score), the best first
+        words = pa.array(vocabulary, pa.string())
+        for b in batches:
+            lists = b.column(2)
+            flat = pc.index_in(lists.flatten(), words)
+            owner = np.repeat(np.arange(b.num_rows), np.diff(lists.offsets.to_numpy()))
+            known = flat.is_valid().to_numpy(zero_copy_only=False)
+            token, owner = flat.filter(flat.is_valid()).to_numpy(zero_copy_only=False).astype(np.int64), owner[known]
+            divisor = 1 + np.maximum(0, b.column(1).to_numpy().astype(np.int64) - 120) / 500
+            by_length = np.argsort(divisor, kind="stable")
+            block_of = np.empty(len(by_length), np.int64)
+            block_of[by_length] = np.arange(len(by_length)) // BLOCK
+            ids = b.column(0)
+            for k in range(-(-b.num_rows // BLOCK)):
+                members = by_length[k * BLOCK : (k + 1) * BLOCK]
+                place = np.empty(b.num_rows, np.int64)
+                place[members] = np.arange(len(members))
+                inside = block_of[owner] == k
+                t, p = token[inside], place[owner[inside]]
+                in_order = np.argsort(t, kind="stable")
+                t, p = t[in_order], p[in_order]
+                first, end = np.searchsorted(t, np.arange(len(words))), np.searchsorted(t, np.arange(len(words)), side="right")
+                share = divisor[members]
+                for q in range(len(names)):
+                    own, worth = tokens[q], worths[q]
+                    here = end[own] > first[own]
+                    if not here.any():
+                        continue
+                    own, worth = own[here], worth[here]
+                    least = -best[q][-1][0] if len(best[q]) == top else 0.0
+                    if worth.sum() / share[0] < least - 1e-9:
+                        continue
+                    rising = np.argsort(worth, kind="stable")
+                    beyond = rising[np.cumsum(worth[rising]) / share[0] >= least - 1e-9]
+                    candidates = np.unique(np.concatenate([p[first[x] : end[x]] for x in own[beyond]]))
+                    sums = np.zeros(len(members))
+                    for x, w in zip(own.tolist(), worth.tolist(), strict=True):
+                        listed = p[first[x] : end[x]]
+                        if 20 * len(candidates) < len(listed):
+                            at = np.minimum(np.searchsorted(listed, candidates), len(listed) - 1)
+                            sums[candidates[listed[at] == candidates]] += w
+                        else:
+                            sums[listed] += w
+                    score = sums[candidates] / share[candidates]
+                    good = np.flatnonzero(score >= max(least - 1e-9, np.partition(score, -top)[-top] - 1e-9 if len(score) > top else 0.0))
+                    if len(good):
+                        rows = [(-round(float(score[i]), 12), ids[int(members[candidates[i]])].as_py(), float(score[i])) for i in good]
+                        best[q] = sorted([*best[q], *rows], key=lambda r: (r[0], r[1] is not None, r[1]))[:top]
+        out = [(names[q], i, s) for q in range(len(names)) for _, i, s in best[q]]
+        for at in range(0, len(out), 50_000):
+            columns = zip(*out[at : at + 50_000], strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    ddl = f"query {kind}, id {held.schema['id'].dataType.simpleString()}, score double"
+    schema = to_arrow_schema(held.sparkSession.createDataFrame([], ddl).schema)
+    return held.select("id", "length", "tokens").mapInArrow(run, ddl)
+
+
+def _met_by_tokens(held: DataFrame, asked: DataFrame, top: int, scope: list[str]) -> DataFrame:
+    """The ranking by a join of queries and passages on their tokens.
+
+    Passages are first met by rare tokens.  Where a query's ``top`` passages have more from
+    these than common tokens could give to any other, only passages that can still be
+    among them are scored by common tokens; other queries meet all passages of their tokens.
+    """
+    index = held.select(*scope, "id", "length", F.explode("tokens").alias("token"))
     key = [*scope, "query"]
     order = Window.partitionBy(*key).orderBy(F.round("score", 12).desc(), "id")
 
@@ -125,7 +241,7 @@ def rank(queries: DataFrame, passages: DataFrame, top: int, expanded: bool = Tru
 
     # What common tokens can add to any passage; a query is settled by its rare tokens if its top passages have more than that from them alone.
     rest = asked.groupBy(*key).agg(F.sum(F.when(F.col("common"), F.col("worth")).otherwise(0.0)).alias("rest"))
-    rare = scored(met(asked.where("NOT common")))
+    rare = _written(scored(met(asked.where("NOT common"))), "rare")
     least = rare.withColumn("rank", F.row_number().over(order)).where(F.col("rank") == top).select(*key, F.col("score").alias("least"))
     queries_ = rest.join(least, key, "left").select(*key, "rest", "least", (F.coalesce(F.col("least") > F.col("rest") + 1e-9, F.lit(False)) | (F.col("rest") == 0)).alias("settled"))
     near = rare.join(queries_.where("settled"), key)
