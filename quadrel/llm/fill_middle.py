@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quadrel.llm.shared import text_of
+from quadrel.llm.shared import let, text_of
 
 #: The sentinels before prefix, suffix and middle.
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
@@ -67,11 +67,14 @@ def transform(df: DataFrame, text: str = "text", ident: str = "doc_id", seed: in
 
 def restored(output: Column, form: Column) -> Column:
     """The text that a transformation made ``output`` of; null if a transformed text hasn't each sentinel once."""
-    labels = F.regexp_extract_all(output, F.lit(SENTINEL), F.lit(0))
-    parts = F.split(output, SENTINEL, -1)
-    whole = (F.size(labels) == 3) & (F.size(F.array_distinct(labels)) == 3) & (F.element_at(parts, 1) == "")
-    by_label = F.map_from_arrays(F.when(whole, labels), F.when(whole, F.slice(parts, 2, 3)))
-    return F.when(form == "plain", output).otherwise(F.concat(by_label[PREFIX], by_label[MIDDLE], by_label[SUFFIX]))
+    found = F.struct(F.regexp_extract_all(output, F.lit(SENTINEL), F.lit(0)).alias("labels"), F.split(output, SENTINEL, -1).alias("parts"))
+
+    def put_together(x: Column) -> Column:
+        whole = (F.size(x["labels"]) == 3) & (F.size(F.array_distinct(x["labels"])) == 3) & (F.element_at(x["parts"], 1) == "")
+        part = lambda label: F.get(x["parts"], F.array_position(x["labels"], label).cast("int"))
+        return F.when(whole, F.concat(part(PREFIX), part(MIDDLE), part(SUFFIX)))
+
+    return F.when(form == "plain", output).otherwise(let(found, put_together))
 
 
 def digests(df: DataFrame, text: str = "text", ident: str = "doc_id", seed: int = 1) -> DataFrame:
