@@ -1,11 +1,24 @@
-"""A store of named graphs: one Parquet partition for each graph.
+"""A store of named graphs: hashed buckets of quads and a manifest for each version.
 
-Replacing and clearing touch the partitions of the graphs concerned and no others
-(dynamic partition overwrite), so a graph is replaced as a whole.
+Graphs are dealt into a fixed number of buckets by a hash of their names, so the number of
+folders and files follows the number of buckets, not that of graphs.  Data files are never
+changed: an operation writes new ones beside the old and then commits a manifest, which
+says for each bucket which folders hold it.  That commit is a rename that fails if the
+version is there already; so an operation takes place wholly or not at all, a reader sees
+one version from plan to result, and of two writers the second starts anew from what the
+first has left.  Files that no kept version names go with :meth:`QuadStore.vacuum`.
+
+The commit is atomic where renaming is (HDFS and local file systems; an object store
+without it needs one writer at a time).
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+from collections.abc import Callable
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,69 +53,232 @@ def lift(df: DataFrame, table: str, key: Column, literals: dict[str, tuple[Colum
     return out
 
 
+#: Buckets of a new store; folders that a bucket may be spread over before an append puts them together; attempts of a writer that others overtake.
+BUCKETS = 64
+FOLDERS = 8
+ATTEMPTS = 10
+
+
+class Overtaken(RuntimeError):
+    """Another writer has committed the version."""
+
+
 class QuadStore:
     """Quads below ``path``; ``keep`` are graphs that clearing never touches."""
 
-    def __init__(self, spark: SparkSession, path: str, keep: set[str] | None = None):
-        self.spark, self.path, self.keep = spark, path, set(keep or ())
+    def __init__(self, spark: SparkSession, path: str, keep: set[str] | None = None, buckets: int = BUCKETS):
+        self.spark, self.path, self.keep, self._buckets = spark, path.rstrip("/"), set(keep or ()), buckets
+
+    # --- versions
+
+    @cached_property
+    def _files(self):
+        path = self._path("")
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _path(self, below: str):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{below}".rstrip("/"))
+
+    def _names(self, below: str) -> list[str]:
+        path = self._path(below)
+        return sorted(s.getPath().getName() for s in self._files.listStatus(path)) if self._files.exists(path) else []
+
+    def versions(self) -> list[int]:
+        """The committed versions, the oldest first."""
+        return [int(n.removesuffix(".json")) for n in self._names("manifests") if n.endswith(".json")]
 
-    def _write(self, quads: DataFrame, mode: str) -> None:
-        rows = quads.select(*COLUMNS).distinct()
-        rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("g").parquet(self.path)
+    def _manifest(self, version: int | None = None) -> dict:
+        """version, buckets (how many there are) and folders (of each bucket that has any)."""
+        found = self.versions()
+        if not found and version is None:
+            return {"version": 0, "buckets": self._buckets, "folders": {}}
+        number = found[-1] if version is None else version
+        if number not in found:
+            raise ValueError(f"no such version: {number}")
+        stream = self._files.open(self._path(f"manifests/{number:012d}.json"))
+        try:
+            return json.loads(bytes(stream.readAllBytes()).decode())
+        finally:
+            stream.close()
 
-    def read(self) -> DataFrame:
-        return self.spark.read.schema("s string, p string, o string, g string").parquet(self.path).select(*COLUMNS)
+    def _commit(self, manifest: dict) -> None:
+        jvm = self.spark.sparkContext._jvm
+        draft, final = self._path(f"manifests/.{uuid.uuid4().hex}"), self._path(f"manifests/{manifest['version']:012d}.json")
+        stream = self._files.create(draft, False)
+        stream.write(json.dumps(manifest).encode())
+        stream.close()
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(draft.toUri() if draft.toUri().getScheme() else self._files.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+        options = self.spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+        try:
+            context.rename(draft, final, options)
+        except Exception as e:
+            self._files.delete(draft, False)
+            if self._files.exists(final):
+                raise Overtaken(str(manifest["version"])) from e
+            raise
+
+    def _change(self, make: Callable[[dict], dict[int, list[str]] | None]) -> None:
+        """Commit the folders that ``make`` makes of the newest manifest (None: no change); again if overtaken."""
+        for _ in range(ATTEMPTS):
+            old = self._manifest()
+            folders = make(old)
+            if folders is None:
+                return
+            try:
+                return self._commit({"version": old["version"] + 1, "buckets": old["buckets"], "folders": {str(b): f for b, f in folders.items() if f}})
+            except Overtaken:
+                continue
+        raise Overtaken(f"{ATTEMPTS} times")
+
+    # --- data
+
+    def _write(self, rows: DataFrame, buckets: int) -> dict[int, str]:
+        """Write quads to a new folder; the folder below which each bucket's are, of those that have any."""
+        folder = f"data/{uuid.uuid4().hex}"
+        dealt = rows.select(*COLUMNS, self._bucket(buckets).alias("b"))
+        dealt.hint("rebalance", F.col("b")).write.partitionBy("b").parquet(f"{self.path}/{folder}")
+        return {int(n.removeprefix("b=")): folder for n in self._names(folder) if n.startswith("b=")}
+
+    @staticmethod
+    def _bucket(buckets: int) -> Column:
+        return F.pmod(F.xxhash64("g"), F.lit(buckets)).cast("int")
+
+    def _of(self, manifest: dict, buckets: set[int] | None = None) -> DataFrame:
+        """The quads of a version, or of some of its buckets."""
+        paths = [f"{self.path}/{f}/b={b}" for b, folders in manifest["folders"].items() if buckets is None or int(b) in buckets for f in folders]
+        empty = "g string, s string, p string, o string"
+        return self.spark.read.schema(empty).parquet(*paths) if paths else self.spark.createDataFrame([], empty)
+
+    def _folders(self, manifest: dict) -> dict[int, list[str]]:
+        return {int(b): list(f) for b, f in manifest["folders"].items()}
+
+    def _buckets_of(self, graphs: list[str], manifest: dict) -> set[int]:
+        if not graphs:
+            return set()
+        return {r[0] for r in self.spark.createDataFrame([(g,) for g in graphs], "g string").select(self._bucket(manifest["buckets"])).distinct().collect()}
+
+    def read(self, version: int | None = None) -> DataFrame:
+        """The quads of a version, the newest unless another is named."""
+        return self._of(self._manifest(version))
+
+    def graph(self, *names: str) -> DataFrame:
+        """The quads of some graphs, from their buckets."""
+        manifest = self._manifest()
+        return self._of(manifest, self._buckets_of(list(names), manifest)).where(F.col("g").isin(list(names)))
 
     def exists(self) -> bool:
-        """Whether anything has been written."""
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
-        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+        """Whether anything has been committed."""
+        return bool(self.versions())
+
+    def graphs(self) -> DataFrame:
+        """(g) of all graphs, in order."""
+        return self.read().select("g").distinct().orderBy("g")
+
+    # --- operations
 
     def append(self, quads: DataFrame) -> None:
         """Add triples to their graphs; those already there stay once."""
-        new = quads.select(*COLUMNS).distinct()
-        if self.exists():
-            new = new.join(self.read(), COLUMNS, "left_anti")
-        new.write.mode("append").partitionBy("g").parquet(self.path)
+        staged: dict = {}
+
+        def make(old: dict) -> dict | None:
+            if not staged:
+                staged.update(self._write(quads.select(*COLUMNS).distinct(), old["buckets"]) or {-1: ""})
+            folders, new = self._folders(old), {b: f for b, f in staged.items() if b >= 0}
+            met = {b: f for b, f in new.items() if b in folders}
+            if met:
+                there = self._of(old, set(met))
+                rows = self._of({"folders": {b: [f] for b, f in met.items()}}).join(there, COLUMNS, "left_anti")
+                new = {b: f for b, f in new.items() if b not in met} | self._write(rows, old["buckets"])
+            for b, f in new.items():
+                folders.setdefault(b, []).append(f)
+            crowded = {b for b, f in folders.items() if len(f) > FOLDERS}
+            if crowded:
+                whole = self._write(self._of({"folders": {b: folders[b] for b in crowded}}), old["buckets"])
+                folders |= {b: [whole[b]] for b in crowded}
+            return folders if new else None
+
+        self._change(make)
 
     def replace(self, quads: DataFrame) -> None:
         """Each graph of ``quads`` becomes just what ``quads`` has of it; other graphs stay."""
-        self._write(quads, "overwrite")
+        self._put(quads, lambda old, new: (self._of(old, set(new)), {b: f for b, f in self._folders(old).items() if b not in new}))
 
-    def graphs(self) -> DataFrame:
-        """(g) of all graphs, in order."""
-        return self.read().select("g").distinct().orderBy("g")
+    def _put(self, quads: DataFrame, rest: Callable[[dict, dict], tuple[DataFrame, dict[int, list[str]]]]) -> None:
+        """Commit new graphs beside what ``rest`` leaves of the old ones: rows to write again, less those of the new graphs, and folders that stay as they are."""
+        staged: dict = {}
+
+        def make(old: dict) -> dict | None:
+            if not staged:
+                staged.update(self._write(quads.select(*COLUMNS).distinct(), old["buckets"]) or {-1: ""})
+            new = {b: f for b, f in staged.items() if b >= 0}
+            rows, folders = rest(old, new)
+            fresh = self._of({"folders": {b: [f] for b, f in new.items()}})
+            left = self._write(rows.join(fresh.select("g").distinct(), "g", "left_anti"), old["buckets"])
+            for part in (left, new):
+                for b, f in part.items():
+                    folders.setdefault(b, []).append(f)
+            return folders
+
+        self._change(make)
 
     def clear(self, *graphs: str) -> list[str]:
-        """Drop graphs; those dropped."""
-        jvm, out = self.spark.sparkContext._jvm, []
-        for g in graphs:
-            escaped = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(g)
-            folder = jvm.org.apache.hadoop.fs.Path(f"{self.path}/g={escaped}")
-            fs = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-            if fs.delete(folder, True):
-                out.append(g)
-        return out
-
-    def clear_others(self) -> list[str]:
-        """Drop all graphs but those to keep; those dropped, in order.  As many names as graphs come to the driver."""
-        found = self.read().select("g").distinct().where(~F.col("g").isin(sorted(self.keep))).orderBy("g").collect()
-        return self.clear(*[r.g for r in found])
+        """Drop graphs; those dropped, in the order asked."""
+        dropped: list[str] = []
+
+        def make(old: dict) -> dict | None:
+            touched = self._buckets_of(list(graphs), old)
+            rows = self._of(old, touched)
+            found = {r.g for r in rows.where(F.col("g").isin(list(graphs))).select("g").distinct().collect()}  # as many as were asked
+            dropped[:] = [g for g in graphs if g in found]
+            if not found:
+                return None
+            left = self._write(rows.where(~F.col("g").isin(list(graphs))), old["buckets"])
+            return {b: f for b, f in self._folders(old).items() if b not in touched} | {b: [f] for b, f in left.items()}
+
+        self._change(make)
+        return dropped
+
+    def clear_others(self) -> DataFrame:
+        """Drop all graphs but those to keep; (g) of those dropped, in order, read from the version before."""
+        before = self._manifest()
+
+        def make(old: dict) -> dict | None:
+            before.update(old)
+            return {b: [f] for b, f in self._write(self._kept(old), old["buckets"]).items()}
+
+        self._change(make)
+        return self._of(before).where(~F.col("g").isin(sorted(self.keep))).select("g").distinct().orderBy("g")
+
+    def _kept(self, manifest: dict) -> DataFrame:
+        keep = sorted(self.keep)
+        return self._of(manifest, self._buckets_of(keep, manifest)).where(F.col("g").isin(keep))
 
     def load(self, quads: DataFrame, mode: str = "replace_all") -> None:
-        """``replace_one`` (the graphs of ``quads`` only), ``append``, or ``replace_all`` (all but those to keep)."""
+        """``replace_one`` (the graphs of ``quads`` only), ``append``, or ``replace_all`` (all but those to keep); each one commit."""
         if mode == "append":
             self.append(quads)
         elif mode == "replace_one":
             self.replace(quads)
         elif mode == "replace_all":
-            self.replace(quads)
-            new = {r.g for r in quads.select("g").distinct().collect()}
-            stale = [r.g for r in self.graphs().collect() if r.g not in new and r.g not in self.keep]
-            self.clear(*stale)
+            self._put(quads, lambda old, new: (self._kept(old), {}))
         else:
             raise ValueError(f"no such mode: {mode}")
 
+    def vacuum(self, versions: int = 1) -> int:
+        """Forget all but the newest ``versions`` and delete the folders that none of these names; how many went.
+
+        Readers of forgotten versions and writers at work lose their files: not to be run beside them.
+        """
+        found = self.versions()
+        kept = found[-versions:]
+        named = {f.split("/")[1] for v in kept for folders in self._manifest(v)["folders"].values() for f in folders}
+        gone = [n for n in self._names("data") if n not in named]
+        for v in found[:-versions]:
+            self._files.delete(self._path(f"manifests/{v:012d}.json"), False)
+        for n in gone:
+            self._files.delete(self._path(f"data/{n}"), True)
+        return len(gone)
+
 
 def kept_after_clear(quads: DataFrame, keep: DataFrame) -> DataFrame:
     """The quads that clearing all graphs but ``keep(g)`` leaves, as a plan."""
