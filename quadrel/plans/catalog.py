@@ -17,6 +17,7 @@ from quadrel.functions import slug as S
 from quadrel.functions import terms as T
 from quadrel.operators import flatten, mapping, merge, quadstore, repair, resolve, retrieval
 from quadrel.plans import shacl, sparql
+from quadrel.plans.statistics import Statistics
 from quadrel.sources import documents as D
 from quadrel.sources import html, turtle
 
@@ -62,9 +63,9 @@ def lifted(spark: SparkSession, sf_dir: str, *names: str, graph: dict[str, Colum
     return reduce(DataFrame.unionByName, parts)
 
 
-def answered(quads: DataFrame, text: str, **kinds: str) -> DataFrame:
+def answered(quads: DataFrame, text: str, statistics: Statistics | None = None, **kinds: str) -> DataFrame:
     """A query's result with plain columns: text, or cast to the kinds given."""
-    found = sparql.select(quads, PREFIXES + text, unique=True)
+    found = sparql.select(quads, PREFIXES + text, unique=True, statistics=statistics)
     return found.select(*[T.lexical(F.col(c)).cast(kinds.get(c, "string")).alias(c) for c in found.columns])
 
 
@@ -84,6 +85,21 @@ def bgp_star_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
         } ORDER BY ?region ?nation ?name""")
 
 
+@query("""
+SELECT o_orderpriority AS priority, c_name AS name
+FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey
+WHERE o_orderstatus = 'F' AND r_name = 'ASIA' AND n_name IN ('NATION_2', 'NATION_7')
+""")
+def chain_by_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A chain from orders to a region; the status has most constants, but half of all orders have it."""
+    quads = lifted(spark, sf_dir, "orders", "customer", "nation", "region")
+    return answered(quads, """
+        SELECT ?priority ?name WHERE {
+            ?o ex:o_orderstatus "F" ; ex:o_orderpriority ?priority ; ex:o_customer ?c .
+            ?c ex:c_nation ?n ; ex:c_name ?name . ?n ex:n_region ?r ; ex:n_name ?nation . VALUES ?nation { "NATION_2" "NATION_7" } ?r ex:r_name "ASIA" .
+        }""", Statistics.gather(quads))
+
+
 @query("""
 SELECT 'http://example.org/orders/' || o_orderkey AS "order", o_orderpriority AS priority, o_totalprice AS price
 FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_totalprice > 100000

@@ -6,8 +6,9 @@ null is unbound.  Every triple pattern is one filtered scan, and everything afte
 joins, so that Catalyst prunes, pushes filters into the scans, picks join strategies by
 size and re-plans at run time.
 
-Order within a group: patterns are joined greedily, those with more constants first and
-never a cross product while a connected pattern is left.  OPTIONAL is a left outer join
+Order within a group: with statistics of the quads (:mod:`quadrel.plans.statistics`) the
+order in which the fewest rows are expected in between; without them greedily, those with
+more constants first.  Neither makes a cross product while a connected pattern is left.  OPTIONAL is a left outer join
 whose inner FILTERs stand in the join condition.
 
 A join on a variable that may be unbound on either side (after OPTIONAL or UNION) is
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quadrel.functions import terms as T
-
+from quadrel.plans.statistics import Statistics
 
 #: Datatypes whose values are whole numbers.
 WHOLE = tuple(T.XSD + x for x in ("integer", "int", "long", "short", "nonNegativeInteger", "positiveInteger"))
@@ -615,8 +616,8 @@ class Compiler:
     variable are refused, unless one side is as small as the query's text.
     """
 
-    def __init__(self, quads: DataFrame, unique: bool = False):
-        self.quads, self.unique = quads, unique
+    def __init__(self, quads: DataFrame, unique: bool = False, statistics: Statistics | None = None):
+        self.quads, self.unique, self.statistics = quads, unique, statistics
         self.as_set = False
         self.once: set[str] = set()
 
@@ -707,8 +708,13 @@ class Compiler:
 
         def flush() -> None:
             nonlocal out
+            if self.statistics is not None and len(pending) > 1:
+                side = lambda t: ("var", t.name) if isinstance(t, Var) else ("term", t.value)
+                known = {n: 1.0 for n in out.names} if out.df is not None else {}
+                ordered = [pending[i] for i in self.statistics.order([(side(x.s), side(x.p), side(x.o)) for x in pending], known)]
+                pending[:] = ordered
             while pending:
-                found = self.scan(pending.pop(self.next_pattern(pending, out.names)), graph)
+                found = self.scan(pending.pop(0 if self.statistics is not None else self.next_pattern(pending, out.names)), graph)
                 new = [n for n in found.names if n not in out.names]
                 if out.df is not None and new and set(new) <= self.once and len(new) < len(found.names):
                     keys = [_column(n) for n in self.shared(out, found)]
@@ -857,6 +863,6 @@ def _has_aggregate(e) -> bool:
     return isinstance(e, Call) and (e.name == "AGG" or any(_has_aggregate(x) for x in e.args))
 
 
-def select(quads: DataFrame, text: str, unique: bool = False) -> DataFrame:
-    """The result of a SELECT over ``quads(g, s, p, o)``."""
-    return Compiler(quads, unique).select(text)
+def select(quads: DataFrame, text: str, unique: bool = False, statistics: Statistics | None = None) -> DataFrame:
+    """The result of a SELECT over ``quads(g, s, p, o)``; with ``statistics``, patterns are joined in the order that they suggest."""
+    return Compiler(quads, unique, statistics).select(text)
