@@ -59,12 +59,12 @@ def tokens(text: str) -> Iterator[tuple[str, str]]:
 
 
 class Parser:
-    """Recursive-descent reader of one document; blank nodes are labelled by ``scope`` and order."""
+    """Recursive-descent reader of one document; blank nodes are named by ``scope`` and their label, or ``mark`` and their order."""
 
-    def __init__(self, text: str, scope: str = "b", base: str = "", prefixes: dict[str, str] | None = None):
+    def __init__(self, text: str, scope: str = "b", base: str = "", prefixes: dict[str, str] | None = None, mark: str = ""):
         self.items = list(tokens(text))
         self.at = 0
-        self.scope, self.base, self.prefixes = scope, base, dict(prefixes or {})
+        self.scope, self.base, self.prefixes, self.mark = scope, base, dict(prefixes or {}), mark
         self.triples: list[tuple[str, str, str]] = []
         self.annotations: list[tuple[str, str, str, str, str]] = []
         self.blanks = 0
@@ -81,7 +81,7 @@ class Parser:
 
     def blank(self) -> str:
         self.blanks += 1
-        return f"_:{self.scope}.{self.blanks}"
+        return f"_:{self.scope}.{self.mark}{self.blanks}"
 
     def document(self) -> Parser:
         while self.peek()[0] != "end":
@@ -123,7 +123,7 @@ class Parser:
         if kind == "iri":
             return f"<{self.resolve(text)}>"
         if kind == "blank":
-            return f"_:{self.scope}.{text[2:]}"
+            return f"_:{self.scope}.l-{text[2:]}"  # a label may be a number too
         if text == "[":
             node = self.blank()
             if self.peek()[1] != "]":
