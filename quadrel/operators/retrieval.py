@@ -269,20 +269,21 @@ def class_catalog(files: DataFrame) -> DataFrame:
     return found.groupBy("class").agg(F.min("file").alias("file")).withColumn("line", F.concat_ws(" | ", "class", "file", F.lit("declared rdf:type owl:Class")))
 
 
-def packets(*ranked: tuple[int, DataFrame]) -> DataFrame:
-    """(query, ids): the ids of several rankings (priority, DataFrame(query, id, rank)), by priority, then rank, each id once."""
+def packets(*ranked: tuple[int, DataFrame], scope: list[str] | None = None) -> DataFrame:
+    """(query, ids): the ids of several rankings (priority, DataFrame(query, id, rank)), by priority, then rank, each id once; with ``scope``, within each value of its columns."""
+    key = [*(scope or []), "query"]
     parts = None
     for priority, df in ranked:
-        part = df.select("query", "id", F.lit(priority).alias("priority"), "rank")
+        part = df.select(*key, "id", F.lit(priority).alias("priority"), "rank")
         parts = part if parts is None else parts.unionByName(part)
-    first = parts.groupBy("query", "id").agg(F.min(F.struct("priority", "rank")).alias("place"))
+    first = parts.groupBy(*key, "id").agg(F.min(F.struct("priority", "rank")).alias("place"))
     ordered = F.sort_array(F.collect_list(F.struct("place", "id")))
-    return first.groupBy("query").agg(F.transform(ordered, lambda x: x["id"]).alias("ids"))
+    return first.groupBy(*key).agg(F.transform(ordered, lambda x: x["id"]).alias("ids"))
 
 
 def question_packets(
     questions: DataFrame, facts: DataFrame, pages: DataFrame, ontology: DataFrame, known: DataFrame,
-    top_pages: int = 2, top_facts: int = 4, top_ontology: int = 2, top_known: int = 2, catalog: str = "O-CLASS-CATALOG",
+    top_pages: int = 2, top_facts: int = 4, top_ontology: int = 2, top_known: int = 2, catalog: str = "O-CLASS-CATALOG", scope: list[str] | None = None,
 ) -> DataFrame:
     """(query, ids): the context of each question (id, path, question, variable, source, yaml_path) and of each known hyperparameter (id, path, name, category, value).
 
@@ -291,25 +292,31 @@ def question_packets(
     other gets the fact that it points at, and the best facts and page chunks for its path,
     variable and question.  A known hyperparameter gets itself and the best page chunks for
     its name and value.  ``facts(id, path, chunk)``, ``pages(id, chunk)``, ``ontology(id, chunk)``.
+    With ``scope``, the columns that tell documents apart, all tables have them, and each
+    document's questions are answered from its own.
     """
-    passages = lambda df: df.select("id", F.col("chunk").alias("text"))
+    scope = scope or []
+    passages = lambda df: df.select(*scope, "id", F.col("chunk").alias("text"))
+    best = lambda asked, df, top, expanded=True: rank(asked, passages(df), top, expanded, scope)
     mapped = F.col("source") == "ontology_mapping"
-    own = questions.where(mapped).select(F.col("id").alias("query"), F.col("question").alias("text"))
-    heads = questions.where(mapped & F.col("variable").isin("backbone_ontology_class", "head_ontology_class")).select(F.col("id").alias("query"), F.col("question").alias("text"))
+    asks = lambda df: df.select(*scope, F.col("id").alias("query"), F.col("question").alias("text"))
+    own = asks(questions.where(mapped))
+    heads = asks(questions.where(mapped & F.col("variable").isin("backbone_ontology_class", "head_ontology_class")))
     others = questions.where(~mapped)
-    words = others.select(F.col("id").alias("query"), F.concat_ws(" ", "path", "variable", "question").alias("text"))
-    asked = known.select(F.concat(F.lit("known_hyperparameter::"), "path").alias("query"), F.col("id"), F.concat(F.coalesce("category", F.lit("")), F.lit(" "), "name", F.lit(" "), "value", F.lit(" hyperparameter training")).alias("text"))
-    alone = lambda df: df.select("query", "id", F.lit(1).alias("rank"))
-    pointed = others.join(facts.select(F.col("path").alias("yaml_path"), F.col("id").alias("_id")), "yaml_path").select(F.col("id").alias("query"), F.col("_id").alias("id"))
+    words = others.select(*scope, F.col("id").alias("query"), F.concat_ws(" ", "path", "variable", "question").alias("text"))
+    asked = known.select(*scope, F.concat(F.lit("known_hyperparameter::"), "path").alias("query"), F.col("id"), F.concat(F.coalesce("category", F.lit("")), F.lit(" "), "name", F.lit(" "), "value", F.lit(" hyperparameter training")).alias("text"))
+    alone = lambda df: df.select(*scope, "query", "id", F.lit(1).alias("rank"))
+    pointed = others.join(facts.select(*scope, F.col("path").alias("yaml_path"), F.col("id").alias("_id")), [*scope, "yaml_path"]).select(*scope, F.col("id").alias("query"), F.col("_id").alias("id"))
     return packets(
-        (0, alone(own.select("query", F.lit(catalog).alias("id")))),
-        (1, rank(own, passages(ontology), top_ontology, expanded=False)),
-        (2, rank(heads, passages(pages), top_pages)),
+        (0, alone(own.select(*scope, "query", F.lit(catalog).alias("id")))),
+        (1, best(own, ontology, top_ontology, False)),
+        (2, best(heads, pages, top_pages)),
         (0, alone(pointed)),
-        (1, rank(words, passages(facts), top_facts)),
-        (2, rank(words, passages(pages), top_pages)),
+        (1, best(words, facts, top_facts)),
+        (2, best(words, pages, top_pages)),
         (0, alone(asked)),
-        (1, rank(asked.select("query", "text"), passages(pages), top_known, expanded=False)),
+        (1, best(asked.select(*scope, "query", "text"), pages, top_known, False)),
+        scope=scope,
     )
 
 

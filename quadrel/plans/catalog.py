@@ -574,20 +574,26 @@ def suffix_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH e AS (SELECT * FROM (VALUES ('x_wbm_classification_fold'), ('x_wbm_regression_fold'), ('kappa_fold'), ('other')) AS v(key)),
-n AS (SELECT * FROM (VALUES ('x wbm', 'classification'), ('x wbm', NULL), ('kappa', NULL), ('other', 'regression'), ('fold', 'regression')) AS v(name, hint)),
-s AS (SELECT name, hint, replace(name, ' ', '_') AS slug FROM n),
-m AS (SELECT name, hint, slug, (SELECT min(key) FROM e WHERE key = slug) AS exact,
-  (SELECT count(*) FROM e WHERE (starts_with(key, slug || '_') OR ends_with(key, '_' || slug)) AND contains(key, hint)) AS c1,
-  (SELECT min(key) FROM e WHERE (starts_with(key, slug || '_') OR ends_with(key, '_' || slug)) AND contains(key, hint)) AS k1,
-  (SELECT count(*) FROM e WHERE starts_with(key, slug || '_') OR ends_with(key, '_' || slug)) AS c2,
-  (SELECT min(key) FROM e WHERE starts_with(key, slug || '_') OR ends_with(key, '_' || slug)) AS k2 FROM s)
-SELECT name, hint, coalesce(exact, CASE WHEN c1 = 1 THEN k1 END, CASE WHEN c2 = 1 THEN k2 END) AS key FROM m
+WITH b AS (SELECT DISTINCT replace(lower(p_brand), '#', '_') AS b, CAST(regexp_extract(p_brand, '[0-9]+') AS INT) AS n FROM part),
+e AS (SELECT b || suffix AS key FROM b, (VALUES (0, '_classification_fold'), (0, '_regression_fold'), (1, '_fold'), (2, ''), (2, '_fold')) v(kind, suffix) WHERE n % 3 = kind),
+n AS (SELECT DISTINCT p_brand AS name, hint FROM part, (VALUES ('classification'), ('regression'), (NULL)) v(hint) UNION ALL SELECT 'fold', NULL),
+s AS (SELECT name, hint, replace(lower(name), '#', '_') AS slug FROM n),
+m AS (SELECT s.name, s.hint, min(key) FILTER (key = slug) AS exact,
+        count(key) FILTER (key <> slug) AS n, min(key) FILTER (key <> slug) AS sole,
+        count(key) FILTER (key <> slug AND contains(key, hint)) AS h, min(key) FILTER (key <> slug AND contains(key, hint)) AS hinted
+      FROM s LEFT JOIN e ON key = slug OR starts_with(key, slug || '_') OR ends_with(key, '_' || slug) GROUP BY s.name, s.hint)
+SELECT name, hint, coalesce(exact, CASE WHEN h = 1 THEN hinted END, CASE WHEN n = 1 THEN sole END) AS key FROM m
 """)
 def fold_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keys = spark.createDataFrame([(x,) for x in ("x_wbm_classification_fold", "x_wbm_regression_fold", "kappa_fold", "other")], "key string")
-    names = spark.createDataFrame([("x wbm", "classification"), ("x wbm", None), ("kappa", None), ("other", "regression"), ("fold", "regression")], "name string, hint string")
-    return resolve.folds(names, keys)
+    """Brands as names; their folds are named by brand and kind, by brand alone, or both."""
+    brands = table(spark, sf_dir, "part").select("p_brand").distinct()
+    kind = F.regexp_extract("p_brand", "[0-9]+", 0).cast("int") % 3
+    suffixes = F.when(kind == 0, F.array(F.lit("_classification_fold"), F.lit("_regression_fold"))).when(kind == 1, F.array(F.lit("_fold"))).otherwise(F.array(F.lit(""), F.lit("_fold")))
+    keys = brands.select("p_brand", F.explode(suffixes).alias("suffix")).select(F.concat(S.slug(F.col("p_brand")), F.col("suffix")).alias("key"))
+    hints = F.array(F.lit("classification"), F.lit("regression"), F.lit(None).cast("string"))
+    names = brands.select(F.col("p_brand").alias("name"), F.explode(hints).alias("hint"))
+    fold = brands.limit(1).select(F.lit("fold").alias("name"), F.lit(None).cast("string").alias("hint"))
+    return resolve.folds(names.unionByName(fold), keys)
 
 
 @query("""

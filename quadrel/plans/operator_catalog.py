@@ -20,7 +20,7 @@ from quadrel.operators import flatten, mapping, merge, modelgraph, quadstore, re
 from quadrel.plans import shacl, sparql
 from quadrel.plans.catalog import _SHAPES, EX, ORACLES, PREFIXES, QUERIES, answered, faulty, lifted, query, table
 from quadrel.sources import documents as D
-from quadrel.sources import html, sinks, turtle
+from quadrel.sources import html, sinks, turtle, turtle_split
 from quadrel.streaming import graph as streaming
 
 # --- templates over the parts: @k@ key, @A@ name, @B@ brand, @n@ size, @a@ and @b@ the slugs of name and brand
@@ -435,22 +435,29 @@ def known_hyperparameters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT * FROM (VALUES ('q1', 'O-CLASS-CATALOG,O-b-1'), ('q2', 'Y2,Y1,P1-C1'), ('q3', 'O-CLASS-CATALOG,O-a-1,P1-C1'), ('known_hyperparameter::h.lr', 'M-HYP-1,P2-C1')) AS v(query, ids)
-WHERE (SELECT count(*) FROM nation) = 25
+SELECT s_suppkey AS doc, query, ids FROM supplier, (VALUES ('q1', 'O-CLASS-CATALOG,O-b-1'), ('q2', 'Y2,Y1,P1-C1'), ('q3', 'O-CLASS-CATALOG,O-a-1,P1-C1'), ('known_hyperparameter::h.lr', 'M-HYP-1,P2-C1')) AS v(query, ids)
+WHERE s_suppkey % 2 = 1 UNION ALL
+SELECT s_suppkey, query, ids FROM supplier, (VALUES ('q1', 'O-CLASS-CATALOG,O-a-1'), ('q2', 'Y1,Y2'), ('q3', 'O-CLASS-CATALOG'), ('known_hyperparameter::h.lr', 'M-HYP-1,P1-C1')) AS v(query, ids)
+WHERE s_suppkey % 2 = 0
 """)
 def question_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A questionnaire over a fixed context, whose nations are its only table."""
-    here = table(spark, sf_dir, "nation").where("n_nationkey = 0").select(F.lit(1).alias("one"))
-    rows = lambda data, schema: here.join(F.broadcast(spark.createDataFrame(data, schema)), F.lit(True)).drop("one")
+    """The same questions of each supplier's documents, which differ; ids are the same in all, so that none may mix."""
+    docs = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("doc"))
+
+    def rows(data: list[tuple], schema: str) -> DataFrame:
+        """Rows of every document, or of those with an odd (1) or even (0) number, as their first value says."""
+        held = F.broadcast(spark.createDataFrame(data, "parity int, " + schema))
+        return docs.join(held, F.col("parity").isNull() | (F.col("doc") % 2 == F.col("parity"))).drop("parity")
+
     questions = rows([
-        ("q1", "a", "which banana", "v", "ontology_mapping", None), ("q2", "b", "how many apples", "w", "document", "b.y"),
-        ("q3", "c", "cherry kinds", "head_ontology_class", "ontology_mapping", None),
+        (None, "q1", "a", "which banana", "v", "ontology_mapping", None), (1, "q2", "b", "how many apples", "w", "document", "b.y"), (0, "q2", "b", "how many apples", "w", "document", "b.x"),
+        (None, "q3", "c", "cherry kinds", "head_ontology_class", "ontology_mapping", None),
     ], "id string, path string, question string, variable string, source string, yaml_path string")
-    facts = rows([("Y1", "b.x", "apples = 3"), ("Y2", "b.y", "pears = 4")], "id string, path string, chunk string")
-    pages = rows([("P1-C1", "cherry and apples grow"), ("P2-C1", "lr 0.5 was chosen")], "id string, chunk string")
-    ontology = rows([("O-a-1", "cherry tree"), ("O-b-1", "banana plant")], "id string, chunk string")
-    known = rows([("M-HYP-1", "h.lr", "lr", None, "0.5")], "id string, path string, name string, category string, value string")
-    return retrieval.question_packets(questions, facts, pages, ontology, known).select("query", F.array_join("ids", ",").alias("ids"))
+    facts = rows([(1, "Y1", "b.x", "apples = 3"), (1, "Y2", "b.y", "pears = 4"), (0, "Y1", "b.x", "pears = 4"), (0, "Y2", "b.y", "apples = 3")], "id string, path string, chunk string")
+    pages = rows([(1, "P1-C1", "cherry and apples grow"), (1, "P2-C1", "lr 0.5 was chosen"), (0, "P1-C1", "lr 0.5 was chosen")], "id string, chunk string")
+    ontology = rows([(1, "O-a-1", "cherry tree"), (1, "O-b-1", "banana plant"), (0, "O-a-1", "banana plant")], "id string, chunk string")
+    known = rows([(None, "M-HYP-1", "h.lr", "lr", None, "0.5")], "id string, path string, name string, category string, value string")
+    return retrieval.question_packets(questions, facts, pages, ontology, known, scope=["doc"]).select("doc", "query", F.array_join("ids", ",").alias("ids"))
 
 
 # --- resolution and merging
@@ -577,6 +584,14 @@ def turtle_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turtle.parse_documents(files.unionByName(bad))[0].select("s", "p", "o")
 
 
+@query(ORACLES["turtle_triples"])
+def turtle_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files, read in parts."""
+    path = sinks.scratch(spark, "turtle")
+    sinks.write_turtle(lifted(spark, sf_dir, "nation"), path)
+    return turtle_split.read_parts(spark, path + "/*", glob="*")[0].select("s", "p", "o")
+
+
 @query("SELECT 'bad' || (n_nationkey % 3) AS g FROM nation WHERE n_nationkey < 3")
 def quarantined_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("n_nationkey")
@@ -599,10 +614,10 @@ def ontology_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT n_nationkey AS key, n_name AS name, n_regionkey AS region FROM nation")
 def json_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = sinks.scratch(spark, "json")
-    sinks.write_json(table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey", F.lit("é").alias("sign")), path)
-    lines = spark.read.text(path).select(F.try_parse_json("value").alias("d"))
-    get = lambda k, t: F.try_variant_get("d", f"$.{k}", t)
-    return lines.where(get("sign", "string") == "é").select(get("n_nationkey", "int").alias("key"), get("n_name", "string").alias("name"), get("n_regionkey", "int").alias("region"))
+    n = table(spark, sf_dir, "nation")
+    sinks.write_json(n.select(F.col("n_nationkey").alias("file"), "n_nationkey", "n_name", "n_regionkey", F.lit("é").alias("sign")), path, by="file")
+    get = lambda k, t: F.try_variant_get("document", f"$.{k}", t)
+    return D.read_json(spark, path).where(get("sign", "string") == "é").select(get("n_nationkey", "int").alias("key"), get("n_name", "string").alias("name"), get("n_regionkey", "int").alias("region"))
 
 
 forms_query(
@@ -694,23 +709,23 @@ def shacl_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("g", "violations", F.col("warnings").cast("int").alias("warnings"), F.col("unknown").cast("int").alias("unknown"), "conforms")
 
 
-@query(f"""
-SELECT CAST(c_custkey AS VARCHAR) AS g, 'Violation | <{EX}customer/' || c_custkey || '> | <{EX}c_acctbal> | minInclusive | "' || 'B' || '" | a balance' AS text
-FROM customer WHERE c_custkey % 11 <> 0 AND c_acctbal < 0 AND (c_custkey % 7 = 0) = (c_custkey % 13 = 0) AND (c_custkey % 17 <> 0 OR c_mktsegment = 'OTHER')
-""")
+_LINES = f"""
+SELECT CAST(c_custkey AS VARCHAR) AS g, 'Violation | <{EX}customer/' || c_custkey || '> | <{EX}c_acctbal> | minInclusive | "' || c_acctbal || '"^^{T.XSD}double | a balance' AS line
+FROM customer WHERE c_custkey % 11 <> 0 AND c_acctbal < 0"""
+
+
+@query(_LINES)
 def shacl_rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reports as text, of customers whose only fault is the balance, which is written B."""
+    """The lines that reports have of balances below nothing, whatever else is wrong."""
     report = shacl.validate(_customer_graphs(spark, sf_dir), _customer_shapes())
-    text = shacl.rendered(report).where("text RLIKE 'minInclusive' AND NOT text RLIKE '\\n|Count'")
-    return text.select("g", F.regexp_replace("text", r'"[^"|]*"[^"| ]*', '"B"').alias("text"))
+    return shacl.rendered(report).select("g", F.explode(F.split("text", "\n")).alias("line")).where("line LIKE '%| minInclusive |%'")
 
 
-@query("SELECT CAST(count(*) AS BIGINT) AS results, count(DISTINCT c_custkey) AS graphs FROM customer WHERE c_custkey % 11 <> 0 AND c_acctbal < 0")
+@query(_LINES)
 def report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = sinks.scratch(spark, "report")
     sinks.write_report(shacl.validate(_customer_graphs(spark, sf_dir), _customer_shapes()).where("component = 'minInclusive'"), path)
-    lines = spark.read.text(f"{path}/text").where("value <> ''")
-    return lines.agg(F.count("*").alias("results"), F.count_distinct("g").alias("graphs"))
+    return spark.read.text(f"{path}/text").where("value <> ''").select(F.col("g").cast("string").alias("g"), F.col("value").alias("line"))
 
 
 @query(f"""
@@ -777,7 +792,7 @@ forms_query(
     lambda docs: docs.select("key", F.explode(html.file_links(F.col("text"), F.concat(F.lit('[{"name": "a.yml", "download_url": "https://raw/'), F.col("key").cast("string"), F.lit('.yml"}, {"name": "b.md", "download_url": "u"}]')), F.concat(F.lit("<a href='a"), F.col("key").cast("string"), F.lit(".yml'>x</a><a href=\"/b.yaml\">y</a><a href='c.txt'>z</a>")))).alias("file")),
 )
 forms_query("contents_api", [("https://github.com/o/r/tree/-/p/@k@", [("https://api.github.com/repos/o/r/contents/p/@k@?ref=main",)]), ("https://github.com/o/r/blob/v1/@k@", [("https://api.github.com/repos/o/r/contents/@k@?ref=v1",)]), ("https://x/@k@", [(None,)])], ["url"], {"url"}, lambda docs: docs.select("key", S.contents_api_url(F.col("text")).alias("url")))
-forms_query("evaluated_variant", [("x e:evaluatesModelVariant a:v_@k@ ; e:evaluatesModelVariant a:v_@k@ .", [("v_@k@",)]), ("x e:evaluatesModelVariant <urn:a#w_@k@> .", [(None,)])][:1], ["variant"], {"variant"}, lambda docs: docs.select("key", D.evaluated_variant(F.col("text")).alias("variant")))
+forms_query("evaluated_variant", [("x e:evaluatesModelVariant a:v_@k@ ; e:evaluatesModelVariant a:v_@k@ .", [("v_@k@",)]), ("x e:evaluatesModelVariant <urn:a#w_@k@> .", [(None,)]), ("x e:evaluatesModelVariant a:v_@k@ , a:w ; e:evaluatesModelVariant a:w .", [(None,)])], ["variant"], {"variant"}, lambda docs: docs.select("key", D.evaluated_variant(F.col("text"), strict=False).alias("variant")))
 
 
 @query("SELECT c_custkey AS key, concat_ws(chr(10) || chr(10), CASE WHEN c_custkey % 2 = 0 THEN '## Model' || chr(10) || c_name END, CASE WHEN c_custkey % 3 = 0 THEN '## Paper' || chr(10) || c_mktsegment END) AS context FROM customer")
@@ -787,10 +802,24 @@ def context_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.contexts(c.select(F.col("c_custkey").alias("key")), [("Model", text("c_custkey % 2 = 0", "c_name")), ("Paper", text("c_custkey % 3 = 0", "c_mktsegment"))])
 
 
-@query("SELECT * FROM (VALUES ('argument', '/a', 'x.ttl'), ('environment', '/e', 'y.ttl'), ('folder', '/f', '*.ttl')) v(\"by\", path, \"glob\")")
+@query("""
+SELECT "by", 'urn:' || n_nationkey AS s FROM nation, (VALUES ('argument', 1), ('environment', 2), ('folder', NULL)) v("by", region) WHERE region IS NULL OR region = n_regionkey
+""")
 def chosen_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = [("argument", *turtle.chosen_files("/a/x.ttl", "/e/y.ttl", "/f")), ("environment", *turtle.chosen_files(" ", "/e/y.ttl", "/f")), ("folder", *turtle.chosen_files(None, None, "/f"))]
-    return spark.createDataFrame(found, "by string, path string, glob string")
+    """Nations in a Turtle file for each region, of which an argument, the environment or neither names one."""
+    folder, jvm = sinks.scratch(spark, "chosen"), spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path
+    files = at(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    lines = table(spark, sf_dir, "nation").select("n_regionkey", F.concat(F.lit("<urn:"), F.col("n_nationkey").cast("string"), F.lit("> <urn:p> 1 .")).alias("value"))
+    lines.repartition(1).write.partitionBy("n_regionkey").text(f"{folder}/parts")
+    files.mkdirs(at(f"{folder}/all"))
+    for part in spark.read.text(f"{folder}/parts").inputFiles():  # a file for each region
+        files.rename(at(part), at(f"{folder}/all/r{part.split('n_regionkey=')[1].split('/')[0]}.ttl"))
+    found = []
+    for by, argument, named in (("argument", f"{folder}/all/r1.ttl", f"{folder}/all/r2.ttl"), ("environment", " ", f"{folder}/all/r2.ttl"), ("folder", None, None)):
+        docs = turtle.read_documents(spark, *turtle.chosen_files(argument, named, f"{folder}/all"))
+        found.append(turtle.parse_documents(docs)[0].select(F.lit(by).alias("by"), F.substring_index(F.ltrim(F.rtrim("s", F.lit(">")), F.lit("<")), "\n", 1).alias("s")))
+    return reduce(DataFrame.unionByName, found)
 
 
 # --- the model graph

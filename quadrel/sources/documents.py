@@ -74,10 +74,11 @@ def official_metadata(files: DataFrame, key: str = "model_key", date: str = "dat
     return found.withColumn("date", F.col("date").cast("date"))
 
 
-def evaluated_variant(text: Column, property_: str = "evaluatesModelVariant") -> Column:
-    """The one variant that a Turtle text evaluates; fails unless there is just one."""
-    found = F.array_distinct(F.regexp_extract_all(text, F.lit(property_ + r"\s+(?:<[^>]*[#/]([\w.-]+)>|[\w-]*:([\w.-]+))"), F.lit(2)))
-    return F.when(F.size(found) == 1, F.element_at(found, 1)).otherwise(F.raise_error(F.concat(F.lit("expected one variant, found "), F.size(found).cast("string"))))
+def evaluated_variant(text: Column, property_: str = "evaluatesModelVariant", strict: bool = True) -> Column:
+    """The one variant, a prefixed name, that a Turtle text evaluates; unless there is just one it fails, or is null if not ``strict``."""
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(property_ + r"\s+[\w-]*:([\w.-]+)"), F.lit(1)))
+    other = F.raise_error(F.concat(F.lit("expected one variant, found "), F.size(found).cast("string"))) if strict else F.lit(None)
+    return F.when(F.size(found) == 1, F.element_at(found, 1)).otherwise(other.cast("string"))
 
 
 def date_sync(local: DataFrame, official: DataFrame) -> tuple[DataFrame, DataFrame]:

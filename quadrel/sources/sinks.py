@@ -43,9 +43,10 @@ def write_report(report: DataFrame, path: str) -> None:
     report.unpersist()
 
 
-def write_json(df: DataFrame, path: str) -> None:
-    """Rows as JSON lines; characters outside ASCII stay as they are."""
-    df.write.mode("overwrite").json(path)
+def write_json(df: DataFrame, path: str, by: str | None = None) -> None:
+    """Rows as JSON lines, or the rows of each value of a column, which goes into the folder's name, in files of their own; characters outside ASCII stay as they are."""
+    rows = df.write.mode("overwrite") if by is None else df.repartition(by).write.mode("overwrite").partitionBy(by)
+    rows.json(path)
 
 
 def with_fallback(df: DataFrame, fallback: DataFrame, key: str, value: str) -> DataFrame:
