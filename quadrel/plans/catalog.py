@@ -100,6 +100,28 @@ def chain_by_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
         }""", Statistics.gather(quads))
 
 
+def _parts_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as parts of others, the first within a cycle."""
+    k = F.col("c_custkey")
+    iri = lambda c: F.concat(F.lit("<urn:c/"), c.cast("string"), F.lit(">"))
+    return table(spark, sf_dir, "customer").select(F.lit("g").alias("g"), iri(k).alias("s"), F.lit("<urn:in>").alias("p"), iri(F.when(k == 1, 5).otherwise(F.expr("c_custkey div 2"))).alias("o"))
+
+
+_PARTS_SQL = "RECURSIVE e AS (SELECT c_custkey AS a, CASE WHEN c_custkey = 1 THEN 5 ELSE c_custkey // 2 END AS b FROM customer), c AS (SELECT a, b FROM e UNION SELECT c.a, e.b FROM c JOIN e ON e.a = c.b)"
+
+
+@query(f"WITH {_PARTS_SQL} SELECT 'urn:c/' || a AS part, 'urn:c/' || b AS whole FROM c")
+def path_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All that a part is in, at any remove."""
+    return answered(_parts_of(spark, sf_dir), "SELECT ?part ?whole WHERE { ?part <urn:in>+ ?whole }")
+
+
+@query(f"WITH {_PARTS_SQL} SELECT DISTINCT 'urn:c/' || a AS part FROM c WHERE b = 9 UNION SELECT 'urn:c/9'")
+def path_to_constant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is part of one customer, and itself."""
+    return answered(_parts_of(spark, sf_dir), "SELECT ?part WHERE { ?part <urn:in>* <urn:c/9> }")
+
+
 @query("""
 SELECT 'http://example.org/orders/' || o_orderkey AS "order", o_orderpriority AS priority, o_totalprice AS price
 FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_totalprice > 100000

@@ -1103,3 +1103,43 @@ def streamed_graphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = streaming.to_quads(spark.readStream.schema("g string, s string, p string, o string, version int").parquet(path), lambda df: df)
     streaming.upsert(stream, store, sinks.scratch(spark, "stream-marks")).awaitTermination()
     return store.read().select("g", "s", "o")
+
+
+def _in_batches(spark: SparkSession, schema: str, *parts: DataFrame) -> DataFrame:
+    """A stream that reads each part as a batch of its own, in order."""
+    path = sinks.scratch(spark, "batches")
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+@query("""
+SELECT 'urn:g/' || n_regionkey AS g, 'urn:' || n_nationkey AS s, CASE WHEN n_regionkey % 2 = 0 THEN n_name ELSE lower(n_name) END AS o FROM nation
+""")
+def streamed_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second version comes first; a late first one never replaces it, a third one does for some graphs."""
+    version = lambda v, c: _region_graphs(spark, sf_dir, c).withColumn("version", F.lit(v))
+    third = version(3, F.col("n_name")).where("substring_index(g, '/', -1) % 2 = 0")
+    stream = _in_batches(spark, "g string, s string, p string, o string, version int", version(2, F.lower("n_name")), version(1, F.lit("old")), third, version(2, F.lit("again")))
+    store = quadstore.QuadStore(spark, sinks.scratch(spark, "store"))
+    streaming.upsert(stream, store, sinks.scratch(spark, "stream-marks")).awaitTermination()
+    return store.read().select("g", "s", "o")
+
+
+@query("""
+WITH m AS (SELECT max(ts) - INTERVAL '1 day' AS mark FROM events)
+SELECT CAST(epoch(time_bucket(INTERVAL '1 hour', ts)) AS BIGINT) AS hour, event_type, count(*) AS n FROM events, m
+GROUP BY ALL HAVING max(time_bucket(INTERVAL '1 hour', ts)) + INTERVAL '1 hour' <= max(mark)
+""")
+def late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows in append mode: closed ones only, without the events that come again when their windows have been closed."""
+    events = table(spark, sf_dir, "events").select("event_type", F.col("ts").cast("timestamp").alias("at"))
+    ends = events.agg(F.min("at").alias("first"), F.max("at").alias("last"))
+    share = (F.unix_micros("at") - F.unix_micros("first")) / (F.unix_micros("last") - F.unix_micros("first"))
+    marked = events.join(F.broadcast(ends), F.lit(True)).withColumn("share", share)
+    part = lambda where: marked.where(where).select("event_type", "at")
+    stream = _in_batches(spark, "event_type string, at timestamp", part("share < 0.7"), part("share >= 0.7"), part("share < 0.3"))
+    out, marks = sinks.scratch(spark, "closed"), sinks.scratch(spark, "stream-marks")
+    found = streaming.windowed_counts(stream, "at", ["event_type"], "1 hour", "1 day").select(F.unix_timestamp("window.start").alias("hour"), "event_type", "n")
+    found.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", marks).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("hour long, event_type string, n long").parquet(out)

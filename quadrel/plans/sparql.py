@@ -57,10 +57,18 @@ class Call:
     args: list
 
 
+@dataclass
+class Path:
+    """A predicate followed once or more; or, with ``empty``, not at all either."""
+
+    term: Term
+    empty: bool
+
+
 @dataclass
 class Pattern:
     s: Var | Term
-    p: Var | Term
+    p: Var | Term | Path
     o: Var | Term
 
 
@@ -302,11 +310,16 @@ class _Parser:
             if self.is_(".", "}"):
                 break
 
-    def verb(self) -> Var | Term:
+    def verb(self) -> Var | Term | Path:
         if self.peek() == ("word", "a"):
             self.take()
             return Term(T.TYPE)
-        return self.node()
+        found = self.node()
+        if self.is_("+", "*"):
+            if isinstance(found, Var):
+                raise SparqlError("a path needs a predicate")
+            return Path(found, self.take()[1] == "*")
+        return found
 
     def node(self) -> Var | Term:
         if self.peek()[0] == "var":
@@ -597,7 +610,7 @@ def _mentions(x) -> list[str]:
         return [x.name, *_mentions(x.expression)]
     if isinstance(x, Values):
         return list(x.names)
-    if isinstance(x, (Query, Group, Pattern, Optional, Minus, Union, Graph, Call)):
+    if isinstance(x, (Query, Group, Pattern, Path, Optional, Minus, Union, Graph, Call)):
         return [n for y in vars(x).values() for n in _mentions(y)]
     return []
 
@@ -709,7 +722,7 @@ class Compiler:
         def flush() -> None:
             nonlocal out
             if self.statistics is not None and len(pending) > 1:
-                side = lambda t: ("var", t.name) if isinstance(t, Var) else ("term", t.value)
+                side = lambda t: ("var", t.name) if isinstance(t, Var) else ("term", t.term.value if isinstance(t, Path) else t.value)
                 known = {n: 1.0 for n in out.names} if out.df is not None else {}
                 ordered = [pending[i] for i in self.statistics.order([(side(x.s), side(x.p), side(x.o)) for x in pending], known)]
                 pending[:] = ordered
@@ -772,8 +785,45 @@ class Compiler:
 
         return max(range(len(pending)), key=lambda i: (weight(pending[i]), -i))
 
+    def reached(self, x: Pattern, graph: Var | Term | None) -> DataFrame:
+        """(g, s, p, o) of the pairs that a path joins, each once.
+
+        Semi-naive: a round joins the pairs that the last one found with the edges, and keeps
+        those that are new; a cycle ends it as does a last edge.  From a constant end only what
+        can be reached from there is followed.  Each round is a table in the shared folder.
+        """
+        from quadrel.sources.sinks import scratch
+
+        if isinstance(graph, Var):
+            raise SparqlError("a path within a graph that is a variable")
+        quads = self.quads if graph is None else self.quads.where(F.col("g") == graph.value)
+        spark = quads.sparkSession
+
+        def kept(df: DataFrame) -> DataFrame:
+            path = scratch(spark, "path")
+            df.write.parquet(path)
+            return spark.read.schema("a string, b string").parquet(path)
+
+        backward = isinstance(x.o, Term) and not isinstance(x.s, Term)
+        start, end = ("o", "s") if backward else ("s", "o")
+        edges = kept(quads.where(F.col("p") == x.p.term.value).select(F.col(start).alias("a"), F.col(end).alias("b")).distinct())
+        fixed = x.o if backward else x.s
+        found = new = edges.where(F.col("a") == fixed.value) if isinstance(fixed, Term) else edges
+        step = edges.select(F.col("a").alias("b"), F.col("b").alias("c"))
+        while not new.isEmpty():
+            further = new.join(step, "b").select("a", F.col("c").alias("b")).distinct()
+            new = kept(further.join(found, ["a", "b"], "left_anti"))
+            found = found.unionByName(new)
+        if x.p.empty:
+            ends = [F.lit(t.value) for t in (x.s, x.o) if isinstance(t, Term)]
+            every = quads.select(F.explode(F.array("s", "o")).alias("a")) if not ends else spark.range(1).select(F.explode(F.array(*ends)).alias("a"))
+            found = found.unionByName(every.distinct().select("a", F.col("a").alias("b"))).distinct()
+        return found.select(F.lit("").alias("g"), F.col("a").alias(start), F.lit(x.p.term.value).alias("p"), F.col("b").alias(end))
+
     def scan(self, x: Pattern, graph: Var | Term | None) -> _Bindings:
         df = self.quads
+        if isinstance(x.p, Path):
+            df, graph = self.reached(x, graph), None
         parts = [("s", x.s), ("p", x.p), ("o", x.o)]
         if isinstance(graph, Term):
             df = df.where(F.col("g") == graph.value)
@@ -789,7 +839,7 @@ class Compiler:
                     df = df.where(F.col(c) == F.col(seen[t.name]))
                 else:
                     seen[t.name] = c
-        if graph is None and not self.unique and not self.as_set:
+        if graph is None and not self.unique and not self.as_set and not isinstance(x.p, Path):
             df = df.select("s", "p", "o").distinct()
         # A pattern without variables is one triple or none.
         return _Bindings(df.select(*[F.col(c).alias(_column(n)) for n, c in seen.items()]), list(seen), set(), not seen)

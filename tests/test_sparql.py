@@ -83,3 +83,27 @@ def test_patterns_read_only_their_columns(spark, tmp_path):
     quads = lift(df, "t", F.col("k"), {"x": (F.col("x"), None), "y": (F.col("y"), None), "z": (F.col("z"), T.XSD + "double")})
     plan = sparql.select(quads, "PREFIX e: <http://example.org/> SELECT ?v WHERE { ?s e:x ?v }", unique=True)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Scan parquet") == 1 and "ReadSchema: struct<k:int,x:string>" in plan or "struct<x:string>" in plan
+
+
+def test_paths_equal_a_plain_closure(spark):
+    import random
+
+    r = random.Random(5)
+    edges = {(r.randrange(12), r.randrange(12)) for _ in range(14)} | {(20, 21), (21, 20), (30, 30)}
+    rows = [("<g>", f"<n{a}>", "<in>", f"<n{b}>") for a, b in edges] + [("<g>", "<n1>", "<name>", '"one"'), ("<h>", "<n0>", "<in>", "<n99>"), ("<h>", "<n20>", "<in>", "<n21>")]
+    quads = spark.createDataFrame(rows, "g string, s string, p string, o string")
+    pairs = {(f"<n{a}>", f"<n{b}>") for a, b in edges} | {("<n0>", "<n99>")}
+    closed = set(pairs)
+    while more := {(a, d) for a, b in closed for c, d in pairs if b == c} - closed:
+        closed |= more
+    terms = {x for _, s, _, o in rows for x in (s, o)}
+    ask = lambda text: sorted(map(tuple, sparql.select(quads, text).collect()))
+    assert ask("SELECT ?a ?b WHERE { ?a <in>+ ?b }") == sorted(closed)
+    assert ask("SELECT ?a ?b WHERE { ?a <in>* ?b }") == sorted(closed | {(t, t) for t in terms})
+    assert ask("SELECT ?b WHERE { <n20> <in>+ ?b }") == [("<n20>",), ("<n21>",)]
+    assert ask("SELECT ?a WHERE { ?a <in>* <n99> }") == sorted({(a,) for a, b in closed if b == "<n99>"} | {("<n99>",)})
+    assert ask("SELECT ?a ?n WHERE { ?a <in>+ ?b . ?b <name> ?n }") == sorted((a, '"one"') for a, b in closed if b == "<n1>")
+    assert ask("SELECT ?a ?b WHERE { GRAPH <h> { ?a <in>+ ?b } }") == [("<n0>", "<n99>"), ("<n20>", "<n21>")]
+    assert ask("SELECT ?a WHERE { ?a <in>+ ?a }") == sorted((a,) for a, b in closed if a == b)
+    with pytest.raises(sparql.SparqlError):
+        ask("SELECT ?a WHERE { ?a ?p+ ?b }")
