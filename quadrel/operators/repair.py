@@ -47,18 +47,36 @@ def normalized_provenance(annotations: DataFrame, folder: Column, source_url: Co
     return web_provenance(relative, source_url)
 
 
-def ask(rows: DataFrame, prompt: str, client: Callable[[str], str], again: Callable[[str, str, int], str], asks: int = 3, waits: list[int] | None = None, limited: tuple[type[Exception], ...] = ()) -> DataFrame:
+def ask(rows: DataFrame, prompt: str, client: Callable[[str], str], again: Callable[[str, str, int], str], asks: int = 3, waits: list[int] | None = None, limited: tuple[type[Exception], ...] = (), per_second: float | None = None, lanes: int = 8) -> DataFrame:
     """``rows`` with (reply, error): the JSON object of a service's reply to each prompt.
 
     A reply without a JSON object is asked for again, ``asks`` times in all, with the prompt
     that ``again(prompt, reply, number)`` makes of it: first a shorter answer, then the bad
     one mended.  An exception of the kinds ``limited`` is waited out, in turn by ``waits``.
     What fails for good is an error of its row and stops no other.
+
+    With ``per_second`` the cluster as a whole calls no more often than that: rows are dealt
+    into ``lanes``, each of which leaves ``lanes / per_second`` seconds between the starts of its
+    calls, those that ask again or after a wait included.  A task that runs again keeps its
+    lane's pace from its own first call, which comes a whole interval after it starts; so
+    that no lane runs twice at a time, such a job should not be speculative.
     """
+    if per_second is not None and (per_second <= 0 or lanes < 1):
+        raise ValueError("a pace and its lanes are above nothing")
+    interval = None if per_second is None else lanes / per_second
+    due: list[float] = []
     pauses = retry_waits() if waits is None else waits
 
     def call(text: str) -> str:
         for pause in [*pauses, None]:
+            if interval is not None:
+                if not due:
+                    from pyspark import TaskContext
+
+                    # Lanes begin one after another within an interval.
+                    due.append(time.monotonic() + interval + TaskContext.get().partitionId() % lanes * interval / lanes)
+                time.sleep(max(0.0, due[0] - time.monotonic()))
+                due[0] = max(due[0], time.monotonic()) + interval
             try:
                 return client(text)
             except limited:
@@ -90,7 +108,8 @@ def ask(rows: DataFrame, prompt: str, client: Callable[[str], str], again: Calla
             columns = [pa.array(c, pa.string()) for c in zip(*found, strict=True)] or [pa.array([], pa.string())] * 2
             yield pa.RecordBatch.from_arrays([*b.columns, *columns], names=names)
 
-    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("reply", StringType()), StructField("error", StringType())]))
+    dealt = rows if interval is None else rows.repartition(lanes)
+    return dealt.mapInArrow(run, StructType([*rows.schema.fields, StructField("reply", StringType()), StructField("error", StringType())]))
 
 
 def retry_waits(tries: int = 6, step: int = 30) -> list[int]:

@@ -291,11 +291,12 @@ class Validator:
             whole = whole.unionByName(x.select(*REPORT))
         return whole
 
-    def report(self, shapes: list[Shape]) -> DataFrame:
-        """All results, one row each."""
+    def report(self, shapes: list[Shape], only: DataFrame | None = None) -> DataFrame:
+        """All results, one row each; with ``only``, those of its (g, focus) alone."""
         if not shapes:
             return self.spark.createDataFrame([], ", ".join(f"{c} string" for c in REPORT))
-        focus = self.focus(shapes).persist()
+        focus = self.focus(shapes)
+        focus = (focus if only is None else focus.join(only, ["g", "focus"], "left_semi")).persist()
         parts = []
         owners = list(enumerate(s for s in shapes if s.constraints))
         if owners:
@@ -316,6 +317,63 @@ def validate(quads: DataFrame, shapes: str | list[Shape]) -> DataFrame:
     return Validator(quads).report(read_shapes(shapes) if isinstance(shapes, str) else shapes)
 
 
+def _held(c: Constraint) -> list[Shape]:
+    """The shapes within a constraint."""
+    inner = c.value if isinstance(c.value, (list, tuple)) else [c.value]
+    return [x for x in inner if isinstance(x, Shape)]
+
+
+def reach(shape: Shape) -> int:
+    """How many steps from a focus node the triples are, at most, that a shape's results depend on."""
+    return max([0, *(reach(x) for c in shape.constraints for x in _held(c)), *(1 + reach(p) for p in shape.properties)])
+
+
+def _paths(shape: Shape) -> set[str]:
+    return ({shape.path} if shape.path else set()).union(*(_paths(p) for p in shape.properties), *(_paths(x) for c in shape.constraints for x in _held(c)))
+
+
+def affected(old: DataFrame, new: DataFrame, shapes: list[Shape]) -> DataFrame:
+    """(g, focus): the nodes whose results can differ between two versions of graphs.
+
+    These are the ends of the triples that were added or removed, and what leads to such an
+    end, before or after, along the shapes' paths, as many steps as the shapes look ahead;
+    in a graph that changed, also the nodes that shapes name.
+    """
+    from quadrel.sources.sinks import scratch
+
+    def kept(df: DataFrame) -> DataFrame:
+        path = scratch(df.sparkSession, "affected")
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    columns = ["g", "s", "p", "o"]
+    before, after = (df.select(*columns).distinct() for df in (old, new))
+    changed = kept(before.join(after, columns, "left_anti").unionByName(after.join(before, columns, "left_anti")))
+    near = changed.select("g", F.explode(F.array("s", "o")).alias("focus"))
+    named = sorted({x for s in shapes for kind, x in s.targets if kind == "node"})
+    if named:
+        near = near.unionByName(changed.select("g").distinct().select("g", F.explode(F.array(*map(F.lit, named))).alias("focus")))
+    near = kept(near.distinct())
+    paths = sorted(set().union(*map(_paths, shapes)))
+    edges = before.unionByName(after).where(F.col("p").isin(paths)).select("g", "s", F.col("o").alias("focus"))
+    for _ in range(max([0, *map(reach, shapes)])):
+        near = kept(near.unionByName(edges.join(near, ["g", "focus"], "left_semi").select("g", F.col("s").alias("focus"))).distinct())
+    return near
+
+
+def revalidate(old: DataFrame, new: DataFrame, report: DataFrame, shapes: str | list[Shape]) -> DataFrame:
+    """The report of ``new``, from that of ``old``: only the nodes that a change can concern are looked at again.
+
+    What is read besides the changed triples are the graphs that have some.  ``report`` and the
+    quads are read more than once: written tables, or versions of a store.
+    """
+    shapes = read_shapes(shapes) if isinstance(shapes, str) else shapes
+    only = affected(old, new, shapes)
+    graphs = only.select("g").distinct()
+    again = Validator(new.join(graphs, "g", "left_semi")).report(shapes, only)
+    return report.join(only, ["g", "focus"], "left_anti").select(*REPORT).unionByName(again.select(*REPORT))
+
+
 def unknown_types(quads: DataFrame, ontology: DataFrame, namespaces: list[str]) -> DataFrame:
     """(g, s, class): types in the given namespaces that the ontology doesn't define as classes."""
     classes = ontology.where((F.col("p") == T.TYPE) & F.col("o").isin(f"<{T.OWL}Class>", f"<{T.RDFS}Class>")).select(F.col("s").alias("class")).distinct()
