@@ -3,8 +3,10 @@
 *Detection.*  One regular expression marks the candidates of all kinds in one left-to-right
 scan of a text; a candidate's kind is then told by its shape, and card and account numbers
 have to pass their check digits, so that other long numbers stay.  Names are found after a
-title.  The scan's result, the text cut into gaps and candidates, is written, so that no
-text is scanned twice.
+title, and what names a document has are looked for in all of it: every further mention of
+a name's parts, without a title, becomes a candidate too.  Secrets are found by a label
+before them or by the prefix that their issuer gives them.  The scan's result, the text cut
+into gaps and candidates, is written, so that no text is scanned again.
 
 *Surrogates.*  Every entity has a normal form, and the normal forms of one kind and one
 format are permuted among themselves: each character moves within its own class (digits,
@@ -15,12 +17,12 @@ permutation is ``back(step(forth(x)))`` with a step that changes one symbol, so
 is its own surrogate.  Kept are the length and punctuation, upper and lower case, the
 country code of a phone number, a fictional exchange (555), the network digit and a valid
 check digit of a card, country and valid check digits of an account number, private
-networks of an IP address, the top-level domain of an address, hexadecimal secrets as such,
+networks and the zero groups of an IP address, the top-level domain of an address, hexadecimal secrets as such,
 a name's script and its pattern of vowels and consonants; a given name gets an ending of
 the gender that its title tells.
 
 *Coreference.*  Normal forms ignore case, separators, diacritics of names (with German
-umlauts spelt out) and a North American country code that is left out.  Each part of a name
+umlauts spelt out), the short form of an IPv6 address and a North American country code that is left out.  Each part of a name
 and an address's domain are mapped for themselves.  A surrogate depends on the normal form
 alone, so all mentions of an entity, in any document, stay mentions of one.
 
@@ -60,26 +62,50 @@ ROUNDS = 8
 #: Rounds of the Feistel network, there and back each.
 TURNS = 4
 
-# Shapes of the entities, and titles that come before names.
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
-ACCESS = r"(?<![A-Za-z0-9])A(?:KIA|SIA)[A-Z0-9]{16}(?![A-Za-z0-9])"
-SECRET = r"(?<=(?i:token|secret|passwd|password|api_key|apikey)[\"' ]{0,2}[:=] {0,2}[\"']?)[A-Za-z0-9/+_-]{8,}"
+# Shapes of the entities, titles that come before names, labels and prefixes of secrets.
+EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}"
+IBAN = r"(?=[A-Z]{2}[0-9])(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+PREFIXES = ("AKIA", "ASIA", "gho_", "ghp_", "ghr_", "ghs_", "ghu_", "github_pat_", "glpat-", "xoxa-", "xoxb-", "xoxp-", "xoxr-", "xoxs-", "sk-", "AIza", "eyJ")
+ACCESS = (
+    r"(?=[Agsxe])(?<![A-Za-z0-9])(?:A(?:KIA|SIA)[A-Z0-9]{16}(?![A-Za-z0-9])|(?:gh[oprsu]_|github_pat_|glpat-|xox[abprs]-|sk-|AIza)[A-Za-z0-9_-]{16,}"
+    r"|eyJ[A-Za-z0-9_-]{8,}(?:\.[A-Za-z0-9_-]{2,}){1,2})"
+)
+LABELS = "token|secret|passwd|password|passphrase|pwd|api[_-]?key|access[_-]?key|passwort|contraseña|пароль"
+_LABEL = "(?i:" + LABELS + ")[\"' ]{0,2}[:=] {0,2}[\"']?"
+_SECRET = r"[\p{L}\p{N}/+_=!@#$%^&*.~-]{7,}[\p{L}\p{N}/+_=#$%^&*~-]"
+SECRET = "(?:(?<=[:= \"'])(?<=[:=] {0,2}[\"']?)(?<=" + _LABEL + ")" + _SECRET + r"|(?<= )(?<=(?i:bearer) )[A-Za-z0-9/+_=.~-]{15,}[A-Za-z0-9/+_=~-])"
 #: What a secret holds, so that it has room for surrogates and isn't a line of dashes: a digit or four letters.
-ROOM = "[0-9]|(?:[A-Za-z][^A-Za-z]*){4}"
-IP = r"(?<![0-9.])(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?:\.(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])){3}(?!\.?[0-9])"
-SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
-PHONE = r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[ .-][0-9]{4}(?![0-9])|(?<![0-9A-Za-z+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){3,4}(?![0-9])"
-CARD = r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])"
-TITLES_MALE = ("Mr", "Herr", "Monsieur", "Señor", "Sr", "господин", "κύριος")
-TITLES_FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "госпожа", "κυρία")
-_TITLED = r"(?<![\p{L}])(?:" + "|".join((*TITLES_MALE, *TITLES_FEMALE)) + r")\.? "
-NAME = _TITLED + r"\p{Lu}[\p{Ll}'-]+(?: \p{Lu}[\p{Ll}'-]+){0,2}"
-#: In the order in which a candidate's kind is told.
-SHAPES = (("email", EMAIL), ("name", NAME), ("access", ACCESS), ("secret", SECRET), ("ip", IP), ("ssn", SSN), ("phone", PHONE), ("iban", IBAN), ("card", CARD))
+ROOM = r"[0-9]|(?:\p{L}\P{L}*){4}"
+IP = r"(?=[0-9])(?<![0-9.])(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?:\.(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])){3}(?!\.?[0-9])"
+_GROUP = "[0-9A-Fa-f]{1,4}"
+IP6 = rf"(?=[0-9A-Fa-f]{{0,4}}:)(?<![\p{{L}}\p{{N}}:.])(?:(?:{_GROUP}:){{7}}{_GROUP}|{_GROUP}(?::{_GROUP}){{0,5}}::(?:{_GROUP}(?::{_GROUP}){{0,5}})?|::{_GROUP}(?::{_GROUP}){{0,6}})(?![\p{{L}}\p{{N}}:])"
+_LABELLED_SSN = "(?=[0-9])(?<=(?i:ssn|social security)[^0-9\n]{0,12})[0-9]{3}[ -]?[0-9]{2}[ -]?[0-9]{4}(?![0-9-])"
+SSN = r"(?=[0-9])(?:(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])|" + _LABELLED_SSN + ")"
+PHONE = (
+    r"(?=[0-9+(])(?:(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[ .-][0-9]{4}(?![0-9])|(?<![0-9A-Za-z+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){3,4}(?![0-9])"
+    r"|(?<![0-9A-Za-z+.-])(?<![0-9] )[2-9][0-9]{2} [2-9][0-9]{2} [0-9]{4}(?! ?[0-9])|(?<![0-9A-Za-z+])(?:\(0[1-9][0-9]{0,3}\) ?|0[1-9][0-9]{1,3}[ /-])[0-9]{3,4}[ -]?[0-9]{3,5}(?! ?[0-9]))"
+)
+CARD = r"(?=[0-9])(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])"
+TITLES_MALE = ("Mr", "Mister", "Sir", "Lord", "Herr", "Herrn", "Monsieur", "Señor", "Sr", "Don", "Signor", "господин", "κύριος")
+TITLES_FEMALE = ("Mrs", "Ms", "Miss", "Lady", "Dame", "Frau", "Fräulein", "Madame", "Mme", "Mademoiselle", "Mlle", "Señora", "Sra", "Señorita", "Srta", "Doña", "Signora", "госпожа", "κυρία")
+TITLES_EITHER = ("Dr", "Doctor", "Doktor", "Docteur", "Dra", "Prof", "Professor", "Professeur", "Profesor", "Profesora", "доктор", "профессор")
+PARTICLES = ("von", "van", "de", "der", "den", "del", "della", "di", "da", "du", "la", "le", "zu", "zur", "ten", "ter", "bin", "ibn", "al")
+_PARTICLES = "(?:(?:" + "|".join(PARTICLES) + ") ){0,3}"
+
+
+def _either(*titles: str) -> str:
+    """Titles as they are and in capitals."""
+    return "(?:" + "|".join(dict.fromkeys(x for t in titles for x in (t, t.upper()))) + ")"
+
+
+_FIRST = "".join(sorted({x for t in (*TITLES_MALE, *TITLES_FEMALE, *TITLES_EITHER) for x in (t[0], t[0].upper())}))
+_TITLED = "(?=[" + _FIRST + r"])(?<!\p{L})(?:" + _either(*TITLES_MALE, *TITLES_FEMALE, *TITLES_EITHER) + r"\.? ){1,3}" + _PARTICLES
+#: A part of a name, without an s that an apostrophe parts from it; or an initial.
+_PART = r"\p{Lu}(?:(?:[\p{L}\p{M}-]|['’](?![sS](?!\p{L})))*\p{L}\p{M}*|\.)"
+NAME = _TITLED + _PART + "(?: " + _PARTICLES + _PART + "){0,3}"
+#: In the order in which a candidate's kind is told; each shape first looks at the next characters, which most places of a text fail.
+SHAPES = (("email", EMAIL), ("name", NAME), ("access", ACCESS), ("secret", SECRET), ("ip6", IP6), ("ip", IP), ("ssn", SSN), ("phone", PHONE), ("iban", IBAN), ("card", CARD))
 ANY = "|".join(x for _, x in SHAPES)
-#: What every entity holds; texts without are not scanned further.
-HINT = "[@0-9]|" + _TITLED + r"|(?i:token|secret|passwd|password|api_key|apikey)[\"' ]{0,2}[:=]"
 #: Country codes of phone numbers, by the numbering plan.
 COUNTRY = "^(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 #: First octets of an IP address that stay, besides those from 224: their networks are private or reserved, or in part.
@@ -89,6 +115,7 @@ HELD_OCTETS = (10, 127, 172, 192)
 DIGITS = "0123456789"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 HEXADECIMAL = ("abcdef", "ghijklmnopqrstuvwxyz", "ABCDEF", "GHIJKLMNOPQRSTUVWXYZ")
+NAMES = ("given-f", "given-m", "given-n", "family")
 NAME_CLASSES = ("aeiou", "bcdfghjklmnpqrstvwxyz", "αεηιουω", "βγδζθκλμνξπρστφχψ", "аеиоуыэюя", "бвгджзйклмнпрстфхцчшщ")
 #: Endings of given names by script and gender.
 ENDINGS = (("IsCyrillic", "ин", "ина"), ("IsGreek", "ος", "ίνα"), ("IsLatin", "en", "ina"))
@@ -147,20 +174,23 @@ def _mod97(account: Column) -> Column:
 
 def kind_of(value: Column) -> Column:
     """Kind of a candidate; null if its check digits fail."""
-    out = F.when(value.contains("@"), F.lit("email")).when(value.rlike("^" + _TITLED), F.lit("name"))
-    out = out.when(value.rlike("^A(?:KIA|SIA)[A-Z0-9]{16}$"), F.lit("access"))
-    out = out.when(value.rlike("^" + IP + "$"), F.lit("ip")).when(value.rlike("^" + SSN + "$"), F.lit("ssn"))
+    out = F.when(value.rlike("^" + EMAIL + "$"), F.lit("email")).when(value.rlike("^" + NAME + "$"), F.lit("name"))
+    out = out.when(value.rlike("^" + ACCESS + "$"), F.lit("access"))
+    groups = F.size(F.filter(F.split(value, ":"), lambda g: g != ""))
+    # Fewer than three groups are rather a scope in a program.
+    out = out.when(value.rlike("^" + IP6 + "$") & (groups >= 3) & value.rlike("[0-9]"), F.lit("ip6"))
+    out = out.when(value.rlike("^" + IP + "$"), F.lit("ip")).when(value.rlike("^[0-9]{3}([ -]?)[0-9]{2}\\1[0-9]{4}$"), F.lit("ssn"))
     out = out.when(value.rlike("^(?:" + PHONE + ")$"), F.lit("phone"))
     plain = F.replace(value, F.lit(" "), F.lit(""))
     out = out.when(value.rlike("^" + IBAN + "$") & (_mod97(plain) == 1), F.lit("iban"))
     card = value.rlike("^" + CARD + "$")
     out = out.when(card & (_luhn(_digits(value)) == 0), F.lit("card"))
-    return out.when(~card & ~value.rlike("^" + IBAN + "$") & value.rlike("^[A-Za-z0-9/+_-]{8,}$") & value.rlike(ROOM), F.lit("secret"))
+    return out.when(~card & ~value.rlike("^" + IBAN + "$") & value.rlike("^" + _SECRET + "$") & value.rlike(ROOM), F.lit("secret"))
 
 
 def normal_of(kind: Column, value: Column) -> Column:
     """The form in which mentions of one entity are equal; of a part of a name, without diacritics."""
-    phone = F.when(value.startswith("+"), _digits(value)).otherwise(F.concat(F.lit("1"), _digits(value)))
+    phone = F.when(value.startswith("+") | _digits(value).startswith("0"), _digits(value)).otherwise(F.concat(F.lit("1"), _digits(value)))
     plain = F.replace(value, F.lit(" "), F.lit(""))
     spelt = F.lower(value)
     for mark, letters in (("ä", "ae"), ("ö", "oe"), ("ü", "ue"), ("æ", "ae"), ("œ", "oe"), ("ß", "ss"), ("ς", "σ")):
@@ -171,30 +201,50 @@ def normal_of(kind: Column, value: Column) -> Column:
         .when(kind == "iban", F.concat(F.substring(plain, F.lit(1), F.lit(2)), F.lit("00"), _tail(plain, 5)))
         .when(kind == "email", F.lower(value))
         .when(kind == "ip", F.array_join(F.transform(F.split(value, r"\."), lambda o: o.cast("int").cast("string")), "."))
-        .when(kind.isin("given-f", "given-m", "family"), F.translate(spelt, MARKED, PLAIN))
+        .when(kind == "ip6", _expanded(value))
+        .when(kind.isin(*NAMES), F.translate(spelt, MARKED, PLAIN))
         .otherwise(value)
     )
 
 
+def _expanded(value: Column) -> Column:
+    """An IPv6 address as eight groups, without leading zeros, in lower case."""
+    plain = lambda part: F.transform(F.filter(F.split(part, ":"), lambda g: g != ""), lambda g: F.lower(F.conv(g, 16, 16)))
+    before, after = plain(F.substring_index(value, "::", 1)), F.when(value.contains("::"), plain(F.substring_index(value, "::", -1))).otherwise(F.array().cast("array<string>"))
+    return F.array_join(F.concat(before, F.array_repeat(F.lit("0"), F.greatest(8 - F.size(before) - F.size(after), F.lit(0))), after), ":")
+
+
 def _name_parts(value: Column) -> tuple[Column, Column]:
     """Title with its space, and the parts of the name."""
     title = F.regexp_extract(value, "^" + _TITLED, 0)
     return title, F.split(_tail(value, F.length(title) + 1), " ")
 
 
-def units(kind: Column, value: Column) -> Column:
-    """array<struct<kind, normal>>: what of an entity is mapped for itself, the parts of a name or the whole."""
-    female = reduce(or_, (value.rlike(f"^{t}[. ]") for t in TITLES_FEMALE))
-    given = F.when(female, F.lit("given-f")).otherwise(F.lit("given-m"))
+def units(kind: Column, value: Column, people: Column | None = None) -> Column:
+    """array<struct<kind, normal>>: what of an entity is mapped for itself, the parts of a name or the whole; ``people`` says what a mention is."""
+    titled = lambda *titles: value.rlike(r"^(?:\p{L}+\.? )*?" + _either(*titles) + "[. ]")
+    given = F.when(titled(*TITLES_FEMALE), F.lit("given-f")).when(titled(*TITLES_MALE), F.lit("given-m")).otherwise(F.lit("given-n"))
 
     def of_parts(parts: Column) -> Column:
         def one(p: Column, i: Column) -> Column:
-            own = F.when(i < F.size(parts) - 1, given).otherwise(F.lit("family"))
+            own = F.when(p.isin(*PARTICLES), F.lit("particle")).when(i < F.size(parts) - 1, given).otherwise(F.lit("family"))
             return F.struct(own.alias("kind"), normal_of(own, p).alias("normal"))
 
         return F.transform(parts, one)
 
-    return F.when(kind == "name", let(_name_parts(value)[1], of_parts)).otherwise(F.array(F.struct(kind.alias("kind"), normal_of(kind, value).alias("normal"))))
+    out = F.when(kind == "name", let(_name_parts(value)[1], of_parts))
+    if people is not None:
+        out = out.when(kind == "mention", F.array(F.get(F.filter(people, lambda x: F.lower(x["part"]) == F.lower(value)), F.lit(0))["unit"]))
+    return out.otherwise(F.array(F.struct(kind.alias("kind"), normal_of(kind, value).alias("normal"))))
+
+
+def people_of(body: Column) -> Column:
+    """array<struct<part, unit>>: the parts of all titled names of a text, initials and particles left out, the longest first."""
+    of_name = lambda n: F.arrays_zip(_name_parts(n)[1].alias("part"), units(F.lit("name"), n).alias("unit"))
+    parts = F.flatten(F.transform(F.array_distinct(F.regexp_extract_all(body, F.lit(NAME), F.lit(0))), of_name))
+    whole = F.filter(parts, lambda x: (F.length(x["part"]) > 1) & ~x["part"].endswith(".") & (x["unit"]["kind"] != "particle"))
+    ordered = F.array_sort(F.transform(F.array_distinct(whole), lambda x: F.struct((-F.length(x["part"])).alias("n"), x["part"].alias("part"), x["unit"].alias("unit"))))
+    return F.transform(ordered, lambda x: F.struct(x["part"].alias("part"), x["unit"].alias("unit")))
 
 
 def _mac(key: str, *message: Column) -> Column:
@@ -226,6 +276,7 @@ def _symbols(kind: Column, normal: Column) -> Column:
     n = F.length(normal)
     country = F.length(F.regexp_extract(normal, COUNTRY, 0))
     exchange = F.substring(normal, F.lit(5), F.lit(3))
+    prefix = F.length(F.regexp_extract(normal, "^(?:" + "|".join(PREFIXES) + ")", 0))
     american = normal.rlike("^1[0-9]{10}$")
 
     def of_phone(c: Column, i: Column) -> Column:
@@ -238,10 +289,10 @@ def _symbols(kind: Column, normal: Column) -> Column:
         return (
             F.when(kind == "phone", of_phone(c, i))
             .when(kind == "card", F.when((i == 0) | (i == n - 1), c).otherwise(F.lit(DIGITS)))
-            .when(kind.isin("iban", "access") & (i < 4), c)
-            .when(kind.isin("iban", "access", "secret"), _class(c, DIGITS, *HEXADECIMAL))
-            .when(kind.isin("given-f", "given-m", "family"), _class(c, *NAME_CLASSES, *OTHER_CLASSES))
-            .otherwise(_class(c, DIGITS, LOWER))
+            .when((kind == "particle") | ((kind == "iban") & (i < 4)) | ((kind == "access") & (i < prefix)), c)
+            .when(kind.isin("iban", "access", "secret"), _class(c, DIGITS, *HEXADECIMAL, *NAME_CLASSES[2:], MARKED, *OTHER_CLASSES))
+            .when(kind.isin(*NAMES), _class(c, *NAME_CLASSES, *OTHER_CLASSES))
+            .otherwise(_class(c, DIGITS, LOWER, *NAME_CLASSES[2:], MARKED, *OTHER_CLASSES))
         )
 
     def of_octets(o: Column) -> Column:
@@ -257,8 +308,14 @@ def _symbols(kind: Column, normal: Column) -> Column:
         )
         return F.array(first, second, *(_symbol(F.get(o, k), 256, "") for k in (2, 3)))
 
+    def of_group(g: Column, i: Column) -> Column:
+        # Groups of zeros stay, as does a first group outside the global addresses from 2000 to 3fff.
+        v = F.conv(g, 16, 10).cast("int")
+        free = F.when(i > 0, _symbol(v - 1, 65535, "")).when(v.between(0x2000, 0x3FFF), _symbol(v - 0x2000, 0x2000, ""))
+        return F.when(v == 0, _symbol(0, 1, "")).otherwise(F.coalesce(free, _symbol(0, 1, "")))
+
     octets = F.transform(F.split(normal, r"\."), lambda o: o.cast("int"))
-    return F.when(kind == "ip", let(octets, of_octets)).otherwise(F.transform(F.split(normal, ""), lambda c, i: _in_class(c, of(c, i))))
+    return F.when(kind == "ip", let(octets, of_octets)).when(kind == "ip6", F.transform(F.split(normal, ":"), of_group)).otherwise(F.transform(F.split(normal, ""), lambda c, i: _in_class(c, of(c, i))))
 
 
 def permuted(symbols: Column, key: str, *tweak: Column) -> Column:
@@ -318,6 +375,17 @@ def _address(symbols: Column, values: Column, normal: Column) -> Column:
     return let(F.when(F.get(symbols, 0)["r"] == 1, F.substring_index(normal, ".", 1).cast("int")).otherwise(free), of_first)
 
 
+def _address6(symbols: Column, values: Column, normal: Column) -> Column:
+    """Eight groups of symbols' values; those of ``normal`` where the symbols are fixed."""
+    groups = F.split(normal, ":")
+
+    def one(v: Column, i: Column) -> Column:
+        free = F.lower(F.hex((v + F.when(i > 0, 1).otherwise(0x2000)).cast("long")))
+        return F.when(F.get(symbols, i)["r"] == 1, F.get(groups, i)).otherwise(free)
+
+    return F.array_join(F.transform(values, one), ":")
+
+
 def drawn(kind: Column, normal: Column, key: str, counter: Column) -> Column:
     """Normal form of the surrogate of a unit, from the permutation number ``counter``."""
     email = kind == "email"
@@ -338,9 +406,10 @@ def drawn(kind: Column, normal: Column, key: str, counter: Column) -> Column:
         check = let(body, lambda b: F.concat(b, F.pmod(10 - _luhn(F.concat(b, F.lit("0"))), F.lit(10)).cast("string")))
         return (
             F.when(kind == "ip", _address(symbols, values, normal))
+            .when(kind == "ip6", _address6(symbols, values, normal))
             .when(email, F.concat(text, F.lit("@"), host, F.lit("."), top))
             .when(kind == "card", check)
-            .when(kind.isin("given-f", "given-m"), F.concat(text, F.coalesce(*(ending(*e) for e in ENDINGS), F.lit(""))))
+            .when(kind.isin("given-f", "given-m") & ~normal.endswith("."), F.concat(text, F.coalesce(*(ending(*e) for e in ENDINGS), F.lit(""))))
             .otherwise(text)
         )
 
@@ -359,7 +428,33 @@ def _into_format(value: Column, digits: Column) -> Column:
     )
 
 
-def surrogate(entity: Column, key: str, counter: Callable[[Column], Column]) -> Column:
+def _cased_name(part: Column, found: Column) -> Column:
+    """A name's surrogate in the case of its mention: all capitals, or a capital where a piece of the mention begins with one."""
+    pieces = F.split(part, "['’-]")
+
+    def one(piece: Column, i: Column) -> Column:
+        capital = F.substring(F.coalesce(F.get(pieces, i), part), F.lit(1), F.lit(1)).rlike(r"^\p{Lu}")
+        return F.when(capital, F.concat(F.upper(F.substring(piece, F.lit(1), F.lit(1))), _tail(piece, 2))).otherwise(piece)
+
+    marks = F.transform(F.split(F.regexp_replace(found, "[^'’-]", ""), ""), lambda m: m)
+    joined = F.array_join(F.zip_with(F.transform(F.split(found, "['’-]"), one), marks, lambda p, m: F.concat(F.coalesce(p, F.lit("")), F.coalesce(m, F.lit("")))), "")
+    shouted = part.rlike(r"^[^\p{Ll}]*\p{Lu}[^\p{Ll}]*\p{Lu}[^\p{Ll}]*$")
+    return F.when(shouted, F.upper(found)).otherwise(joined)
+
+
+def _shortened(value: Column, groups: Column) -> Column:
+    """Eight groups written as the mention is: short or in full, in its case, padded as it is."""
+    whole = F.split(groups, ":")
+    n_before = F.size(F.filter(F.split(F.substring_index(value, "::", 1), ":"), lambda g: g != ""))
+    n_after = F.size(F.filter(F.split(F.substring_index(value, "::", -1), ":"), lambda g: g != ""))
+    said = F.filter(F.split(value, ":"), lambda g: g != "")
+    padded = lambda part, skipped: F.array_join(F.transform(part, lambda g, i: F.lpad(g, F.greatest(F.length(g), F.length(F.coalesce(F.get(said, i + skipped), F.lit("")))), "0")), ":")
+    short = F.concat(padded(F.slice(whole, F.lit(1), n_before), F.lit(0)), F.lit("::"), padded(F.slice(whole, 9 - n_after, n_after), n_before))
+    text = F.when(value.contains("::"), short).otherwise(padded(whole, F.lit(0)))
+    return F.when(value.rlike("[A-F]"), F.upper(text)).otherwise(text)
+
+
+def surrogate(entity: Column, key: str, counter: Callable[[Column], Column], people: Column | None = None) -> Column:
     """The surrogate of an entity(kind, value) in the format of its mention, ``counter`` giving a unit's permutation; its value where kind is null."""
     plain = lambda t: F.replace(t, F.lit(" "), F.lit(""))
 
@@ -368,9 +463,11 @@ def surrogate(entity: Column, key: str, counter: Callable[[Column], Column]) ->
         one = F.get(found, 0)
         check = F.lpad((98 - _mod97(one)).cast("string"), 2, "0")
         account = let(F.concat(F.substring(one, F.lit(1), F.lit(2)), check, _tail(one, 5)), lambda w: _each(value, lambda c, i: F.when(c == " ", c).otherwise(F.substring(w, F.length(plain(F.substring(value, F.lit(1), i + 1))), F.lit(1)))))
-        cased = F.array_join(F.zip_with(F.split(value, ""), F.split(one, ""), lambda c, s: F.when(c.rlike("^[A-Z]$"), F.upper(s)).otherwise(s)), "")
+        cased = F.array_join(F.zip_with(F.split(value, ""), F.split(one, ""), lambda c, s: F.when(c.rlike(r"^\p{Lu}$"), F.upper(s)).otherwise(s)), "")
         return (
-            F.when(kind == "name", F.concat(_name_parts(value)[0], F.array_join(F.transform(found, lambda p: F.concat(F.upper(F.substring(p, F.lit(1), F.lit(1))), _tail(p, 2))), " ")))
+            F.when(kind == "name", F.concat(_name_parts(value)[0], F.array_join(F.zip_with(_name_parts(value)[1], found, _cased_name), " ")))
+            .when(kind == "mention", _cased_name(value, one))
+            .when(kind == "ip6", _shortened(value, one))
             .when(kind == "email", cased)
             .when(kind.isin("phone", "card", "ssn"), _into_format(value, one))
             .when(kind == "iban", account)
@@ -378,7 +475,7 @@ def surrogate(entity: Column, key: str, counter: Callable[[Column], Column]) ->
         )
 
     def of_entity(e: Column) -> Column:
-        found = F.transform(units(e["kind"], e["value"]), lambda u: drawn(u["kind"], u["normal"], key, counter(u)))
+        found = F.transform(units(e["kind"], e["value"], people), lambda u: drawn(u["kind"], u["normal"], key, counter(u)))
         return F.when(e["kind"].isNull(), e["value"]).otherwise(let(F.struct(e["kind"].alias("kind"), e["value"].alias("value"), found.alias("found")), of_drawn))
 
     return let(entity, of_entity)
@@ -409,18 +506,37 @@ def further_permutations(pool: DataFrame, key: str) -> DataFrame:
     return moved
 
 
-def _cut(body: Column) -> Column:
+def _cut(body: Column, pattern: Column) -> Column:
     """array<string>: a text's gaps and candidates by turns, a gap first and last."""
     mark = F.when(body.contains("\x01"), F.concat(F.lit("\x01"), F.md5(F.encode(body, "UTF-8")), F.lit("\x01"))).otherwise(F.lit("\x01"))
-    return let(mark, lambda m: F.split(F.regexp_replace(body, F.lit(ANY), F.concat(m, F.lit("$0"), m)), m, -1))
+    return let(mark, lambda m: F.split(F.regexp_replace(body, pattern, F.concat(m, F.lit("$0"), m)), m, -1))
+
+
+def _may_hold(body: Column, titled: Column) -> Column:
+    """Whether a text holds what some entity has, told by what is quickly looked for; others are not scanned further."""
+    marked = reduce(or_, (body.contains(x) for x in ("::", *PREFIXES, "earer ", "EARER ")))
+    labelled = body.rlike("[:=]") & body.rlike("(?i:" + LABELS + ")[\"' ]{0,2}[:=]")
+    return body.rlike("[@0-9]") | titled | marked | labelled
+
+
+def _of_people(people: Column) -> Column:
+    """The pattern of all candidates and of the people's names, as they are and in capitals."""
+    spelt = F.flatten(F.transform(people, lambda x: F.array_distinct(F.array(x["part"], F.upper(x["part"])))))
+    words = F.array_join(F.transform(spelt, lambda w: F.concat(F.lit("\\Q"), w, F.lit("\\E"))), "|")
+    return F.concat(F.lit(ANY + r"|(?<![\p{L}\p{M}\p{N}])(?:"), words, F.lit(r")(?![\p{L}\p{M}\p{N}])"))
 
 
 def replace_entities(df: DataFrame, key: str, text: str = "text", ident: str = "doc_id", report: bool = False) -> DataFrame:
     """``df`` with the entities of ``text`` replaced under ``key``; with ``report``, (ident, text, replaced, kinds) instead."""
     body = F.col(f"`{text}`").cast("string")
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("whole"), body.alias("body"))
-    rows = rows.withColumn("parts", F.when(F.col("body").rlike(HINT), _cut(F.col("body"))))
-    rows = rows.withColumn("kinds", F.transform(F.filter("parts", lambda p, i: i % 2 == 1), kind_of))
+    rows = rows.withColumn("titled", F.col("body").rlike(_TITLED))
+    rows = rows.withColumn("people", F.when(F.col("titled"), people_of(F.col("body"))))
+    named = F.size("people") > 0
+    cut = F.when(named, _cut(F.col("body"), _of_people(F.col("people")))).when(_may_hold(F.col("body"), F.col("titled")), _cut(F.col("body"), F.lit(ANY)))
+    rows = rows.withColumn("parts", cut)
+    mentioned = lambda v: F.coalesce(F.exists("people", lambda x: (x["part"] == v) | (F.upper(x["part"]) == v)), F.lit(False))
+    rows = rows.withColumn("kinds", F.transform(F.filter("parts", lambda p, i: i % 2 == 1), lambda v: F.when(mentioned(v), "mention").otherwise(kind_of(v))))
     some = F.exists("kinds", lambda k: k.isNotNull())
     # A text that is cut is written as its parts alone.
     stored = rows.select(
@@ -428,10 +544,12 @@ def replace_entities(df: DataFrame, key: str, text: str = "text", ident: str = "
         F.when(some, F.col("whole").withField(f"`{text}`", F.lit(None).cast(df.schema[text].dataType))).otherwise(F.col("whole")).alias("whole"),
         F.when(some, F.col("parts")).alias("parts"),
         F.when(some, F.col("kinds")).alias("kinds"),
+        F.when(some, F.col("people")).alias("people"),
     )
     stored = written(stored, "entity-rows")
     values = F.filter("parts", lambda p, i: i % 2 == 1)
-    met = F.flatten(F.transform(F.filter(F.arrays_zip(F.col("kinds").alias("kind"), values.alias("value")), lambda e: e["kind"].isNotNull()), lambda e: units(e["kind"], e["value"])))
+    met = F.flatten(F.transform(F.filter(F.arrays_zip(F.col("kinds").alias("kind"), values.alias("value")), lambda e: e["kind"].isNotNull()), lambda e: units(e["kind"], e["value"], F.col("people"))))
+    met = F.filter(met, lambda u: u["kind"] != "particle")
     found = written(stored.where("kinds IS NOT NULL").select("row", F.explode(F.array_distinct(met)).alias("u")).select("row", "u.*"), "entities")
     moved = further_permutations(written(found.select("kind", "normal").distinct(), "entity-pool"), key)
     moved = written(moved, "surrogates-moved")
@@ -450,7 +568,7 @@ def replace_entities(df: DataFrame, key: str, text: str = "text", ident: str = "
 
     def put(part: Column, i: Column) -> Column:
         entity = F.struct(F.get(F.col("kinds"), F.floor(i / 2).cast("int")).alias("kind"), part.alias("value"))
-        return F.when(i % 2 == 0, part).otherwise(surrogate(entity, key, counter))
+        return F.when(i % 2 == 0, part).otherwise(surrogate(entity, key, counter, F.col("people")))
 
     clean = F.when(F.col("kinds").isNull(), F.col(f"whole.`{text}`").cast("string")).otherwise(F.array_join(F.transform("parts", put), ""))
     if report:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import secrets
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,9 +22,17 @@ def _tokenizer(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
-def surrogate_key(spark: SparkSession) -> str:
-    """The key of surrogates, from ``spark.quadrel.surrogateKey``; the synthetic tables do with a published one."""
-    return spark.conf.get("spark.quadrel.surrogateKey", "for synthetic tables only")
+_drawn_keys: dict[str, str] = {}
+
+
+def surrogate_key(spark: SparkSession, published: str | None = None) -> str:
+    """The key of surrogates, from ``spark.quadrel.surrogateKey``; where none is set, a published one for synthetic tables, or one drawn for this application.
+
+    Surrogates under a drawn key are the same throughout the application, and no one can tell
+    from them what they stand for; to have the same ones again another day, set the key.
+    """
+    named = spark.conf.get("spark.quadrel.surrogateKey", published)
+    return named or _drawn_keys.setdefault(spark.sparkContext.applicationId, secrets.token_hex(32))
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -127,7 +137,7 @@ def op7_sentencepiece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.replace_entities(_table(spark, sf_dir, "documents"), surrogate_key(spark), report=True)
+    return pii.replace_entities(_table(spark, sf_dir, "documents"), surrogate_key(spark, "for synthetic tables only"), report=True)
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -65,6 +65,39 @@ def test_secrets_with_labels_of_any_case_and_without_digits(make):
     assert all(got[i].text == texts[i] and got[i].replaced == 0 for i in (5, 6))
 
 
+#: Texts by kind, the values in them that are personal, and what a text is to look like afterwards.
+LABELLED = {
+    "name": [
+        ("Mr. O'Neill-Brown went", ["Neill", "Brown"], r"Mr\. [A-Z]'[A-Z][a-z]+-[A-Z][a-z]+ went"),
+        ("Mr John Smith left. John Smith came back; Smith said so. JOHN SMITH! Smithson", ["John", "Smith ", "Smith.", "JOHN", "SMITH"], r"Mr (\w+) (\w+) left\. \1 \2 came back; \2 said so\. [A-Z]+ [A-Z]+! Smithson"),
+        ("Dr. Karl Weber and Prof Ada Byron, Frau Dr. Lena Groß-Weber", ["Karl", "Weber", "Ada", "Byron", "Lena", "Groß"], r"Dr\. \w+ \w+ and Prof \w+ \w+, Frau Dr\. \w+ina \w+-\w+"),
+        ("Herr von Goethe, Mr. Ludwig van Beethoven; Beethoven played", ["Goethe", "Ludwig", "Beethoven"], r"Herr von \w+, Mr\. \w+ van (\w+); \1 played"),
+        ("MR. JOHN DOE and Mrs J. Roe saw Mr. Smith's dog", ["JOHN", "DOE", "J.", "Roe", "Smith"], r"MR\. [A-Z]+ [A-Z]+ and Mrs [A-Z]\. \w+ saw Mr\. \w+'s dog"),
+    ],
+    "email": [("müller@example.org", ["müller", "example"], r"\w{6}@[a-z]{7}\.org"), ("мария@пример.рф", ["мария", "пример"], r"[а-я]{5}@[а-я]{6}\.рф"), ("write JO_e+x@sub.host.co.uk", ["JO_e", "host"], r"write [A-Z]{2}_[a-z]\+[a-z]@[a-z]{3}\.[a-z]{4}\.[a-z]{2}\.uk")],
+    "ip6": [
+        ("at 2001:db8::8a2e:370:7334 or 2001:0DB8:0000:0000:0000:8A2E:0370:7334", ["8a2e", "7334", "8A2E"], r"at [23]\w{3}:\w+::\w+:\w+:\w+ or [23]\w{3}:\w{4}:0000:0000:0000:\w{4}:\w{4}:\w{4}"),
+        ("fe80::1:2", ["1:2"], r"fe80::[0-9a-f]{1,4}:[0-9a-f]{1,4}"),
+    ],
+    "access": [("push ghp_abcdEFGH1234ijklMNOP5678qrst now", ["abcdEFGH"], r"push ghp_\w{28} now"), ("Bearer eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0.abc-DEF", ["hbGci"], r"Bearer eyJ\w+\.\w+\.\w{3}-\w{3}")],
+    "secret": [("bearer 0123456789abcdef01=", ["0123456789"], r"bearer \w{18}="), ("password: pässwort12345.", ["wort12345"], r"password: \w{13}\."), ("pwd='P@ss!w0rd#1'", ["w0rd"], r"pwd='\w@\w\w!\w\d\w\w#\d'"), ("Passwort = geheimnis", ["geheimnis"], r"Passwort = \w{9}")],
+    "phone": [("call 212 555 0142", ["0142"], r"call \d{3} 555 \d{4}"), ("(030) 1234567 or 0151 23456789", ["1234567", "23456789"], r"\(030\) \d{7} or 015\d \d{8}")],
+    "ssn": [("ssn 123 45 6789, SSN: 123456789", ["6789"], r"ssn \d{3} \d\d \d{4}, SSN: \d{9}")],
+}
+LEFT = ["std::vector a::b 12:30:45 de:ad:be:ef:00:11", "the bearer of news", "in 100 200 3000 rows", "Mr is a title", "miss Paris", "10:20", "version 1.2.3", "password: short", "a 123 45 6789 b", "::1"]
+
+
+def test_recall_by_kind_on_labelled_texts(spark):
+    rows = [(kind, *x) for kind, found in LABELLED.items() for x in found]
+    df = spark.createDataFrame([(i, r[1]) for i, r in enumerate(rows)] + [(1000 + i, t) for i, t in enumerate(LEFT)], "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.replace_entities(df, KEY, report=True).collect()}
+    for i, (kind, text, values, shape) in enumerate(rows):
+        assert re.fullmatch(shape, got[i].text), (text, got[i].text)
+        assert not [v for v in values if v in got[i].text], (text, got[i].text)
+        assert kind in got[i].kinds.split(",")
+    assert [got[1000 + i].text for i in range(len(LEFT))] == LEFT
+
+
 def texts_of(spark, rows):
     return {r.doc_id: r.text for r in pii.replace_entities(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"), KEY).collect()}
 
