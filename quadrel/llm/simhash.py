@@ -24,10 +24,14 @@ Copies share a fingerprint and take part once.  Components are formed on fingerp
 *Near copies by similarity.*  :func:`similar_classes` links all texts whose sets of five-word
 shingles have a Jaccard similarity of 0.8 or more.  Such sets, each put in one common order
 with frequent shingles last, share a shingle among their first ``n - ceil(0.8 n) + 1``; the
-order decides the cost alone, so it comes from a sample.  Texts that share one are thinned
-by exact bounds only: sizes, a bound on the symmetric difference from 512 parity bits, and
-the number of shingles shared at the front.  What is left is checked on the texts.  In
-crowded buckets neighbours by size are checked first; what they link isn't compared again.
+order decides the cost alone, so it comes from a sample.  Two texts are brought together by
+the first shingle they share: what stands before it in either is not shared, so its place
+bounds the size of any partner, and the smaller of two similar texts has it further to the
+front than most texts that merely share a template.  A bucket in which no text has it so
+far in front is left before any row is copied; in others each row meets those alone that
+have.  What is left is thinned by exact bounds only, sizes and a bound on the symmetric
+difference from 512 parity bits, and checked on the texts.  In crowded buckets neighbours
+by size are checked first; what they link isn't compared again.
 
 Defined cases: null or wordless texts have fingerprint zero, linked as any other; very long
 texts are read whole; other columns, whatever their names, are carried as one struct or
@@ -213,7 +217,9 @@ def near_classes(df: DataFrame, text: str = "text", ident: str = "doc_id", words
     roots = components(links(prints), "simhash-links")
     rooted = owners.join(roots, owners["print"] == roots["node"], "left").select("print", "least", F.coalesce("root", "print").alias("root"))
     best = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    return prints.join(rooted.join(best, "root").select("print", "component"), "print").select("ident", "print", "component")
+    # A table of its own, so that adaptive execution can split the rows of a much-used print, which an aggregate before the join would forbid.
+    told = written(rooted.join(best, "root").select("print", "component"), "simhash-components")
+    return prints.join(told, "print").select("ident", "print", "component")
 
 
 #: For similar texts: words of a shingle and least similarity.
@@ -307,21 +313,23 @@ def _frequent(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _shared(batches):
-    """Of a stream of (token, row) sorted by token, the rows of tokens that others have too."""
+    """Of a stream of (token, row, place) sorted by token, the rows of tokens that others have too."""
     token = row = np.zeros(0, np.int64)
+    place = np.zeros(0, np.int32)
     again = False  # the row held back has the token of the one before it
     for b in batches:
         token = np.concatenate((token, b.column(0).to_numpy()))
         row = np.concatenate((row, b.column(1).to_numpy()))
+        place = np.concatenate((place, b.column(2).to_numpy()))
         if not len(token):
             continue
         same = token[1:] == token[:-1]
         before = np.concatenate(([again], same))
         keep = before[:-1] | same
-        yield pa.RecordBatch.from_arrays([pa.array(token[:-1][keep]), pa.array(row[:-1][keep])], names=["token", "row"])
-        token, row, again = token[-1:], row[-1:], bool(before[-1])
+        yield pa.RecordBatch.from_arrays([pa.array(x[:-1][keep]) for x in (token, row, place)], names=["token", "row", "place"])
+        token, row, place, again = token[-1:], row[-1:], place[-1:], bool(before[-1])
     if again:
-        yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(row)], names=["token", "row"])
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (token, row, place)], names=["token", "row", "place"])
 
 
 def _neighbours(similarity: float):
@@ -344,38 +352,39 @@ def _neighbours(similarity: float):
 
 
 def _pairs_of_buckets(similarity: float):
-    """Pairs (one, two, n, m) of unlinked members that may be similar, of each run of equal keys in a sorted stream."""
-
-    def of(row, size, root, own, alone, parity):
-        for at in range(0, len(row), 512):
-            a, rest = slice(at, at + 512), slice(at, None)
-            may = root[a, None] != root[None, rest]
-            may &= alone | (own[a, None] != own[None, rest])
-            x, y = np.nonzero(np.triu(may, 1))
+    """Pairs (one, two) of unlinked members that may be similar, of each run of equal keys in a sorted stream.
+
+    A run has members (early: false) and those that they are compared with (early: true);
+    of two that are both, the one with the smaller row is taken as the member.
+    """
+
+    def of(row, size, most, root, early, own, parity):
+        left, right = np.flatnonzero(~early), np.flatnonzero(early)
+        for at in range(0, len(left), 512):
+            a = left[at : at + 512, None]
+            may = (root[a] != root[right]) & (size[right] <= most[a]) & (size[a] <= most[right]) & (~own[a] | (row[a] < row[right]))
+            x, y = np.nonzero(may)
             for cut in range(0, len(x), 1 << 17):
-                i, j = x[cut : cut + (1 << 17)] + at, y[cut : cut + (1 << 17)] + at
+                i, j = left[at : at + 512][x[cut : cut + (1 << 17)]], right[y[cut : cut + (1 << 17)]]
                 close = _may_be_similar((size[i], parity[i]), (size[j], parity[j]), similarity)
-                i, j = i[close], j[close]
+                i, j = row[i[close]], row[j[close]]
                 if len(i):
-                    i, j = np.where(row[i] < row[j], i, j), np.where(row[i] < row[j], j, i)
-                    yield pa.RecordBatch.from_arrays([pa.array(v) for v in (row[i], row[j], size[i], size[j])], names=["one", "two", "n", "m"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(i, j)), pa.array(np.maximum(i, j))], names=["one", "two"])
 
     def run(batches):
         held = None
         for b in batches:
             if not b.num_rows:
                 continue
-            now = [b.column(i).to_numpy(zero_copy_only=False) for i in range(6)] + [_parities(b.column(6))]
-            now[2] = now[2].astype(np.int64)
+            now = [b.column(i).to_numpy(zero_copy_only=False) for i in range(7)] + [_parities(b.column(7))]
+            now[2], now[3] = now[2].astype(np.int64), now[3].astype(np.int64)
             held = now if held is None else [np.concatenate(x) for x in zip(held, now, strict=True)]
             starts = np.concatenate(([0], np.nonzero(np.diff(held[0]))[0] + 1))
             for first, end in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
-                _, row, size, root, own, alone, parity = (x[first:end] for x in held)
-                yield from of(row, size, root, own, bool(alone[0]), parity)
+                yield from of(*(x[first:end] for x in held[1:]))
             held = [x[starts[-1] :] for x in held]
         if held is not None:
-            _, row, size, root, own, alone, parity = held
-            yield from of(row, size, root, own, bool(alone[0]), parity)
+            yield from of(*held[1:])
 
     return run
 
@@ -413,24 +422,32 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float, words: int)
 
 
 def similar_pairs(members: DataFrame, similarity: float) -> DataFrame:
-    """(one, two): rows of ``members(token, row, size, parity, root)`` of unlike root that share enough tokens to be similar.
+    """(one, two): rows of ``members(token, row, place, size, parity, root)`` of unlike root that may be similar.
 
-    Buckets above ``BUCKET`` are cut into chunks, and every two chunks are compared in a
-    run of their own.
+    The smaller of two similar texts has the first token that they share so far in front that
+    a text of its own size could still be similar to it; only such members, the early ones,
+    are handed to others.  Buckets are cut into chunks of members and chunks of early
+    ones, and every two of these meet in a run of their own: of n members, k of them
+    early, n * k / 2048 rows are made, or n + k where k is small.
     """
-    mixed = members.groupBy("token").agg(F.min("root").alias("first"), F.max("root").alias("last"), F.ceil(F.count("*") * 2 / BUCKET).cast("int").alias("chunks"))
-    own = F.pmod(F.xxhash64("row"), F.col("chunks")).cast("int")
-    chunks = members.join(mixed.where("first != last").select("token", "chunks"), "token").withColumn("own", own)
-    dealt = chunks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    key = F.xxhash64("token", F.least("own", "other"), F.greatest("own", "other"))
-    # A chunk meets itself where it is its own other; beside another chunk it is not compared with itself again.
-    runs = dealt.select(key.alias("key"), "row", "size", "root", "own", (F.col("own") == F.col("other")).alias("alone"), "parity")
-    found = runs.repartition("key").sortWithinPartitions("key").mapInArrow(_pairs_of_buckets(similarity), "one long, two long, n long, m long")
-    counted = found.groupBy("one", "two", "n", "m").agg(F.count("*").alias("shared"))
-    # A shingle that both have stands at the front of both, or behind the front of the one whose front ends first.
-    behind = F.ceil(F.greatest("n", "m") * F.lit(float(similarity)) - 1e-9) - 1
-    enough = (F.col("shared") + F.greatest(behind, F.lit(0))) * (1 + similarity) >= (F.col("n") + F.col("m")) * F.lit(float(similarity)) - 1e-6
-    return counted.where(enough).select("one", "two")
+    runs = bucket_runs(members, similarity)
+    found = runs.repartition("key").sortWithinPartitions("key").mapInArrow(_pairs_of_buckets(similarity), "one long, two long")
+    return found.distinct()
+
+
+def bucket_runs(members: DataFrame, similarity: float) -> DataFrame:
+    """The rows of :func:`similar_pairs` by the run that they take part in, its ``key``."""
+    most = (F.col("size") - F.col("place")) * F.lit((1 + similarity) / similarity) - F.col("size") + 1e-6
+    members = members.withColumn("most", F.floor(most).cast("int")).withColumn("own", F.col("most") >= F.col("size"))
+    parts = lambda n: F.ceil(n * 2 / BUCKET).cast("int")
+    mixed = members.groupBy("token").agg(F.min("root").alias("first"), F.max("root").alias("last"), parts(F.count("*")).alias("chunks"), parts(F.count_if("own")).alias("early"))
+    chunks = members.join(mixed.where("first != last AND early > 0").select("token", "chunks", "early"), "token")
+    part = lambda n: F.pmod(F.xxhash64("row"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ["row", "size", "most", "root"]
+    left = chunks.select("token", part("chunks").alias("c"), each("early").alias("e"), *columns, F.lit(False).alias("early"), "own", "parity")
+    right = chunks.where("own").select("token", each("chunks").alias("c"), part("early").alias("e"), *columns, F.lit(True).alias("early"), "own", "parity")
+    return left.unionByName(right).select(F.xxhash64("token", "c", "e").alias("key"), *columns, "early", "own", "parity")
 
 
 def similar_classes(df: DataFrame, text: str = "text", ident: str = "doc_id", similarity: float = SIMILARITY, words: int = SHINGLE) -> DataFrame:
@@ -459,16 +476,18 @@ def similar_classes(df: DataFrame, text: str = "text", ident: str = "doc_id", si
         for b in sliced(batches):
             found = [front_of(shingle_hashes(t, words), *order.value, similarity) for t in b.column(1).to_pylist()]
             rows = np.repeat(b.column(0).to_numpy(), [len(f) for f in found])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), pa.array(rows)], names=["token", "row"])
+            places = np.concatenate([np.arange(len(f), dtype=np.int32) for f in found])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), pa.array(rows), pa.array(places)], names=["token", "row", "place"])
 
     owners = written(prints.groupBy("shingles").agg(F.min_by(F.struct("row", "size", "parity"), "row").alias("o")).select("shingles", "o.*"), "similar-owners")
-    tokens = texts.mapInArrow(fronts, "token long, row long")
-    buckets = tokens.repartition("token").sortWithinPartitions("token").mapInArrow(_shared, "token long, row long")
+    tokens = texts.mapInArrow(fronts, "token long, row long, place int")
+    buckets = tokens.repartition("token").sortWithinPartitions("token").mapInArrow(_shared, "token long, row long, place int")
     members = buckets.distinct().join(owners.select("row", "size", "parity"), "row")
-    members = written(members.select("token", "row", "size", "parity"), "similar-members")
+    members = written(members.select("token", "row", "place", "size", "parity"), "similar-members")
+    order.destroy()
 
     crowded = members.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") > CROWDED).select("token")
-    near = members.join(crowded, "token").repartition("token").sortWithinPartitions("token", "size", "row")
+    near = members.join(crowded, "token").select("token", "row", "size", "parity").repartition("token").sortWithinPartitions("token", "size", "row")
     near = written(near.mapInArrow(_neighbours(similarity), "one long, two long").distinct(), "similar-neighbours")
     copies = prints.join(owners.select("shingles", F.col("row").alias("owner")), "shingles").where("row != owner")
     first = near.unionByName(copies.select(F.least("row", "owner").alias("one"), F.greatest("row", "owner").alias("two"))).distinct()

@@ -165,3 +165,54 @@ def test_similar_classes_find_copies_edited_to_the_limit(make, odd_rows):
     want = brute_components(rows)
     got = {x.ident: x.component for x in simhash.similar_classes(make(rows)).collect()}
     assert got == want
+
+
+def family(n, shared, own, seed=3):
+    """Pages of one template: ``shared`` words that all have, in one block, and ``own`` words of each page's own."""
+    r = random.Random(seed)
+    template = " ".join(f"t{r.randrange(10**6)}" for _ in range(shared))
+    return [template + " " + " ".join(f"w{i}x{k}" for k in range(own)) for i in range(n)]
+
+
+def test_rows_of_a_template_family_grow_in_proportion(spark):
+    """Pages of one template at a similarity of 0.74 share the first of their common shingles too far behind to be similar."""
+    made = {}
+    for n in (400, 4000):
+        texts = family(n, 104, 18)
+        sets = [simhash.shingle_hashes(t) for t in texts]
+        assert 0.7 < len(np.intersect1d(sets[0], sets[1])) / len(np.union1d(sets[0], sets[1])) < 0.78
+        hashes, counts = np.unique(np.concatenate(sets), return_counts=True)
+        often = counts > 2
+        rows = [
+            (int(t), i, place, len(s), simhash.parity_of(s), i)
+            for i, s in enumerate(sets)
+            for place, t in enumerate(simhash.front_of(s, hashes[often], counts[often], 0.8).view(np.int64))
+        ]
+        members = spark.createDataFrame(rows, "token long, row long, place int, size int, parity binary, root long")
+        made[n] = simhash.bucket_runs(members, 0.8).count()
+        assert simhash.similar_pairs(members, 0.8).count() == 0
+    assert made[4000] <= 10 * max(made[400], 40)
+
+
+def test_early_members_in_chunks_give_every_pair(make, monkeypatch):
+    """Buckets of many chunks, early members and others of several sizes, against all pairs."""
+    monkeypatch.setattr(simhash, "BUCKET", 8)
+    monkeypatch.setattr(simhash, "CROWDED", 10_000)
+    r = random.Random(12)
+    base = [f"b{k}" for k in range(60)]
+    texts = [" ".join(base[: r.randint(44, 60)] + [f"u{i}k{k}" for k in range(r.randint(4, 10))]) for i in range(90)]
+    sets = [simhash.shingle_set(t) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    got = {x.ident: x.component for x in simhash.similar_classes(make(list(enumerate(texts)))).collect()}
+    assert got == {i: find(i) for i in range(len(texts))} and len(set(got.values())) > 1
