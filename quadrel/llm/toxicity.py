@@ -479,13 +479,16 @@ def held_out(ident: Column) -> Column:
 
 
 def fit(documents: DataFrame, labels: DataFrame, text: str = "text", ident: str = "doc_id", sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> Machine:
-    """Train on at most ``sample`` labelled documents of each class that aren't held out, of at most ``sample_bytes`` together for each class."""
+    """Train on at most ``sample`` labelled documents of each class that aren't held out, of at most ``sample_bytes`` together for each class.
+
+    A text longer than an eighth of ``sample_bytes`` is left out, so that no text can keep the others of its class out.
+    """
     known = labels.where(F.col("toxic").isNotNull() & F.col(ident).isNotNull() & ~held_out(F.col(ident)))
     known = known.groupBy(F.col(ident).alias("ident")).agg(F.max(F.when(F.col("toxic") != 0, 1).otherwise(0)).alias("label"))
     some = [known.where(F.col("label") == label).orderBy(F.xxhash64("ident"), "ident").limit(sample) for label in (0, 1)]
     # At most ``sample`` ids of each class, by the limit.
     taken = documents.select(F.col(ident).alias("ident"), text_of(text).alias("text")).join(F.broadcast(some[0].unionByName(some[1])), "ident")
-    taken = taken.groupBy("ident", "label").agg(F.min("text").alias("text"))
+    taken = taken.groupBy("ident", "label").agg(F.min("text").alias("text")).where(F.octet_length("text") <= sample_bytes // 8)
     so_far = F.sum(F.octet_length("text").cast("long")).over(Window.partitionBy("label").orderBy(F.xxhash64("ident"), "ident"))
     bounded = taken.withColumn("so_far", so_far).where(F.col("so_far") <= sample_bytes).select("ident", "text", "label")
 

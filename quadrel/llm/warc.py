@@ -199,6 +199,8 @@ def write_archives(pages: DataFrame, folder: str, least: int = 100) -> DataFrame
         "payload_digest", F.when(F.octet_length("html") >= least, F.unhex(F.sha2(F.encode("html", "UTF-8"), 256)))
     )
     marked = own.join(F.broadcast(again) if few else again, ["page_id", "payload_digest"], "left").select("page_id", "url", "html", "refers_to")
+    # In one order, whatever the join's: a task that runs again writes the same bytes, to which the index of another attempt fits.
+    marked = marked.sortWithinPartitions("page_id", F.xxhash64("url", "html"), "refers_to")
     fs, top = _filesystem(folder)
     fs.create_dir(top, recursive=True)
 

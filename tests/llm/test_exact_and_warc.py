@@ -2,6 +2,7 @@ import gzip
 import hashlib
 import re
 from collections import defaultdict
+from pathlib import Path
 
 import pyarrow.fs as pafs
 import pytest
@@ -86,3 +87,14 @@ def test_normaliser_reads_streams_of_any_framing(tmp_path):
 def test_warc_of_no_pages(spark):
     empty = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.round_trip(empty).count() == 0
+
+
+def test_an_archive_is_the_same_whatever_the_order_of_rows(spark, tmp_path):
+    rows = [(i, f"http://x/{i}", "<p>" + "word " * (i % 50) + "</p>" if i % 9 else None) for i in range(300)] + [(5, "http://y", "again"), (5, "http://y", "again")]
+    written = []
+    for k, order in enumerate((rows, rows[::-1], sorted(rows, key=lambda r: hash(str(r))))):
+        df = spark.createDataFrame(order, "page_id long, url string, html string").coalesce(1)
+        folder = f"{tmp_path}/{k}"
+        index = sorted(map(str, warc.write_archives(df, "file://" + folder).collect()))
+        written.append((index, {f.name: f.read_bytes() for f in sorted(Path(folder).iterdir())}))
+    assert written[0] == written[1] == written[2] and len(written[0][1]) == 2
