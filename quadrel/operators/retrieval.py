@@ -100,8 +100,8 @@ def rank(queries: DataFrame, passages: DataFrame, top: int, expanded: bool = Tru
     ``queries(query, text)``, ``passages(id, text)``; with ``scope``, both also have these
     columns, and passages are ranked, and token rarity is counted, within each value.  A
     passage's score is the sum over the query's tokens, repeats counted, that it holds of
-    ln(1 + (N + 1) / (df + 1)), divided by 1 + max(0, tokens - 120) / 500; equal scores go
-    by id; nothing scores zero and stays.
+    ln(1 + (N + 1) / (df + 1)), divided by 1 + max(0, tokens - 120) / 500; scores equal to
+    nine decimals go by id; nothing scores zero and stays.
 
     The order is exact.  Passages are tokenised once, into a table in the shared folder.
     Without a scope, and with up to ``HELD`` different tokens of queries, every task keeps
@@ -128,7 +128,7 @@ def rank(queries: DataFrame, passages: DataFrame, top: int, expanded: bool = Tru
         rows = asked.select("query", "token", "worth").limit(HELD + 1).collect()
         if len(rows) <= HELD:
             best = _best_of_task(held, rows, top, queries.schema["query"].dataType.simpleString())
-            order = Window.partitionBy("query").orderBy(F.round("score", 12).desc(), "id")
+            order = Window.partitionBy("query").orderBy(F.round("score", 9).desc(), "id")
             return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
     return _met_by_tokens(held, asked, top, scope)
 
@@ -181,7 +181,7 @@ def _best_of_task(held: DataFrame, asked: list, top: int, kind: str) -> DataFram
                 place[members] = np.arange(len(members))
                 inside = block_of[owner] == k
                 t, p = token[inside], place[owner[inside]]
-                in_order = np.argsort(t, kind="stable")
+                in_order = np.lexsort((p, t))  # passages in order within a token, as candidates are searched for among them
                 t, p = t[in_order], p[in_order]
                 first, end = np.searchsorted(t, np.arange(len(words))), np.searchsorted(t, np.arange(len(words)), side="right")
                 share = divisor[members]
@@ -208,7 +208,7 @@ def _best_of_task(held: DataFrame, asked: list, top: int, kind: str) -> DataFram
                     score = sums[candidates] / share[candidates]
                     good = np.flatnonzero(score >= max(least - 1e-9, np.partition(score, -top)[-top] - 1e-9 if len(score) > top else 0.0))
                     if len(good):
-                        rows = [(-round(float(score[i]), 12), ids[int(members[candidates[i]])].as_py(), float(score[i])) for i in good]
+                        rows = [(-round(float(score[i]), 9), ids[int(members[candidates[i]])].as_py(), float(score[i])) for i in good]
                         best[q] = sorted([*best[q], *rows], key=lambda r: (r[0], r[1] is not None, r[1]))[:top]
         out = [(names[q], i, s) for q in range(len(names)) for _, i, s in best[q]]
         for at in range(0, len(out), 50_000):
@@ -231,7 +231,7 @@ def _met_by_tokens(held: DataFrame, asked: DataFrame, top: int, scope: list[str]
     """
     index = held.select(*scope, "id", "length", F.explode("tokens").alias("token"))
     key = [*scope, "query"]
-    order = Window.partitionBy(*key).orderBy(F.round("score", 12).desc(), "id")
+    order = Window.partitionBy(*key).orderBy(F.round("score", 9).desc(), "id")
 
     def scored(hits: DataFrame) -> DataFrame:
         return hits.select(*key, "id", "length", "sum", (F.col("sum") / (1 + F.greatest(F.lit(0), F.col("length") - 120) / 500)).alias("score"))

@@ -41,6 +41,20 @@ def test_ranking_equals_a_plain_ranker(spark, monkeypatch, way):
         assert got == plain(queries, passages, top)
 
 
+def test_few_candidates_among_a_common_tokens_passages(spark, monkeypatch):
+    """A common token's passages are many times a later block's candidates, and their lengths aren't in the order of rows."""
+    r = random.Random(6)
+    words = [f"w{i:05}" for i in range(60_000)]
+    lengths = [r.choice((20, 40, 60, 150, 200)) for _ in range(3000)]
+    passages = [(i, " ".join([*(["cc"] if r.random() < 0.6 else []), *r.choices(words, k=n)])) for i, n in enumerate(lengths)]
+    queries = [(f"q{i}", " ".join([*["cc"] * 4, *r.choices(words, k=3)])) for i in range(40)]
+    monkeypatch.setattr(retrieval, "BLOCK", 1024)
+    q = spark.createDataFrame(queries, "query string, text string")
+    p = spark.createDataFrame(passages, "id long, text string").coalesce(1)
+    got = sorted((x["query"], x["id"], x["rank"]) for x in retrieval.rank(q, p, 4, expanded=False).collect())
+    assert got == plain(queries, passages, 4)
+
+
 def test_a_task_hands_on_its_best_only(spark):
     p = spark.range(4000).selectExpr("id", "concat('aa w', id % 7) AS text").repartition(3)
     q = spark.createDataFrame([(i, f"aa w{i}") for i in range(5)], "query long, text string")
