@@ -34,11 +34,16 @@ def _written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _met(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """A join of tables that grow with the documents; none is broadcast, as what a table takes on disk says little of what it takes in memory."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def _first_cited(fields: DataFrame, pattern: str, passages: DataFrame) -> DataFrame:
     """``fields(doc, at, evidence, ...)`` with ``cited``: the first passage that the evidence cites, of those that the document has."""
     named = fields.select("doc", "at", F.posexplode(F.regexp_extract_all("evidence", F.lit(pattern), F.lit(0))).alias("_n", "id"))
-    met = named.join(passages, ["doc", "id"]).groupBy("doc", "at").agg(F.min_by(F.struct("id", "kind", "page", "text", "source"), "_n").alias("cited"))
-    return fields.join(met, ["doc", "at"], "left")
+    met = _met(named, passages, ["doc", "id"]).groupBy("doc", "at").agg(F.min_by(F.struct("id", "kind", "page", "text", "source"), "_n").alias("cited"))
+    return _met(fields, met, ["doc", "at"], "left")
 
 
 def fields_of(docs: DataFrame, key: str = "doc", document: str = "document") -> tuple[DataFrame, DataFrame]:
@@ -91,7 +96,7 @@ def changes(fields: DataFrame, passages: DataFrame, catalog: DataFrame) -> DataF
         found = mapped.select("doc", "at", F.posexplode(wanted).alias("_n", "class")).join(catalog.select("class", "file"), "class")
         found = found.groupBy("doc", "at").agg(F.min_by(F.struct("_n", "class", "file"), "_n").alias("c"))
         proof = F.concat(F.lit("Ontology "), F.col("c.file"), F.lit(" [O-CLASS-CATALOG]: "), F.col("c.class"), F.lit(" is declared rdf:type owl:Class."))
-        mapped = mapped.join(found, ["doc", "at"], "left").withColumns({
+        mapped = _met(mapped, found, ["doc", "at"], "left").withColumns({
             "evidence": F.coalesce(proof, "evidence"), "told": F.col("told") | F.col("c").isNotNull(), "nulled": F.col("c").isNull(), "class": F.when(F.col("c._n") > 0, F.col("c.class")),
         })
         mapped = mapped.withColumn("value", F.when(~F.col("nulled"), F.coalesce("class", "value"))).drop("c")
@@ -126,9 +131,9 @@ def refine(docs: DataFrame, passages: DataFrame, catalog: DataFrame) -> DataFram
     patches = changed.select("doc", "path", "slots", F.explode(F.filter(entries, lambda x: x["json"].isNotNull())).alias("x"))
     patches = patches.select("doc", F.array_append("path", step(F.col("x.k"))).alias("path"), "slots", "x.json").withColumn("at", _at(F.col("path")))
     patches = _written(patches, "patches")
-    touched = leaves.join(patches.select("doc").distinct(), "doc", "left_semi").withColumn("patch", F.lit(False)).unionByName(patches.withColumn("patch", F.lit(True)))
+    touched = _met(leaves, patches.select("doc").distinct(), ["doc"], "left_semi").withColumn("patch", F.lit(False)).unionByName(patches.withColumn("patch", F.lit(True)))
     # What a written slot held goes, and so do changes to fields within it.
     slot = patches.select("doc", F.col("at").alias("slot"))
-    gone = touched.select("doc", "at", "patch", F.explode("slots").alias("slot")).join(slot, ["doc", "slot"], "left_semi")
-    made = tree.assemble(touched.join(gone, ["doc", "at", "patch"], "left_anti"), "doc")
-    return parsed.join(made.withColumnRenamed("document", "_new"), "doc", "left").select("doc", F.coalesce("_new", "document").alias("document"))
+    gone = _met(touched.select("doc", "at", "patch", F.explode("slots").alias("slot")), slot, ["doc", "slot"], "left_semi")
+    made = tree.assemble(_met(touched, gone, ["doc", "at", "patch"], "left_anti"), "doc")
+    return _met(parsed, made.withColumnRenamed("document", "_new"), ["doc"], "left").select("doc", F.coalesce("_new", "document").alias("document"))

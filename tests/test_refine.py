@@ -120,6 +120,15 @@ def test_documents_come_back_whole(spark):
     assert {d: canonical(json.loads(t)) for d, t in got.items()} == {d: canonical(json.loads(t)) for d, t in docs}
 
 
+def test_documents_are_never_broadcast(spark):
+    """Tables that grow with the documents are small on disk, and far larger where they are broadcast."""
+    df = spark.createDataFrame([(i, '{"a": {"value": "x", "evidence": "P1-C1", "source": {"b": 1}}}') for i in range(50)], "doc long, text string")
+    chunks = spark.createDataFrame([(i, "P1-C1", "pdf", 1, "The x.", None) for i in range(50)], "doc long, id string, kind string, page int, text string, source string")
+    found = refine.refine(df, chunks, spark.createDataFrame([], "class string, file string"))
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.selectExpr("to_json(document) AS d").distinct().count() == 1
+
+
 def test_empty_tables(spark):
     df = spark.createDataFrame([], "doc long, text string")
     chunks = spark.createDataFrame([], "doc long, id string, kind string, page int, text string, source string")
