@@ -232,3 +232,16 @@ def test_page_hyperparameters_and_named_data():
     assert flatten.page_hyperparameters(None) == flatten.page_hyperparameters("no such heading") == {}
     assert flatten.named_data({"runs": {"a": {"x": 1}}, "b": {"y": 2}, "run_loop": {"c": {"z": 3}}}, "runs", "c") == {"z": 3}
     assert flatten.named_data(None, "runs", "a") == {}
+
+
+def test_rows_are_dealt_to_tasks_of_bounded_size(spark, monkeypatch, tmp_path):
+    """A table of one part is worked on by as many tasks as its rows ask for, however small it is on disk."""
+    from quadrel.plans import operator_catalog
+    from quadrel.sources import documents
+
+    monkeypatch.setattr(documents, "TASK_ROWS", 500)
+    spark.range(6000).selectExpr("id AS p_partkey", "'a' AS p_name").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    rows = operator_catalog.parts(spark, str(tmp_path))
+    sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 6000 and rows.rdd.getNumPartitions() == 12 and max(sizes) < 750
+    assert documents.dealt(spark.range(0), "id").count() == 0 and documents.dealt(spark.range(3), "id").count() == 3
