@@ -22,7 +22,10 @@ the same such word are linked with each other and hang on the least of them.
 Copies share a fingerprint and take part once.  Components are formed on fingerprints.
 
 *Near copies by similarity.*  :func:`similar_classes` links all texts whose sets of five-word
-shingles have a Jaccard similarity of 0.8 or more.  Such sets, each put in one common order
+shingles have a Jaccard similarity of 0.8 or more.  The first pairs are those whose fingerprints
+are linked through Golay keys (:func:`golay_pairs`), checked on the texts; what they link isn't
+compared again.  No radius of fingerprints bounds a similarity, so the pairs beyond two bits are
+completed by shingles: such sets, each put in one common order
 with frequent shingles last, share a shingle among their first ``n - ceil(0.8 n) + 1``; the
 order decides the cost alone, so it comes from a sample.  Two texts are brought together by
 the first shingle they share: what stands before it in either is not shared, so its place
@@ -222,6 +225,15 @@ def near_classes(df: DataFrame, text: str = "text", ident: str = "doc_id", words
     return prints.join(told, "print").select("ident", "print", "component")
 
 
+def golay_pairs(prints: DataFrame) -> DataFrame:
+    """(one, two): rows of ``prints(row, print)`` that join all whose fingerprints a chain of links joins; of a print's rows each is joined with the least."""
+    holders = written(prints.groupBy("print").agg(F.min("row").alias("holder")), "simhash-holders")
+    end = lambda name: holders.select(F.col("print").alias(name), F.col("holder").alias(f"{name}_row"))
+    met = links(holders).join(end("a"), "a").join(end("b"), "b").select(F.col("a_row").alias("one"), F.col("b_row").alias("two"))
+    same = prints.join(holders, "print").where("row != holder").select(F.col("row").alias("one"), F.col("holder").alias("two"))
+    return met.unionByName(same).select(F.least("one", "two").alias("one"), F.greatest("one", "two").alias("two"))
+
+
 #: For similar texts: words of a shingle and least similarity.
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -466,10 +478,11 @@ def similar_classes(df: DataFrame, text: str = "text", ident: str = "doc_id", si
                 pa.array([xxhash.xxh3_128_digest(h.tobytes()) for h in found], pa.binary()),
                 pa.array([len(h) for h in found], pa.int32()),
                 pa.array([parity_of(h) for h in found], pa.binary()),
+                pa.array(np.array([fingerprint(t) for t in b.column(2).to_pylist()], np.uint64).view(np.int64)),
             ]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *more], names=["row", "ident", "shingles", "size", "parity"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *more], names=["row", "ident", "shingles", "size", "parity", "print"])
 
-    prints = written(keyed.mapInArrow(measure, f"row long, ident {kind}, shingles binary, size int, parity binary"), "similar-prints")
+    prints = written(keyed.mapInArrow(measure, f"row long, ident {kind}, shingles binary, size int, parity binary, print long"), "similar-prints")
     order = df.sparkSession.sparkContext.broadcast(_frequent(texts, words))
 
     def fronts(batches):
@@ -490,7 +503,8 @@ def similar_classes(df: DataFrame, text: str = "text", ident: str = "doc_id", si
     near = members.join(crowded, "token").select("token", "row", "size", "parity").repartition("token").sortWithinPartitions("token", "size", "row")
     near = written(near.mapInArrow(_neighbours(similarity), "one long, two long").distinct(), "similar-neighbours")
     copies = prints.join(owners.select("shingles", F.col("row").alias("owner")), "shingles").where("row != owner")
-    first = near.unionByName(copies.select(F.least("row", "owner").alias("one"), F.greatest("row", "owner").alias("two"))).distinct()
+    first = golay_pairs(prints.select("row", "print")).unionByName(near)
+    first = first.unionByName(copies.select(F.least("row", "owner").alias("one"), F.greatest("row", "owner").alias("two"))).distinct()
     first = written(_verified(written(first, "similar-first"), texts, similarity, words), "similar-links")
     linked = components(first, "similar-links").withColumnRenamed("node", "row")
     rooted = members.join(linked, "row", "left").withColumn("root", F.coalesce("root", "row"))

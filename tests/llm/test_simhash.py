@@ -216,3 +216,19 @@ def test_early_members_in_chunks_give_every_pair(make, monkeypatch):
                 root[b] = a
     got = {x.ident: x.component for x in simhash.similar_classes(make(list(enumerate(texts)))).collect()}
     assert got == {i: find(i) for i in range(len(texts))} and len(set(got.values())) > 1
+
+
+def test_near_dedup_takes_pairs_of_fingerprints_first(make, spark, monkeypatch):
+    """Rows joined through Golay keys are those that fingerprints link, and similar texts are looked for among them."""
+    r = random.Random(31)
+    base = [f"w{r.randrange(10**6)}" for _ in range(600)]
+    texts = [" ".join(base), " ".join(base).upper(), " ".join([*base, "end"]), " ".join(base[1:]), " ".join(base[:300]), "", None]
+    prints = [simhash.fingerprint(t) for t in texts]
+    rows = spark.createDataFrame([(i, int(np.uint64(p).view(np.int64))) for i, p in enumerate(prints)], "row long, print long")
+    want = parts(dict(enumerate(prints)), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 2)
+    roots = {x.node: x.root for x in components(simhash.golay_pairs(rows).toDF("a", "b")).collect()}
+    assert {i: roots.get(i, i) for i in range(len(texts))} == want and len(set(want.values())) < len(texts)
+    made, golay = [], simhash.golay_pairs
+    monkeypatch.setattr(simhash, "golay_pairs", lambda prints: made.append(golay(prints).count()) or golay(prints))
+    got = {x.ident: x.component for x in simhash.similar_classes(make(list(enumerate(texts)))).collect()}
+    assert got == brute_components(list(enumerate(texts))) and made[0] >= 2
