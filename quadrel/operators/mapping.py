@@ -40,25 +40,34 @@ def resource(namespace: str, ident: Column) -> Column:
 
 
 def statements(rows: DataFrame, graph: Column, rules: list[Rule], default_source: Column | None = None) -> DataFrame:
-    """(g, s, p, o, evidence, source), repeats included; statements without a subject or an object are left out."""
-    fallback = default_source if default_source is not None else F.lit(None).cast("string")
-    items = [
-        F.struct(
-            r.subject.alias("s"),
-            F.lit(f"<{r.predicate}>").alias("p"),
-            r.object.alias("o"),
-            (r.evidence if r.evidence is not None else F.lit(None).cast("string")).alias("evidence"),
-            F.coalesce(r.source if r.source is not None else F.lit(None).cast("string"), fallback).alias("source"),
-        )
-        for r in rules
-    ]
-    made = rows.select(graph.alias("g"), F.explode(F.array(*items)).alias("x"))
-    return made.select("g", "x.s", "x.p", "x.o", "x.evidence", "x.source").where("s IS NOT NULL AND o IS NOT NULL")
-
-
-def quads(made: DataFrame) -> DataFrame:
-    """The statements as a set."""
-    return made.select("g", "s", "p", "o").distinct()
+    """(g, s, p, o, evidence, source), repeats included; statements without a subject or an object are left out.
+
+    The rules' columns are worked out in a projection below the explosion, each once however
+    many rules name it: there Spark shares common parts and can split what it compiles, whereas
+    a generator whose code grows too long is evaluated tree by tree.  Evidence and source stand
+    beside the statements, so that they aren't worked out where only quads are wanted.
+    """
+    null = F.lit(None).cast("string")
+    fallback = default_source if default_source is not None else null
+    terms = {id(c): c for r in rules for c in (r.subject, r.object)}
+    names = {k: f"_t{i}" for i, k in enumerate(terms)}
+    held = rows.select(
+        graph.alias("g"), *[c.alias(names[k]) for k, c in terms.items()],
+        F.array(*[null if r.evidence is None else r.evidence for r in rules]).alias("_evidence"), F.array(*[fallback if r.source is None else F.coalesce(r.source, fallback) for r in rules]).alias("_source"),
+    )
+    items = [F.struct(F.col(names[id(r.subject)]).alias("s"), F.lit(f"<{r.predicate}>").alias("p"), F.col(names[id(r.object)]).alias("o")) for r in rules]
+    made = held.select("g", "_evidence", "_source", F.posexplode(F.array(*items)).alias("_n", "x")).where("x.s IS NOT NULL AND x.o IS NOT NULL")
+    return made.select("g", "x.s", "x.p", "x.o", F.get("_evidence", F.col("_n")).alias("evidence"), F.get("_source", F.col("_n")).alias("source"))
+
+
+def quads(made: DataFrame, tasks: int | None = None) -> DataFrame:
+    """The statements as a set, in so many tasks if that is given.
+
+    Otherwise Spark puts shuffled parts together until they are of some size, compressed;
+    statements are so alike that such a part is many times as large in a task's memory.
+    """
+    of = made.select("g", "s", "p", "o")
+    return (of if tasks is None else of.repartition(tasks, "g", "s", "p", "o")).distinct()
 
 
 def annotations(made: DataFrame) -> DataFrame:

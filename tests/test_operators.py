@@ -245,3 +245,24 @@ def test_rows_are_dealt_to_tasks_of_bounded_size(spark, monkeypatch, tmp_path):
     sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(sizes) == 6000 and rows.rdd.getNumPartitions() == 12 and max(sizes) < 750
     assert documents.dealt(spark.range(0), "id").count() == 0 and documents.dealt(spark.range(3), "id").count() == 3
+
+
+def test_terms_of_statements_are_worked_out_once_and_their_set_in_bounded_tasks(spark):
+    """A subject of several rules is one column below the explosion, however many rules name it; the set's tasks are as many as asked for."""
+    rows = spark.createDataFrame([(1, "a", "x"), (2, "b", None), (3, None, "z")], "id int, name string, note string")
+    node = T.iri(F.concat(F.lit("urn:"), F.upper("name")))
+    rules = [
+        *mapping.individual(node, "urn:Thing", F.col("name")), mapping.Rule(node, "urn:note", T.literal(F.col("note")), F.col("note"), F.lit("own")),
+        mapping.Rule(node, "urn:id", T.literal(F.col("id"), T.XSD + "integer"), F.concat(F.lit("row "), F.col("id").cast("string"))),
+    ]
+    made = mapping.statements(rows, F.lit("g"), rules, F.lit("list"))
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("upper(") == 1
+    assert made.columns == ["g", "s", "p", "o", "evidence", "source"]
+    found = {(r.s, r.p, r.o, r.evidence, r.source) for r in made.collect()}
+    assert len(found) == 9 and {s for s, *_ in found} == {"<urn:A>", "<urn:B>"}
+    assert {x[3:] for x in found if x[1] == "<urn:note>"} == {("x", "own")} and {x[3:] for x in found if x[1] == "<urn:id>"} == {("row 1", "list"), ("row 2", "list")}
+    # Nothing but the quads' own columns is worked out for quads.
+    assert "row " not in mapping.quads(made)._jdf.queryExecution().optimizedPlan().toString()
+    whole = mapping.quads(made.unionByName(made), 5)
+    assert whole.count() == 9 and whole._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(g") == 1
+    assert ", 5), REPARTITION_BY_NUM" in whole._jdf.queryExecution().executedPlan().toString()
