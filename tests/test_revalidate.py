@@ -4,6 +4,8 @@ import random
 import time
 from collections import Counter
 
+import pytest
+
 from quadrel.operators import repair
 from quadrel.plans import shacl
 
@@ -76,3 +78,21 @@ def test_a_cluster_keeps_its_pace(spark, tmp_path):
     for i, t in enumerate(times):
         assert sum(t <= u < t + 1 for u in times[i:]) <= 8 + 4  # a lane's last call of a second and its first of the next
     assert times[-1] - times[0] > 2
+
+
+def test_graphs_of_customers_are_read_from_customers_and_held_by_graph(spark):
+    """No other table is read for them, and what meets within a graph needs no further exchange."""
+    from pathlib import Path
+
+    from quadrel.plans import operator_catalog
+
+    sf_dir = "/root/testdata/sf0.001"
+    if not Path(sf_dir).exists():
+        pytest.skip("no test tables")
+    quads = operator_catalog._customer_graphs(spark, sf_dir)
+    read = quads._jdf.queryExecution().analyzed().toString()
+    assert "c_custkey" in read and "o_custkey" not in read and "p_partkey" not in read
+    assert quads.count() == quads.select("g", "s", "p", "o").distinct().count() > 0
+    plan = quads.select("g", "s", "p", "o").distinct()._jdf.queryExecution().executedPlan().toString()
+    assert "InMemoryTableScan" in plan and "Exchange" not in plan.split("InMemoryTableScan")[0]
+    quads.unpersist()
