@@ -325,7 +325,7 @@ def _frequent(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _shared(batches):
-    """Of a stream of (token, row, place) sorted by token, the rows of tokens that others have too."""
+    """Of a stream of (token, row, place) sorted by token and row, the rows of tokens that others have too, each once."""
     token = row = np.zeros(0, np.int64)
     place = np.zeros(0, np.int32)
     again = False  # the row held back has the token of the one before it
@@ -333,6 +333,9 @@ def _shared(batches):
         token = np.concatenate((token, b.column(0).to_numpy()))
         row = np.concatenate((row, b.column(1).to_numpy()))
         place = np.concatenate((place, b.column(2).to_numpy()))
+        new = np.ones(len(token), bool)
+        new[1:] = (token[1:] != token[:-1]) | (row[1:] != row[:-1])
+        token, row, place = token[new], row[new], place[new]
         if not len(token):
             continue
         same = token[1:] == token[:-1]
@@ -494,8 +497,8 @@ def similar_classes(df: DataFrame, text: str = "text", ident: str = "doc_id", si
 
     owners = written(prints.groupBy("shingles").agg(F.min_by(F.struct("row", "size", "parity"), "row").alias("o")).select("shingles", "o.*"), "similar-owners")
     tokens = texts.mapInArrow(fronts, "token long, row long, place int")
-    buckets = tokens.repartition("token").sortWithinPartitions("token").mapInArrow(_shared, "token long, row long, place int")
-    members = buckets.distinct().join(owners.select("row", "size", "parity"), "row")
+    buckets = tokens.repartition("token").sortWithinPartitions("token", "row").mapInArrow(_shared, "token long, row long, place int")
+    members = buckets.join(owners.select("row", "size", "parity"), "row")
     members = written(members.select("token", "row", "place", "size", "parity"), "similar-members")
     order.destroy()
 

@@ -1,11 +1,14 @@
 import random
 import re
+import time
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
-from quadrel.llm import simhash
+from quadrel.llm import shared, simhash
 from quadrel.llm.components import components
 
 
@@ -232,3 +235,34 @@ def test_near_dedup_takes_pairs_of_fingerprints_first(make, spark, monkeypatch):
     monkeypatch.setattr(simhash, "golay_pairs", lambda prints: made.append(golay(prints).count()) or golay(prints))
     got = {x.ident: x.component for x in simhash.similar_classes(make(list(enumerate(texts)))).collect()}
     assert got == brute_components(list(enumerate(texts))) and made[0] >= 2
+
+
+def test_rows_of_shared_tokens_come_once():
+    """Rows that repeat are no others, wherever a batch ends, and need no exchange of their own to go."""
+    r = random.Random(17)
+    rows = sorted((r.randrange(40), r.randrange(6), 0) for _ in range(150))
+    rows = [(t, w, (t + w) % 5) for t, w, _ in rows]
+    holders = {}
+    for t, w, _ in rows:
+        holders.setdefault(t, set()).add(w)
+    want = sorted({x for x in rows if len(holders[x[0]]) > 1})
+    assert len(want) < len(set(rows)) < len(rows)
+    for size in (1, 2, 7, 200):
+        parts = [rows[i : i + size] for i in range(0, len(rows), size)]
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*p, strict=True), (pa.int64(), pa.int64(), pa.int32()), strict=True)], names=["token", "row", "place"]) for p in parts]
+        got = [x for b in simhash._shared(batches) for x in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+        assert got == want
+
+
+def test_shuffle_files_end_with_the_write_that_needed_them(spark):
+    """What a written table was shuffled through doesn't wait for the driver's garbage to be collected."""
+    folders = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirs()
+    files = lambda: {p.name for f in folders for p in Path(f.getPath()).rglob("shuffle_*")}
+    before, was = files(), spark.conf.get(shared.CLEANUP)
+    table = shared.written(spark.range(20_000).repartition(5, "id").groupBy("id").count(), "shuffled")
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before and table.count() == 20_000
+    assert spark.conf.get(shared.CLEANUP) == was
