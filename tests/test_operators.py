@@ -266,3 +266,31 @@ def test_terms_of_statements_are_worked_out_once_and_their_set_in_bounded_tasks(
     whole = mapping.quads(made.unionByName(made), 5)
     assert whole.count() == 9 and whole._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(g") == 1
     assert ", 5), REPARTITION_BY_NUM" in whole._jdf.queryExecution().executedPlan().toString()
+
+
+def test_long_texts_are_dealt_by_their_length(spark, monkeypatch):
+    from quadrel.sources import documents
+
+    monkeypatch.setattr(documents, "TASK_CHARS", 1000)
+    rows = spark.range(200).selectExpr("id", "IF(id = 7, NULL, repeat('x', 50))  AS text").coalesce(1)
+    dealt = documents.dealt_by_length(rows, "text", "id")
+    sizes = [r["n"] for r in dealt.groupBy(F.spark_partition_id()).agg(F.sum(F.length("text")).alias("n")).collect()]
+    assert sum(sizes) == 9950 and dealt.rdd.getNumPartitions() == 10 and max(sizes) < 2500
+    assert documents.dealt_by_length(rows.where("id < 0"), "text", "id").count() == 0
+
+
+def test_a_pages_tree_goes_before_the_next_is_read():
+    """Elements refer to each other both ways; without unlinking they wait for the collection of cycles."""
+    import gc
+
+    from quadrel.sources import html
+
+    page = "<html><body>" + "<div><p>a <b>b</b></p></div>" * 50
+    gc.collect()
+    gc.disable()
+    try:
+        texts = [html.read(page, html._readable) for _ in range(20)]
+        left = sum(isinstance(x, html.Node) for x in gc.get_objects())
+    finally:
+        gc.enable()
+    assert set(texts) == {" ".join(["a b"] * 50)} and left == 0
