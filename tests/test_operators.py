@@ -294,3 +294,17 @@ def test_a_pages_tree_goes_before_the_next_is_read():
     finally:
         gc.enable()
     assert set(texts) == {" ".join(["a b"] * 50)} and left == 0
+
+
+def test_mapping_and_flattening_deal_their_parts(spark, monkeypatch, tmp_path):
+    """A table of parts in one file is mapped and flattened by as many tasks as its rows ask for."""
+    from quadrel.plans import operator_catalog
+    from quadrel.sources import documents
+
+    monkeypatch.setattr(documents, "TASK_ROWS", 500)
+    part = spark.range(6000).selectExpr("id AS p_partkey", "'a' AS p_name", "'b' AS p_brand", "1 AS p_size", "CAST(2 AS DOUBLE) AS p_retailprice")
+    part.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    made = operator_catalog.QUERIES["mapping_rules"](spark, str(tmp_path))
+    assert ", 12), REPARTITION_BY_NUM" in made._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in made.collect()] == [(6000 * 6 + 2, 6000)]
+    assert operator_catalog.QUERIES["yaml_flatten_nested"](spark, str(tmp_path)).rdd.getNumPartitions() == 12
