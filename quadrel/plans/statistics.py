@@ -37,12 +37,15 @@ class Statistics:
     @classmethod
     def gather(cls, quads: DataFrame) -> Statistics:
         """The figures of ``quads(g, s, p, o)``, its graphs taken together; three aggregations, bounded rows to the driver."""
-        by_subject = quads.groupBy("s", "p").agg(F.count("*").alias("n")).groupBy("s").agg(F.sort_array(F.collect_list(F.struct("p", "n"))).alias("has"))
-        of_set = by_subject.select(F.transform("has", lambda x: x["p"]).alias("set"), F.posexplode("has").alias("at", "x"))
-        totals = of_set.groupBy("set", "at").agg(F.count("*").alias("subjects"), F.sum("x.n").alias("n"))
-        rows = totals.groupBy("set").agg(F.max("subjects").alias("subjects"), F.sort_array(F.collect_list(F.struct("at", "n"))).alias("n"))
+        by_subject = quads.repartition("s").groupBy("s", "p").agg(F.count("*").alias("n")).groupBy("s").agg(F.sort_array(F.collect_list(F.struct("p", "n"))).alias("has"))
+        # Subjects that are alike in their triples, too, become one row before anything is taken apart.
+        alike = by_subject.groupBy(F.transform("has", lambda x: x["p"]).alias("set"), F.transform("has", lambda x: x["n"]).alias("each")).agg(F.count("*").alias("subjects"))
+        of_set = alike.select("set", "subjects", F.posexplode("each").alias("at", "n"))
+        totals = of_set.groupBy("set", "at").agg(F.sum("subjects").alias("subjects"), F.sum(F.col("n") * F.col("subjects")).alias("n"))
+        rows = totals.groupBy("set").agg(F.max("subjects").alias("subjects"), F.sort_array(F.collect_list(F.struct("at", "n"))).alias("n")).persist()
         kept = rows.orderBy(F.desc("subjects"), "set").limit(SETS).collect()
-        out = cls(subjects=by_subject.count())
+        out = cls(subjects=rows.agg(F.sum("subjects")).first()[0] or 0)
+        rows.unpersist()
         for r in kept:
             out.sets.append((frozenset(r.set), r.subjects, {p: x.n for p, x in zip(r.set, r.n, strict=True)}))
         pairs = quads.groupBy("p", "o").agg(F.count("*").alias("n"))
