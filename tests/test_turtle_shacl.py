@@ -103,3 +103,24 @@ def test_sinks(spark, tmp_path):
     assert any("κ" in p.read_text() for p in (tmp_path / "j").glob("*.json"))
     filled = sinks.with_fallback(spark.createDataFrame([(1, None), (2, "x")], "k int, v string"), spark.createDataFrame([(1, "f"), (2, "g")], "k int, v string"), "k", "v")
     assert sorted(tuple(r) for r in filled.collect()) == [(1, "f"), (2, "x")]
+
+
+def test_reports_of_many_graphs_share_files(spark, tmp_path, monkeypatch):
+    """Every report and result is there, whole and with its graph, in as many files as were asked for, however many graphs there are."""
+    from quadrel.plans import operator_catalog as catalog
+    from quadrel.sources import sinks
+
+    graphs = [*(f"g{i}" for i in range(60)), "007", "a/b=c", "x\ny", "é"]
+    quads = spark.createDataFrame([(g, f"<urn:{k}>", T.TYPE, "<urn:C>") for g in graphs for k in "ab"], "g string, s string, p string, o string")
+    report = shacl.validate(quads, "@prefix sh: <http://www.w3.org/ns/shacl#> . <urn:S> sh:targetClass <urn:C> ; sh:property [ sh:path <urn:p> ; sh:minCount 1 ; sh:message \"need é\" ] .").cache()
+    sinks.write_report(report, str(tmp_path / "r"), parts=3)
+    ordered = lambda df: sorted(map(tuple, df.collect()), key=str)
+    want = ordered(shacl.rendered(report))
+    assert ordered(sinks.read_reports(spark, str(tmp_path / "r"))) == want and len(want) == 64 and want[0][1].count("need é") == 2
+    assert ordered(spark.read.parquet(str(tmp_path / "r" / "results")).select(report.columns)) == ordered(report)
+    files = lambda of: [p for kind in ("text", "results") for p in (of / kind).rglob("part-*")]
+    assert len(files(tmp_path / "r")) <= 6
+
+    monkeypatch.setattr(sinks, "scratch", lambda spark, name: str(tmp_path / name))
+    lines = catalog.report_files(spark, "/root/testdata/sf0.01").collect()
+    assert len({x.g for x in lines}) > 8 * len(files(tmp_path / "report")) > 0
