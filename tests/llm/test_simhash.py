@@ -7,6 +7,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from quadrel.llm import shared, simhash
 from quadrel.llm.components import components
@@ -170,6 +172,23 @@ def test_similar_classes_find_copies_edited_to_the_limit(make, odd_rows):
     assert got == want
 
 
+def test_what_orders_and_what_comes_first_leaves_no_similar_pair_out(make, monkeypatch):
+    """The sampled order of shingles decides cost alone, and pairs that fingerprints miss or bring together wrongly change no class."""
+    r = random.Random(43)
+    rows = []
+    template = [f"t{r.randrange(10**6)}" for _ in range(60)]
+    for n in (8, 40, 150) * 4:
+        words = template[: r.randrange(60)] + [f"w{r.randrange(10**6)}" for _ in range(n)]
+        rows += [(len(rows) + k, " ".join(w)) for k, w in enumerate([words, *edited_copies(r, words)])]
+    want = brute_components(rows)
+    for name, value in {"ORDERING": 8, "SAMPLED": 4, "OFTEN": 1, "FREQUENT": 40}.items():
+        monkeypatch.setattr(simhash, name, value)
+    wrong = lambda prints: prints.select(F.col("row").alias("one"), F.lead("row").over(Window.orderBy("row")).alias("two")).where("two IS NOT NULL")
+    monkeypatch.setattr(simhash, "golay_pairs", wrong)
+    got = {x.ident: x.component for x in simhash.similar_classes(make(rows)).collect()}
+    assert got == want and 12 <= len(set(want.values())) < len(rows)
+
+
 def family(n, shared, own, seed=3):
     """Pages of one template: ``shared`` words that all have, in one block, and ``own`` words of each page's own."""
     r = random.Random(seed)
